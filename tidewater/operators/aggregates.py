@@ -16,8 +16,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DoubleType, FloatType, NumericType
 
+from tidewater.functions.numeric import exact_mean
 from tidewater.functions.strings import split_on
 
 
@@ -37,18 +38,32 @@ def min_max_mean(
     keys: Sequence[str],
     value: str,
     names: tuple[str, str, str] = ("max_value", "min_value", "mean_value"),
+    exact_scale: int | None = None,
 ) -> DataFrame:
-    """A5: max / min / mean of one column per group."""
+    """A5: max / min / mean of one column per group.
+
+    ``exact_scale``: the values are fixed-point with that many decimals; the
+    mean is then computed from an exact decimal sum (order-independent).
+    """
     mx, mn, mean = names
-    return df.groupBy(*keys).agg(
-        F.max(value).alias(mx), F.min(value).alias(mn), F.avg(value).alias(mean)
-    )
+    mean_expr = F.avg(value) if exact_scale is None else exact_mean(value, exact_scale)
+    return df.groupBy(*keys).agg(F.max(value).alias(mx), F.min(value).alias(mn), mean_expr.alias(mean))
+
+
+def mean_of_numeric(df: DataFrame, keys: Sequence[str], prefix: str = "avg_", exact_scale: int | None = None) -> DataFrame:
+    """A10: ``groupby(keys).mean()`` — mean of every numeric non-key column.
+
+    With ``exact_scale`` the floating columns (fixed-point values) are averaged
+    through an exact decimal sum; integer columns are exact already.
+    """
+    fields = [f for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in keys]
 
+    def mean(f):
+        if exact_scale is not None and isinstance(f.dataType, (DoubleType, FloatType)):
+            return exact_mean(f.name, exact_scale)
+        return F.avg(f.name)
 
-def mean_of_numeric(df: DataFrame, keys: Sequence[str], prefix: str = "avg_") -> DataFrame:
-    """A10: ``groupby(keys).mean()`` — mean of every numeric non-key column."""
-    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in keys]
-    return df.groupBy(*keys).agg(*[F.avg(c).alias(f"{prefix}{c}") for c in numeric])
+    return df.groupBy(*keys).agg(*[mean(f).alias(f"{prefix}{f.name}") for f in fields])
 
 
 def sum_and_count(df: DataFrame, keys: Sequence[str | Column], value: str, total: str = "total", rows: str = "rows") -> DataFrame:

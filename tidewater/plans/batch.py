@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import casts, structs, temporal
 from tidewater.functions import udfs
+from tidewater.functions.numeric import exact_mean_sql
 from tidewater.operators import aggregates as agg
 from tidewater.operators import filters as flt
 from tidewater.operators import joins, projections, ranking
@@ -405,19 +406,22 @@ def slowest_top5(spark: SparkSession, d: str) -> DataFrame:
     return ranking.top_k(orders.select("o_orderkey", "o_totalprice"), 5, F.col("o_totalprice").desc(), F.col("o_orderkey"))
 
 
+_FIXED_POINT = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 _MEAN_COLS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
 @register(
     "group_mean_all",
     "SELECT l_returnflag, l_linestatus, "
-    + ", ".join(f"round(avg({c}), 4) AS avg_{c}" for c in _MEAN_COLS)
+    + ", ".join(
+        f"{exact_mean_sql(c) if c in _FIXED_POINT else f'avg({c})'} AS avg_{c}" for c in _MEAN_COLS
+    )
     + " FROM lineitem GROUP BY l_returnflag, l_linestatus",
     ("A10",),
 )
 def group_mean_all(spark: SparkSession, d: str) -> DataFrame:
-    means = agg.mean_of_numeric(read_table(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"])
-    return means.select("l_returnflag", "l_linestatus", *[F.round(c, 4).alias(c) for c in means.columns[2:]])
+    # the double columns are fixed-point with 2 decimals: exact means
+    return agg.mean_of_numeric(read_table(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"], exact_scale=2)
 
 
 @register("global_count", "SELECT count(*) AS rows FROM lineitem", ("A11",))

@@ -1 +1,151 @@
-"""placeholder"""
+"""Central product catalog (C5; J14, J15, A14, P1, P5, K9, K10).
+
+products (+ category map from their category ids, + review statistics)
+joined with items (+ seller name), one wide row per item, columns in name
+order, then written to a keyed table.
+
+Stand-ins (TESTDATA): product = part, its category ids = the brand number of
+``p_brand`` ('Brand#17' -> [17]); category dimension = the distinct brands;
+item = line item (key ``l_orderkey, l_linenumber``); seller = supplier;
+review = line item of the part with ``l_quantity`` as its score.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewater.functions.numeric import exact_mean, exact_mean_sql
+from tidewater.functions.structs import map_text
+from tidewater.operators import joins
+from tidewater.operators.projections import select_sorted
+from tidewater.plans.registry import register
+from tidewater.sinks.tables import keyed_upsert
+from tidewater.sources.tables import read_table
+
+
+def review_stats(reviews: DataFrame, key: str = "product_id", score: str = "score", review_id: str | None = None) -> DataFrame:
+    """Mean score and review count per product (scores fixed-point, exact mean)."""
+    counted = F.count(review_id) if review_id else F.count(F.lit(1))
+    return reviews.groupBy(key).agg(
+        exact_mean(score, 2).alias("review_mean_score"), counted.alias("review_count")
+    )
+
+
+def build_catalog(
+    products: DataFrame,
+    categories: DataFrame,
+    reviews_stats: DataFrame,
+    items: DataFrame,
+    sellers: DataFrame,
+) -> DataFrame:
+    """products(product_id, product_name, category_ids), categories(category_id, category_name),
+    reviews_stats(product_id, ...), items(item keys..., product_id, seller_id, ...),
+    sellers(seller_id, seller_name) -> one row per item, columns sorted by name."""
+    with_categories = joins.ids_to_map(
+        products, ["product_id"], "category_ids", categories, "category_id", "category_name", "categories"
+    )
+    product_level = with_categories.join(reviews_stats, "product_id", "left")
+    item_level = items.join(sellers, "seller_id", "left")
+    return select_sorted(product_level.join(item_level, "product_id", "inner"))
+
+
+def _brand_no(col: str = "p_brand"):
+    return F.regexp_extract(F.col(col), r"#(\d+)", 1).cast("int")
+
+
+def _inputs(spark: SparkSession, d: str):
+    part = read_table(spark, d, "part", "p_partkey", "p_name", "p_brand")
+    products = part.select(
+        F.col("p_partkey").alias("product_id"),
+        F.col("p_name").alias("product_name"),
+        F.array(_brand_no()).alias("category_ids"),
+    )
+    categories = part.select(_brand_no().alias("category_id"), F.col("p_brand").alias("category_name")).distinct()
+    li = read_table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate")
+    reviews = li.select(F.col("l_partkey").alias("product_id"), F.col("l_quantity").alias("score"))
+    items = li.select(
+        F.col("l_orderkey").alias("item_order"),
+        F.col("l_linenumber").alias("item_line"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("l_suppkey").alias("seller_id"),
+        F.col("l_extendedprice").alias("price"),
+        F.col("l_shipdate").alias("ship_date"),
+    )
+    sellers = read_table(spark, d, "supplier", "s_suppkey", "s_name").select(
+        F.col("s_suppkey").alias("seller_id"), F.col("s_name").alias("seller_name")
+    )
+    return products, categories, reviews, items, sellers
+
+
+_BRAND_SQL = r"CAST(regexp_extract(p_brand, '#(\d+)', 1) AS INTEGER)"
+_CATEGORY_MAP_SQL = f"""
+categories AS (SELECT DISTINCT {_BRAND_SQL} AS category_id, p_brand AS category_name FROM part),
+product_ids AS (SELECT p_partkey AS product_id, p_name AS product_name, unnest([{_BRAND_SQL}]) AS category_id FROM part),
+product_maps AS (
+  SELECT product_id, any_value(product_name) AS product_name,
+         coalesce(string_agg(CAST(p.category_id AS VARCHAR) || ':' || category_name, ','
+                             ORDER BY p.category_id) FILTER (WHERE category_name IS NOT NULL), '') AS categories
+  FROM product_ids p LEFT JOIN categories c ON p.category_id = c.category_id
+  GROUP BY product_id)
+"""
+
+_REVIEWS_SQL = f"""
+reviews AS (SELECT l_partkey AS product_id, {exact_mean_sql("l_quantity")} AS review_mean_score,
+                   count(*) AS review_count FROM lineitem GROUP BY l_partkey)
+"""
+
+
+@register("review_stats", "WITH " + _REVIEWS_SQL + " SELECT * FROM reviews", ("A14",))
+def review_stats_q(spark: SparkSession, d: str) -> DataFrame:
+    _, _, reviews, _, _ = _inputs(spark, d)
+    return review_stats(reviews)
+
+
+@register(
+    "array_lookup_map",
+    "WITH " + _CATEGORY_MAP_SQL + " SELECT product_id, categories FROM product_maps",
+    ("J15", "E21", "U3"),
+)
+def array_lookup_map(spark: SparkSession, d: str) -> DataFrame:
+    products, categories, _, _, _ = _inputs(spark, d)
+    mapped = joins.ids_to_map(products, ["product_id"], "category_ids", categories, "category_id", "category_name", "categories")
+    return mapped.select("product_id", map_text("categories").alias("categories"))
+
+
+@register(
+    "central_catalog",
+    "WITH "
+    + _CATEGORY_MAP_SQL
+    + ", "
+    + _REVIEWS_SQL
+    + """
+SELECT pm.categories, l_linenumber AS item_line, l_orderkey AS item_order, l_extendedprice AS price,
+       pm.product_id, pm.product_name, r.review_count, r.review_mean_score, l_suppkey AS seller_id,
+       s_name AS seller_name, l_shipdate AS ship_date
+FROM product_maps pm LEFT JOIN reviews r USING (product_id)
+JOIN lineitem ON l_partkey = pm.product_id
+LEFT JOIN supplier ON l_suppkey = s_suppkey
+""",
+    ("C5", "J14", "P1", "P5"),
+)
+def central_catalog(spark: SparkSession, d: str) -> DataFrame:
+    products, categories, reviews, items, sellers = _inputs(spark, d)
+    catalog = build_catalog(products, categories, review_stats(reviews), items, sellers)
+    return catalog.withColumn("categories", map_text("categories"))
+
+
+@register(
+    "keyed_upsert",
+    """
+    SELECT l_partkey, l_orderkey, l_linenumber, l_shipdate, l_quantity FROM lineitem
+    QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) = 1
+    """,
+    ("K9",),
+)
+def keyed_upsert_q(spark: SparkSession, d: str) -> DataFrame:
+    li = read_table(spark, d, "lineitem", "l_partkey", "l_orderkey", "l_linenumber", "l_shipdate", "l_quantity")
+    cutoff = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
+    target = li.filter(F.col("l_shipdate") < cutoff)
+    updates = li.filter(F.col("l_shipdate") >= cutoff)
+    return keyed_upsert(spark, target, updates, ["l_partkey"], ["l_shipdate", "l_orderkey", "l_linenumber"], "latest_shipment")
