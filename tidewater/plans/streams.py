@@ -1 +1,223 @@
-"""placeholder"""
+"""Structured Streaming queries (ST1-ST21) over TESTDATA tables read as streams.
+
+Each query runs to the end of its input (``availableNow``) and returns the
+sink's content as a batch DataFrame. Stand-ins: traffic / stock streams =
+``events`` (event_type as domain / ticker, value as count / volume), the book
+stream = ``orders``, authors = ``customer``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewater.operators import ranking
+from tidewater.plans.access_log import _LOG_CTE, filter_status_400_users, log_frame
+from tidewater.plans.registry import register
+from tidewater.sources.tables import read_table
+from tidewater.streaming import sinks, sources, windows
+from tidewater.streaming.joins import stream_static_join, stream_stream_join
+
+
+def _events(spark: SparkSession, d: str) -> DataFrame:
+    return sources.table_stream(spark, d, "events")
+
+
+_HOUR_SQL = "date_trunc('hour', ts)"
+_FIVE_MIN_SQL = "date_trunc('hour', ts) + to_minutes(CAST(minute(ts) // 5 * 5 AS BIGINT))"
+
+
+@register(
+    "stream_tumbling",
+    f"""
+    SELECT {_HOUR_SQL} AS start, {_HOUR_SQL} + INTERVAL 1 HOUR AS "end", round(sum(value), 2) AS total
+    FROM events GROUP BY 1
+    """,
+    ("ST12", "ST4", "ST16"),
+)
+def stream_tumbling(spark: SparkSession, d: str) -> DataFrame:
+    agg = windows.windowed_sum(_events(spark, d), "ts", "value", "1 hour")
+    out = sinks.run_keyed(agg, "tumbling", ["start"], mode="complete")
+    return out.withColumn("total", F.round("total", 2))
+
+
+@register(
+    "stream_sliding",
+    f"""
+    SELECT start, start + INTERVAL 2 HOUR AS "end", round(sum(value), 2) AS total
+    FROM (SELECT {_HOUR_SQL} AS start, value FROM events
+          UNION ALL SELECT {_HOUR_SQL} - INTERVAL 1 HOUR, value FROM events)
+    GROUP BY start
+    """,
+    ("ST11",),
+)
+def stream_sliding(spark: SparkSession, d: str) -> DataFrame:
+    agg = windows.windowed_sum(_events(spark, d), "ts", "value", "2 hours", "1 hour")
+    out = sinks.run_keyed(agg, "sliding", ["start"], mode="complete")
+    return out.withColumn("total", F.round("total", 2))
+
+
+_DOMAIN_HOUR_SQL = f"""
+    SELECT {_HOUR_SQL} AS start, {_HOUR_SQL} + INTERVAL 1 HOUR AS "end", event_type AS domain,
+           round(sum(value), 2) AS total
+    FROM events GROUP BY 1, 3
+"""
+
+
+@register("stream_domain_hour", _DOMAIN_HOUR_SQL, ("ST13", "T4"))
+def stream_domain_hour(spark: SparkSession, d: str) -> DataFrame:
+    ev = _events(spark, d).withColumnRenamed("event_type", "domain")
+    agg = windows.windowed_sum(ev, "ts", "value", "1 hour", keys=["domain"])
+    out = sinks.run_keyed(agg, "domain_hour", ["start", "domain"], mode="complete")
+    return out.withColumn("total", F.round("total", 2)).orderBy("start", F.col("total").desc())
+
+
+@register(
+    "top_per_hour",
+    f"""
+    SELECT start, "end", domain, total FROM ({_DOMAIN_HOUR_SQL})
+    QUALIFY rank() OVER (PARTITION BY start ORDER BY total DESC) = 1
+    """,
+    ("W1", "T4"),
+)
+def top_per_hour(spark: SparkSession, d: str) -> DataFrame:
+    """W1 (batch): the domain with the largest hourly total, ties kept (rank)."""
+    ev = read_table(spark, d, "events", "ts", "event_type", "value").withColumnRenamed("event_type", "domain")
+    hourly = ev.groupBy(F.window("ts", "1 hour").alias("w"), "domain").agg(F.round(F.sum("value"), 2).alias("total"))
+    flat = hourly.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), "domain", "total")
+    return ranking.rank_first(flat, ["start"], [F.col("total").desc()]).drop("rank")
+
+
+@register(
+    "stream_watermark",
+    f"""
+    SELECT {_FIVE_MIN_SQL} AS start, {_FIVE_MIN_SQL} + INTERVAL 5 MINUTE AS "end", round(sum(value), 2) AS total
+    FROM events GROUP BY 1
+    """,
+    ("ST15", "ST16", "E11"),
+)
+def stream_watermark(spark: SparkSession, d: str) -> DataFrame:
+    """Update mode, 10-minute watermark, 5-minute windows: rows later than the
+    watermark are dropped; each micro-batch emits the windows it changed."""
+    agg = windows.windowed_sum(_events(spark, d), "ts", "value", "5 minutes", watermark="10 minutes")
+    out = sinks.run_keyed(agg, "watermark", ["start"], mode="update")
+    return out.withColumn("total", F.round("total", 2))
+
+
+@register(
+    "stream_append_watermark",
+    f"""
+    SELECT {_FIVE_MIN_SQL} AS start, {_FIVE_MIN_SQL} + INTERVAL 5 MINUTE AS "end", round(sum(value), 2) AS total
+    FROM events GROUP BY 1
+    HAVING {_FIVE_MIN_SQL} + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
+    """,
+    ("ST15", "ST16"),
+)
+def stream_append_watermark(spark: SparkSession, d: str) -> DataFrame:
+    """Append mode: a window is written once, when the watermark (max event
+    time - 10 minutes) has passed its end; the still-open tail is not emitted."""
+    agg = windows.windowed_sum(_events(spark, d), "ts", "value", "5 minutes", watermark="10 minutes")
+    return sinks.run_append(agg, "append_watermark").withColumn("total", F.round("total", 2))
+
+
+@register(
+    "stream_processing_time",
+    "SELECT CAST(sum(length(text)) AS BIGINT) AS total_chars FROM documents",
+    ("ST14", "E8", "E15"),
+)
+def stream_processing_time(spark: SparkSession, d: str) -> DataFrame:
+    """ST14: characters per 5-second processing-time window; the window split
+    depends on arrival time, so the checked result is the total over windows."""
+    docs = sources.table_stream(spark, d, "documents")
+    agg = windows.processing_time_sum(docs, F.length("text"), "5 seconds", "chars")
+    out = sinks.run_keyed(agg, "processing_time", ["start"], mode="complete")
+    return out.agg(F.sum("chars").cast("long").alias("total_chars"))
+
+
+@register(
+    "stream_json_parse",
+    "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
+    ("ST6", "ST8"),
+)
+def stream_json_parse(spark: SparkSession, d: str) -> DataFrame:
+    ev = _events(spark, d).select("event_id", F.col("props").alias("value"))
+    parsed = ev.select("event_id", F.from_json("value", "k INT").alias("r")).select("event_id", "r.*")
+    return sinks.run_append(parsed, "json_parse")
+
+
+@register(
+    "stream_filter",
+    _LOG_CTE + "SELECT * FROM logs WHERE status_code = '404' AND endpoint = '/7'",
+    ("ST7", "F1"),
+)
+def stream_filter(spark: SparkSession, d: str) -> DataFrame:
+    logs = log_frame(_events(spark, d))
+    return sinks.run_append(filter_status_400_users(logs), "log_filter")
+
+
+@register(
+    "stream_word_split",
+    "SELECT conv_id, turn, unnest(string_split(text, ' ')) AS word FROM conversations",
+    ("ST8", "P7"),
+)
+def stream_word_split(spark: SparkSession, d: str) -> DataFrame:
+    conv = sources.table_stream(spark, d, "conversations")
+    words = conv.select("conv_id", "turn", F.explode(F.split("text", " ", -1)).alias("word"))
+    return sinks.run_append(words, "word_split")
+
+
+@register(
+    "stream_per_batch",
+    """
+    SELECT CAST(0 AS BIGINT) AS batch_id, event_type, count(*) AS rows, round(sum(value), 2) AS total
+    FROM events GROUP BY event_type
+    """,
+    ("ST9", "A15"),
+)
+def stream_per_batch(spark: SparkSession, d: str) -> DataFrame:
+    """ST9: aggregate each micro-batch on its own (the input is one file, so one batch)."""
+
+    def per_batch(batch: DataFrame) -> DataFrame:
+        return batch.groupBy("event_type").agg(
+            F.count(F.lit(1)).alias("rows"), F.round(F.sum("value"), 2).alias("total")
+        )
+
+    return sinks.run_per_batch(_events(spark, d), "per_batch", per_batch)
+
+
+@register(
+    "stream_json_sink",
+    "SELECT event_id, user_id, event_type, value FROM events WHERE value > 45",
+    ("K2", "ST10", "F5"),
+)
+def stream_json_sink(spark: SparkSession, d: str) -> DataFrame:
+    ev = _events(spark, d).select("event_id", "user_id", "event_type", "value").filter(F.col("value") > 45)
+    out = sinks.write_json_per_batch(ev, "json_sink")
+    return sinks.read_json_batches(spark, out, ev.schema)
+
+
+@register(
+    "stream_static_join",
+    "SELECT o_orderkey, o_custkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey",
+    ("ST20", "ST19"),
+)
+def stream_static_join_q(spark: SparkSession, d: str) -> DataFrame:
+    orders = sources.table_stream(spark, d, "orders").select("o_orderkey", "o_custkey")
+    cust = read_table(spark, d, "customer", "c_custkey", "c_name")
+    joined = stream_static_join(orders, cust, orders["o_custkey"] == cust["c_custkey"])
+    return sinks.run_append(joined.select("o_orderkey", "o_custkey", "c_name"), "stream_static")
+
+
+@register(
+    "stream_stream_join",
+    """
+    SELECT o_orderkey, l_linenumber, o_custkey, l_quantity
+    FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+    """,
+    ("ST21",),
+)
+def stream_stream_join_q(spark: SparkSession, d: str) -> DataFrame:
+    orders = sources.table_stream(spark, d, "orders").select("o_orderkey", "o_custkey")
+    li = sources.table_stream(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    joined = stream_stream_join(orders, li, orders["o_orderkey"] == li["l_orderkey"])
+    return sinks.run_append(joined.select("o_orderkey", "l_linenumber", "o_custkey", "l_quantity"), "stream_stream")
