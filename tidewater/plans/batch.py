@@ -176,8 +176,8 @@ def distinct_pairs(spark: SparkSession, d: str) -> DataFrame:
 _TOKENS_SQL = "SELECT doc_id, unnest(string_split(text, ' ')) AS token FROM documents"
 # int(token) semantics: optional blanks and sign, ASCII digits only ('3.' is not an int)
 _INT_SQL = (
-    "CASE WHEN regexp_matches(token, '^\\s*[+-]?[0-9]+\\s*$') "
-    "THEN TRY_CAST(regexp_replace(token, '\\s', '', 'g') AS INTEGER) END"
+    "CASE WHEN regexp_matches(token, '^[\\x00-\\x20]*[+-]?[0-9]+[\\x00-\\x20]*$') "
+    "THEN TRY_CAST(regexp_replace(token, '[\\x00-\\x20]', '', 'g') AS INTEGER) END"
 )
 
 
