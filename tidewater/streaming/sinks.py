@@ -44,8 +44,9 @@ def run_append(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def run_keyed(stream: DataFrame, name: str, keys: Sequence[str], mode: str = "update") -> DataFrame:
-    """ST16 update / complete: per-epoch upsert log; the result keeps the latest row per key."""
+def run_epochs(stream: DataFrame, name: str, mode: str = "update") -> DataFrame:
+    """Run to the end in update / complete mode; every micro-batch's output
+    rows are kept with their ``epoch`` (batch id) — the change log of the result."""
     spark = stream.sparkSession
     out = shared_path(spark, "streams", f"{name}-out")
 
@@ -60,12 +61,17 @@ def run_keyed(stream: DataFrame, name: str, keys: Sequence[str], mode: str = "up
         .start()
     )
     _finish(q)
-    cols = stream.columns
+    schema = stream.schema.add("epoch", "long")
     try:
-        epochs = spark.read.schema(stream.schema.add("epoch", "long")).parquet(out)
-    except Exception:  # no epoch written: empty input
-        return spark.createDataFrame([], stream.schema)
-    return keep_latest(epochs, list(keys), ["epoch"]).select(*cols)
+        return spark.read.schema(schema).parquet(out)
+    except Exception:  # nothing written: the input was empty
+        return spark.createDataFrame([], schema)
+
+
+def run_keyed(stream: DataFrame, name: str, keys: Sequence[str], mode: str = "update") -> DataFrame:
+    """ST16 update / complete: the latest row per key over the epoch log."""
+    cols = stream.columns
+    return keep_latest(run_epochs(stream, name, mode), list(keys), ["epoch"]).select(*cols)
 
 
 def run_per_batch(stream: DataFrame, name: str, per_batch: Callable[[DataFrame], DataFrame]) -> DataFrame:

@@ -30,19 +30,30 @@ def table_stream(
     return reader.parquet(sf_dir)
 
 
-def text_stream(spark: SparkSession, directory: str) -> DataFrame:
+def _reader(spark: SparkSession, max_files_per_trigger: int | None):
+    reader = spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader
+
+
+def text_stream(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """ST1/ST2: new text files in a folder, one row per line (``value``)."""
-    return spark.readStream.text(directory)
+    return _reader(spark, max_files_per_trigger).text(directory)
 
 
-def csv_stream(spark: SparkSession, directory: str, schema: StructType | str, header: bool = False) -> DataFrame:
+def csv_stream(
+    spark: SparkSession, directory: str, schema: StructType | str, header: bool = False, max_files_per_trigger: int | None = None
+) -> DataFrame:
     """ST3: CSV files with a declared schema."""
-    return spark.readStream.schema(schema).option("header", header).csv(directory)
+    return _reader(spark, max_files_per_trigger).schema(schema).option("header", header).csv(directory)
 
 
-def json_stream(spark: SparkSession, directory: str, schema: StructType | str) -> DataFrame:
+def json_stream(
+    spark: SparkSession, directory: str, schema: StructType | str, max_files_per_trigger: int | None = None
+) -> DataFrame:
     """ST4: JSON-lines files with a declared schema."""
-    return spark.readStream.schema(schema).json(directory)
+    return _reader(spark, max_files_per_trigger).schema(schema).json(directory)
 
 
 def parse_json_lines(lines: DataFrame, schema: StructType | str, source: str = "value") -> DataFrame:
