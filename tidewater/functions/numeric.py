@@ -1,27 +1,31 @@
 """Exact sums and means for fixed-point values held in doubles (prices, latencies).
 
 A double sum depends on the order rows arrive in, which differs between runs,
-retried tasks and engines. Summing the values as DECIMAL is exact and
-order-free; the mean is then one IEEE division of exact operands, so every
-engine and every re-run gives the same double.
+retried tasks and engines. Summing the values as integer units (cents for
+``scale=2``) in a long is exact and order-free, and stays on primitive longs
+(a DECIMAL(38) sum goes through BigDecimal and costs ~4x more). The mean is
+then one IEEE division of exact operands, so every engine and every re-run
+gives the same double. Limit: |sum| < 9.2e18 units; beyond it the sum raises
+an overflow error under ANSI mode instead of returning a wrong value.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
 
-def exact_sum(col: Column | str, scale: int = 2) -> Column:
+def unit_sum(col: Column | str, scale: int = 2) -> Column:
+    """Exact sum of a fixed-point column, in units of 10**-scale (a long)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c.cast(DecimalType(38, scale)))
+    return F.sum(F.round(c * (10**scale)).cast("long"))
 
 
 def exact_mean(col: Column | str, scale: int = 2) -> Column:
     c = F.col(col) if isinstance(col, str) else col
-    return exact_sum(c, scale).cast("double") / F.count(c)
+    return unit_sum(c, scale).cast("double") / (F.count(c) * (10**scale))
 
 
 def exact_mean_sql(expr: str, scale: int = 2) -> str:
-    return f"CAST(sum(CAST({expr} AS DECIMAL(38, {scale}))) AS DOUBLE) / count({expr})"
+    units = 10**scale
+    return f"CAST(sum(CAST(round({expr} * {units}) AS BIGINT)) AS DOUBLE) / (count({expr}) * {units})"

@@ -87,9 +87,16 @@ def save_bucketed(
     tables bucketed alike on the join key join without an Exchange (J11).
     """
     name = name or unique_name("bucketed")
-    writer = (
+    # rebalance into exactly `buckets` hash partitions on the bucket columns:
+    # the shuffle hash equals the bucket function, so each task writes one
+    # bucket (one file); AQE still splits a bucket that is too large.
+    balanced = (
         df.hint("rebalance", *partition_cols, *bucket_cols)
-        .write.mode("overwrite")
+        if partition_cols
+        else df.hint("rebalance", buckets, *bucket_cols)
+    )
+    writer = (
+        balanced.write.mode("overwrite")
         .format("parquet")
         .bucketBy(buckets, *bucket_cols)
     )
