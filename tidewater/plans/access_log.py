@@ -101,7 +101,7 @@ def _logs(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register("log_parse", _PARSED_CTE + "SELECT ip, time, method, endpoint, status, request FROM parsed",
-          ("S1", "S2", "E4", "E5", "E7", "E10"))
+          ("S2", "E2", "E4", "E5", "E7", "E10"))
 def log_parse(spark: SparkSession, d: str) -> DataFrame:
     return _parsed(spark, d)
 
