@@ -89,7 +89,9 @@ def join_row_counts(
     for left_name, right_name, how in pairs:
         lc = counted[left_name].withColumnRenamed("n", "nl")
         rc = counted[right_name].withColumnRenamed("n", "nr")
-        both = lc.join(rc, lc["k"].eqNullSafe(rc["k"]) & lc["k"].isNotNull(), "full")
+        # plain '=': null keys never match, so they fall into the unmatched
+        # counts, and the join reuses the aggregates' hash partitioning on k
+        both = lc.join(rc, lc["k"] == rc["k"], "full")
         matched = F.col("nl").isNotNull() & F.col("nr").isNotNull()
         contribution = {
             "inner": F.when(matched, F.col("nl") * F.col("nr")),

@@ -65,6 +65,14 @@ def file_profile(df: DataFrame) -> DataFrame:
 
 
 def co_partition(left: DataFrame, right: DataFrame, key: str, n: int) -> tuple[DataFrame, DataFrame]:
-    """Hash-partition both sides by the join key into n partitions; a join
-    on ``key`` then reuses this partitioning and adds no further Exchange."""
+    """Hash-partition both sides by the join key into n partitions; a
+    sort-merge join on ``key`` (and an aggregate grouped by it) then reuses this
+    partitioning and adds no further Exchange."""
     return left.repartition(n, key), right.repartition(n, key)
+
+
+def co_partitioned_join(left: DataFrame, right: DataFrame, key: str, n: int, how: str = "inner") -> DataFrame:
+    """Join two sides co-partitioned on ``key``; the merge hint keeps the
+    planner from broadcasting one side, which would waste its shuffle."""
+    lp, rp = co_partition(left, right, key, n)
+    return lp.hint("merge").join(rp, key, how)

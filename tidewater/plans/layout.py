@@ -158,8 +158,8 @@ def co_partitioned_join(spark: SparkSession, d: str) -> DataFrame:
     per-order aggregate reuse that partitioning (no further Exchange)."""
     orders = read_table(spark, d, "orders", "o_orderkey", "o_custkey")
     li = read_table(spark, d, "lineitem", "l_orderkey").withColumnRenamed("l_orderkey", "o_orderkey")
-    left, right = part_ops.co_partition(orders, li, "o_orderkey", 8)
-    return agg.count_by(left.join(right, "o_orderkey"), ["o_orderkey", "o_custkey"], "lines")
+    joined = part_ops.co_partitioned_join(orders, li, "o_orderkey", 8)
+    return agg.count_by(joined, ["o_orderkey", "o_custkey"], "lines")
 
 
 @register(
