@@ -225,3 +225,16 @@ def test_hot_key_distinct_members(spark):
     assert hot.count() == 50
     first = hot.first()
     assert first.group_rows == 3000 and first.group_distinct == 50
+
+
+def test_salted_join_equals_plain_join_on_hot_key(spark):
+    many = spark.createDataFrame([(1 if i % 3 else i, i) for i in range(300)], "k int, v int")
+    one = spark.createDataFrame([(k, f"n{k}") for k in range(0, 300, 3)] + [(1, "hot")], "k int, name string")
+    for how in ("inner", "left"):
+        plain = many.join(one, "k", how)
+        salted = joins.salted_join(many, one, ["k"], 8, how)
+        assert sorted(map(tuple, plain.select("k", "v", "name").collect())) == sorted(
+            map(tuple, salted.select("k", "v", "name").collect())
+        )
+    spread = joins.salt_many_side(many.filter("k = 1"), 8).select("__salt").distinct().count()
+    assert spread > 1

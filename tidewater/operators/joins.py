@@ -140,3 +140,40 @@ def ids_to_map(
     entry = F.when(F.col("__name").isNotNull(), F.struct(F.col("__id").alias("key"), F.col("__name").alias("value")))
     maps = named.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias(out))
     return df.drop(ids_col).join(maps, keys, "left")
+
+
+SALT = "__salt"
+
+
+def salt_many_side(df: DataFrame, buckets: int, spread: Sequence[str] | None = None) -> DataFrame:
+    """Give each row of the many side a salt in [0, buckets), from a hash of
+    its own columns (deterministic, so a recomputed task salts the same way)."""
+    cols = list(spread) if spread else df.columns
+    return df.withColumn(SALT, F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(buckets)).cast("int"))
+
+
+def replicate_one_side(df: DataFrame, buckets: int) -> DataFrame:
+    """Copy each row of the one side once per salt value."""
+    return df.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+
+
+def salted_join(
+    many: DataFrame,
+    one: DataFrame,
+    keys: Sequence[str],
+    buckets: int,
+    how: str = "inner",
+    spread: Sequence[str] | None = None,
+) -> DataFrame:
+    """Equi-join where one key may hold a large share of ``many``'s rows.
+
+    ``many`` rows of a key are spread over ``buckets`` salts; ``one`` is
+    replicated per salt and the join runs on (keys, salt), so a hot key is
+    handled by ``buckets`` tasks. Same result as ``many.join(one, keys, how)``
+    for ``how`` in inner / left (rows of ``one`` without a match in a right /
+    full join would be repeated per salt, so those are not offered).
+    """
+    if how not in ("inner", "left", "left_outer"):
+        raise ValueError("salted_join supports inner and left joins")
+    salted = salt_many_side(many, buckets, spread)
+    return salted.join(replicate_one_side(one, buckets), [*keys, SALT], how).drop(SALT)

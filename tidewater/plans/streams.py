@@ -219,5 +219,6 @@ def stream_static_join_q(spark: SparkSession, d: str) -> DataFrame:
 def stream_stream_join_q(spark: SparkSession, d: str) -> DataFrame:
     orders = sources.table_stream(spark, d, "orders").select("o_orderkey", "o_custkey")
     li = sources.table_stream(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    joined = stream_stream_join(orders, li, orders["o_orderkey"] == li["l_orderkey"])
+    # one order : many line items; a hot order key is spread over 4 salts
+    joined = stream_stream_join(orders, li, orders["o_orderkey"] == li["l_orderkey"], salt_buckets=4)
     return sinks.run_append(joined.select("o_orderkey", "l_linenumber", "o_custkey", "l_quantity"), "stream_stream")

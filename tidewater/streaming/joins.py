@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.operators.joins import SALT, replicate_one_side, salt_many_side
+
 
 def stream_static_join(stream: DataFrame, static: DataFrame, on: Column | str, how: str = "inner") -> DataFrame:
     """ST20: inner / left (stream on the left) joins against a static table."""
@@ -29,11 +31,25 @@ def stream_stream_join(
     left_watermark: str | None = None,
     right_watermark: str | None = None,
     within: str | None = None,
+    salt_buckets: int | None = None,
 ) -> DataFrame:
     """ST21: join two streams. With ``within`` (e.g. '2 hours') the right event
     time must lie in [left time, left time + within], which lets the watermarks
-    bound the state."""
+    bound the state.
+
+    ``salt_buckets``: for a key-to-many join (``left`` has one row per key,
+    ``right`` many), spread each key's ``right`` rows over that many salts and
+    replicate ``left`` per salt, so a hot key's state and work are split over
+    several partitions (streaming joins get no AQE skew handling). Inner joins
+    only; the salt columns are dropped from the output."""
+    if salt_buckets and how != "inner":
+        raise ValueError("salted stream joins are inner joins")
     cond = on
+    if salt_buckets:
+        # left = the one side (replicated per salt), right = the many side (spread)
+        left = replicate_one_side(left, salt_buckets).withColumnRenamed(SALT, "__salt_l")
+        right = salt_many_side(right, salt_buckets).withColumnRenamed(SALT, "__salt_r")
+        cond = cond & (left["__salt_l"] == right["__salt_r"])
     if left_watermark:
         left = left.withColumn(left_time, F.col(left_time).cast("timestamp")).withWatermark(left_time, left_watermark)
     if right_watermark:
@@ -42,4 +58,5 @@ def stream_stream_join(
         cond = cond & (right[right_time] >= left[left_time]) & (
             right[right_time] <= left[left_time] + F.expr(f"INTERVAL {within}")
         )
-    return left.join(right, cond, how)
+    out = left.join(right, cond, how)
+    return out.drop("__salt_l", "__salt_r") if salt_buckets else out
