@@ -111,3 +111,12 @@ def test_layout_one_file_per_value_when_small(spark):
 def test_partition_profile_counts_all_rows(spark):
     rows = Q["partition_profile"](spark, SF_SMALL).collect()
     assert sum(r.rows for r in rows) == read_table(spark, SF_SMALL, "orders").count()
+
+
+def test_coalesce_is_narrow_and_keeps_rows(spark):
+    df = Q["coalesce_profile"](spark, SF_SMALL)
+    rows = df.collect()
+    assert len(rows) == 3
+    assert sum(r.rows for r in rows) == read_table(spark, SF_SMALL, "orders").count()
+    plan = plan_of(df, "simple")
+    assert "Coalesce 3" in plan

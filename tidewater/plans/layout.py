@@ -120,14 +120,22 @@ def partition_profile(spark: SparkSession, d: str) -> DataFrame:
     return part_ops.partition_profile(part_ops.repartition_to(orders, 8, "o_custkey"), "o_custkey")
 
 
-@register("hash_partition", None, ("E18", "R2"))
+@register("coalesce_profile", None, ("R2", "R4"))
+def coalesce_profile(spark: SparkSession, d: str) -> DataFrame:
+    """R2: 8 hash partitions merged into 3 without a shuffle (narrow); the
+    profile shows 3 partitions holding all rows."""
+    orders = read_table(spark, d, "orders", "o_custkey")
+    merged = part_ops.coalesce_to(part_ops.repartition_to(orders, 8, "o_custkey"), 3)
+    return part_ops.partition_profile(merged, "o_custkey")
+
+
+@register("hash_partition", None, ("E18",))
 def hash_partition(spark: SparkSession, d: str) -> DataFrame:
-    """murmur3 hash of the key and its partition under pmod(hash, 3);
-    DuckDB has no murmur3, so this is checked by rows and by a test that the
-    rows of one value share one partition."""
+    """murmur3 hash of each priority and its partition under
+    pmod(hash, 3) (never negative, unlike hash % 3). DuckDB has no murmur3, so
+    this is checked by rows and by tests."""
     orders = read_table(spark, d, "orders", "o_orderpriority")
-    keyed = orders.select("o_orderpriority").distinct()
-    return part_ops.coalesce_to(keyed, 1).select(
+    return orders.select("o_orderpriority").distinct().select(
         "o_orderpriority",
         F.hash("o_orderpriority").alias("hash"),
         part_ops.hash_partition_id("o_orderpriority", 3).alias("partition"),
