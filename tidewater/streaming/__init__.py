@@ -5,6 +5,7 @@ from tidewater.streaming.sinks import (
     run_epochs,
     run_keyed,
     run_per_batch,
+    start_append,
     write_json_per_batch,
 )
 from tidewater.streaming.sources import (
@@ -20,6 +21,6 @@ from tidewater.streaming.windows import processing_time_sum, windowed_sum, with_
 __all__ = [
     "csv_stream", "json_stream", "parse_csv_lines", "parse_json_lines", "processing_time_sum",
     "read_json_batches", "run_append", "run_epochs", "run_keyed", "run_per_batch", "stream_static_join",
-    "stream_stream_join", "table_stream", "text_stream", "windowed_sum", "with_event_time",
+    "stream_stream_join", "start_append", "table_stream", "text_stream", "windowed_sum", "with_event_time",
     "write_json_per_batch",
 ]

@@ -44,6 +44,23 @@ def run_append(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
+def start_append(stream: DataFrame, name: str, processing_time: str = "2 seconds"):
+    """ST17: a continuous append query on a processing-time trigger (the
+    reference's ``trigger(processingTime="2 seconds")``). Returns the running
+    query and the output path; the caller stops it."""
+    spark = stream.sparkSession
+    out = shared_path(spark, "streams", f"{name}-out")
+    q = (
+        stream.writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", shared_path(spark, "streams", f"{name}-ckpt"))
+        .outputMode("append")
+        .trigger(processingTime=processing_time)
+        .start()
+    )
+    return q, out
+
+
 def run_epochs(stream: DataFrame, name: str, mode: str = "update") -> DataFrame:
     """Run to the end in update / complete mode; every micro-batch's output
     rows are kept with their ``epoch`` (batch id) — the change log of the result."""
