@@ -59,9 +59,13 @@ def partition_profile(df: DataFrame, value_col: str | None = None) -> DataFrame:
     return df.select(pid, *([value_col] if value_col else [])).groupBy("partition").agg(*aggs)
 
 
-def file_profile(df: DataFrame) -> DataFrame:
-    """K5 report: rows per data file of a written table (small-file check)."""
-    return df.select(F.input_file_name().alias("file")).groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
+def file_profile(df: DataFrame, *keys: str) -> DataFrame:
+    """K5 report: files and rows per value of ``keys`` in a table read from
+    files (small-file check: files = tasks x values without a rebalance)."""
+    per_file = df.select(*keys, F.input_file_name().alias("file")).groupBy(*keys, "file").agg(
+        F.count(F.lit(1)).alias("file_rows")
+    )
+    return per_file.groupBy(*keys).agg(F.count(F.lit(1)).alias("files"), F.sum("file_rows").cast("long").alias("rows"))
 
 
 def co_partition(left: DataFrame, right: DataFrame, key: str, n: int) -> tuple[DataFrame, DataFrame]:

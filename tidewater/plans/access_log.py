@@ -75,7 +75,7 @@ def log_frame(events: DataFrame) -> DataFrame:
     )
 
 
-_LOG_CTE = f"""
+LOG_CTE_SQL = f"""
 WITH logs AS (
   SELECT CAST(user_id AS VARCHAR) AS ip, ts AS timestamp, upper(event_type) AS method,
          '/' || {_K_SQL} AS endpoint, {_STATUS_SQL} AS status_code, value AS latency
@@ -178,7 +178,7 @@ def _latency_stats(df: DataFrame) -> DataFrame:
     return agg.min_max_mean(df, ["method", "endpoint"], "latency", names, exact_scale=2)
 
 
-@register("latency_stats", _LOG_CTE + _STATS_SELECT.format(where=""), ("A5",))
+@register("latency_stats", LOG_CTE_SQL + _STATS_SELECT.format(where=""), ("A5",))
 def latency_stats(spark: SparkSession, d: str) -> DataFrame:
     return _latency_stats(_logs(spark, d))
 
@@ -190,7 +190,7 @@ def filter_status_400_users(df: DataFrame, status: str = "404", endpoint: str =
 
 @register(
     "filtered_latency_stats",
-    _LOG_CTE + _STATS_SELECT.format(where="WHERE status_code = '404' AND endpoint = '/7'"),
+    LOG_CTE_SQL + _STATS_SELECT.format(where="WHERE status_code = '404' AND endpoint = '/7'"),
     ("C3", "F1", "A5"),
 )
 def filtered_latency_stats(spark: SparkSession, d: str) -> DataFrame:
@@ -199,7 +199,7 @@ def filtered_latency_stats(spark: SparkSession, d: str) -> DataFrame:
 
 @register(
     "minute_set",
-    _LOG_CTE
+    LOG_CTE_SQL
     + """, pairs AS (
         SELECT CAST(hour(timestamp) AS INTEGER) AS hour, CAST(minute(timestamp) AS INTEGER) AS minute, ip,
                count(*) AS member_rows

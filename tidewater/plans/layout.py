@@ -147,10 +147,7 @@ def layout_file_counts(spark: SparkSession, d: str) -> DataFrame:
     """K5 report: files and rows per partition value of a partitioned write."""
     orders = read_table(spark, d, "orders", "o_orderkey", "o_orderpriority")
     table = save_partitioned(spark, orders, ["o_orderpriority"])
-    per_file = table.select("o_orderpriority", F.input_file_name().alias("file")).groupBy("o_orderpriority", "file").count()
-    return per_file.groupBy("o_orderpriority").agg(
-        F.count(F.lit(1)).alias("files"), F.sum("count").cast("long").alias("rows")
-    )
+    return part_ops.file_profile(table, "o_orderpriority")
 
 
 @register(

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators import ranking
-from tidewater.plans.access_log import _LOG_CTE, filter_status_400_users, log_frame
+from tidewater.plans.access_log import LOG_CTE_SQL, filter_status_400_users, log_frame
 from tidewater.plans.registry import register
 from tidewater.sources.tables import read_table
 from tidewater.streaming import sinks, sources, windows
@@ -147,7 +147,7 @@ def stream_json_parse(spark: SparkSession, d: str) -> DataFrame:
 
 @register(
     "stream_filter",
-    _LOG_CTE + "SELECT * FROM logs WHERE status_code = '404' AND endpoint = '/7'",
+    LOG_CTE_SQL + "SELECT * FROM logs WHERE status_code = '404' AND endpoint = '/7'",
     ("ST7", "F1"),
 )
 def stream_filter(spark: SparkSession, d: str) -> DataFrame:

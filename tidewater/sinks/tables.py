@@ -15,8 +15,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tidewater.operators.aggregates import keep_latest
 from tidewater.session import shared_path, unique_name
@@ -169,12 +167,3 @@ def evolve_partition(
     view = old_t.select(*cols).unionByName(new_t.select(*cols))
     view.createOrReplaceTempView(name)
     return spark.table(name)
-
-
-def empty_like(spark: SparkSession, schema: StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
-def files_written(df: DataFrame) -> DataFrame:
-    """Distinct data files behind a DataFrame read from files."""
-    return df.select(F.input_file_name().alias("file")).distinct()
