@@ -88,6 +88,25 @@ def top_per_hour(spark: SparkSession, d: str) -> DataFrame:
     return ranking.rank_first(flat, ["start"], [F.col("total").desc()]).drop("rank")
 
 
+@register(
+    "stream_top_domain",
+    f"""
+    WITH h AS ({_DOMAIN_HOUR_SQL})
+    SELECT start, "end", domain, total FROM h
+    WHERE "end" <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
+    QUALIFY row_number() OVER (PARTITION BY start ORDER BY total DESC, domain DESC) = 1
+    """,
+    ("ST13", "W1", "ST15"),
+)
+def stream_top_domain(spark: SparkSession, d: str) -> DataFrame:
+    """The domain with the most traffic in each hour, on the stream itself:
+    chained aggregation in append mode; the hours still open at the end of the
+    input (within the 10-minute watermark) are not emitted yet."""
+    ev = _events(spark, d).withColumnRenamed("event_type", "domain")
+    top = windows.top_item_per_window(ev, "ts", "domain", "value", "1 hour", "10 minutes")
+    return sinks.run_append(top, "top_domain")
+
+
 @register(
     "stream_watermark",
     f"""

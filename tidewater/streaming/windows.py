@@ -52,3 +52,36 @@ def processing_time_sum(stream: DataFrame, value: Column, duration: str, out: st
     stamped = stream.select(value.alias("__v"), F.current_timestamp().alias("processing_time"))
     agg = stamped.groupBy(F.window("processing_time", duration).alias("w")).agg(F.sum("__v").alias(out))
     return agg.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), out)
+
+
+def top_item_per_window(
+    stream: DataFrame,
+    time_col: str,
+    item_col: str,
+    value: str,
+    duration: str,
+    watermark: str,
+    out: str = "total",
+    decimals: int | None = 2,
+) -> DataFrame:
+    """ST13 + W1 on a stream: per event-time window, the item with the largest
+    summed value (ties -> the greatest item).
+
+    Ranking is refused on streams, so the top item comes from a second
+    aggregation over the first one's windows (``max_by``); Spark chains the two
+    stateful operators under one watermark in append mode, so each window is
+    written once, when it is closed. State stays bounded by the watermark.
+    """
+    s = with_event_time(stream, time_col).withWatermark(time_col, watermark)
+    total = F.sum(value)
+    if decimals is not None:
+        total = F.round(total, decimals)
+    per_item = s.groupBy(F.window(F.col(time_col), duration).alias("w"), F.col(item_col)).agg(total.alias(out))
+    best = F.struct(F.col(out), F.col(item_col))
+    top = per_item.groupBy("w").agg(F.max_by(best, best).alias("best"))
+    return top.select(
+        F.col("w.start").cast("timestamp_ntz").alias("start"),
+        F.col("w.end").cast("timestamp_ntz").alias("end"),
+        F.col(f"best.{item_col}").alias(item_col),
+        F.col(f"best.{out}").alias(out),
+    )
