@@ -238,3 +238,28 @@ def test_salted_join_equals_plain_join_on_hot_key(spark):
         )
     spread = joins.salt_many_side(many.filter("k = 1"), 8).select("__salt").distinct().count()
     assert spread > 1
+
+
+def test_broadcast_guard_checks_rows_and_bytes(spark):
+    small = spark.createDataFrame([(i, "x" * 10) for i in range(100)], "k int, s string")
+    assert joins.fits_broadcast(small, max_rows=100, max_bytes=10_000)
+    assert not joins.fits_broadcast(small, max_rows=99)
+    assert not joins.fits_broadcast(small, max_rows=100, max_bytes=1_000)  # 100 x (8 + 10) bytes
+    big = spark.range(10).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        refused = _plan(joins.broadcast_join(big, small, "k", max_rows=10))
+        allowed = _plan(joins.broadcast_join(big, small, "k"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" not in refused and "BroadcastHashJoin" in allowed
+
+
+def _plan(df) -> str:
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()

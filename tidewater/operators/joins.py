@@ -3,9 +3,9 @@
 Strategy is Catalyst's and AQE's to choose from statistics; operators only add
 a hint where the caller asks for one:
 
-* ``broadcast_join`` broadcasts the small side only after a bounded row count
-  proves it small (``limit(max_rows + 1).count()`` reads at most that many
-  rows); above the bound it falls back to a shuffle join.
+* ``broadcast_join`` broadcasts the small side only after a bounded probe
+  proves it small: one pass over at most ``max_rows + 1`` rows counts them and
+  sums their bytes; above either bound it falls back to a shuffle join.
 * ``merge_join`` forces sort-merge by hint, not by a global setting.
 * Join counts (J8) are computed from per-key counts of both sides, so a hot
   key costs ``n_left * n_right`` arithmetic, never that many output rows.
@@ -17,9 +17,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
-# Rows a dimension may have to be broadcast (about tens of MB for narrow rows).
+# Bounds a dimension must stay under to be broadcast.
 DEFAULT_BROADCAST_ROWS = 200_000
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 JOIN_TYPES = ("inner", "left", "right", "full")
 
@@ -29,9 +31,26 @@ def join_on(left: DataFrame, right: DataFrame, on: str | Sequence[str] | Column,
     return left.join(right, on=on, how=how)
 
 
-def fits_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """Bounded size check: never scans more than ``max_rows + 1`` rows."""
-    return small.limit(max_rows + 1).count() <= max_rows
+def _value_bytes(field) -> Column:
+    """Bytes a value takes (strings / binary by their length, complex types by
+    their JSON text, the rest by fixed width) — for a size bound, not storage."""
+    c = F.col(f"`{field.name}`")
+    t = field.dataType
+    if isinstance(t, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0))
+    if isinstance(t, (ArrayType, MapType, StructType)):
+        return F.coalesce(F.octet_length(F.to_json(c)), F.lit(0))
+    return F.lit(8)
+
+
+def fits_broadcast(
+    small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES
+) -> bool:
+    """Proven size bound: one pass over at most ``max_rows + 1`` rows counts
+    them and sums their bytes; both must stay under the bounds."""
+    width = sum((_value_bytes(f) for f in small.schema.fields), F.lit(0))
+    probe = small.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
+    return probe["rows"] <= max_rows and (probe["bytes"] or 0) <= max_bytes
 
 
 def broadcast_join(
@@ -40,9 +59,10 @@ def broadcast_join(
     on: str | Sequence[str] | Column,
     how: str = "inner",
     max_rows: int = DEFAULT_BROADCAST_ROWS,
+    max_bytes: int = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
     """Broadcast hash join when ``small`` is proven small, else shuffle join."""
-    right = F.broadcast(small) if fits_broadcast(small, max_rows) else small
+    right = F.broadcast(small) if fits_broadcast(small, max_rows, max_bytes) else small
     return big.join(right, on=on, how=how)
 
 
