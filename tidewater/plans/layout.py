@@ -15,7 +15,7 @@ from tidewater.operators import aggregates as agg
 from tidewater.operators import filters as flt
 from tidewater.operators import partitioning as part_ops
 from tidewater.plans.registry import register
-from tidewater.session import unique_name
+from tidewater.session import parallelism, unique_name
 from tidewater.sinks.tables import create_table_as, evolve_partition, save_bucketed, save_partitioned
 from tidewater.sources.tables import read_table
 
@@ -67,11 +67,10 @@ def join_dpp(spark: SparkSession, d: str) -> DataFrame:
     return nation.join(cust, nation["n_nationkey"] == cust["c_nationkey"]).select("c_custkey", "c_acctbal", "n_name")
 
 
-BUCKETS = 8
-
-
-def bucketed_pair(spark: SparkSession, d: str, buckets: int = BUCKETS) -> tuple[DataFrame, DataFrame]:
-    """K6/K8: orders and customer bucketed (and sorted) alike on the customer key."""
+def bucketed_pair(spark: SparkSession, d: str, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """K6/K8: orders and customer bucketed (and sorted) alike on the customer key,
+    as many buckets as the session's shuffle parallelism."""
+    buckets = buckets or parallelism(spark)
     orders = save_bucketed(
         spark, read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_totalprice"), buckets, ["o_custkey"], ["o_custkey"]
     )
@@ -117,15 +116,16 @@ def custom_partition(spark: SparkSession, d: str) -> DataFrame:
 def partition_profile(spark: SparkSession, d: str) -> DataFrame:
     """Rows per partition after hashing orders on the customer key (skew report)."""
     orders = read_table(spark, d, "orders", "o_custkey")
-    return part_ops.partition_profile(part_ops.repartition_to(orders, 8, "o_custkey"), "o_custkey")
+    return part_ops.partition_profile(part_ops.repartition_to(orders, parallelism(spark), "o_custkey"), "o_custkey")
 
 
 @register("coalesce_profile", None, ("R2", "R4"))
 def coalesce_profile(spark: SparkSession, d: str) -> DataFrame:
-    """R2: 8 hash partitions merged into 3 without a shuffle (narrow); the
-    profile shows 3 partitions holding all rows."""
+    """R2: the session's n hash partitions merged into n / 2 without a shuffle
+    (narrow); the profile shows n / 2 partitions holding all rows."""
     orders = read_table(spark, d, "orders", "o_custkey")
-    merged = part_ops.coalesce_to(part_ops.repartition_to(orders, 8, "o_custkey"), 3)
+    n = parallelism(spark)
+    merged = part_ops.coalesce_to(part_ops.repartition_to(orders, n, "o_custkey"), max(1, n // 2))
     return part_ops.partition_profile(merged, "o_custkey")
 
 
@@ -163,7 +163,7 @@ def co_partitioned_join(spark: SparkSession, d: str) -> DataFrame:
     per-order aggregate reuse that partitioning (no further Exchange)."""
     orders = read_table(spark, d, "orders", "o_orderkey", "o_custkey")
     li = read_table(spark, d, "lineitem", "l_orderkey").withColumnRenamed("l_orderkey", "o_orderkey")
-    joined = part_ops.co_partitioned_join(orders, li, "o_orderkey", 8)
+    joined = part_ops.co_partitioned_join(orders, li, "o_orderkey", parallelism(spark))
     return agg.count_by(joined, ["o_orderkey", "o_custkey"], "lines")
 
 

@@ -75,5 +75,12 @@ def shared_path(spark: SparkSession, kind: str, name: str) -> str:
     return f"{shared_root(spark)}/tidewater/{kind}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def parallelism(spark: SparkSession) -> int:
+    """The session's shuffle parallelism (``spark.sql.shuffle.partitions``),
+    which the operator sizes for the cluster and data; partition and bucket
+    counts follow it instead of being fixed in code."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:12]}"
