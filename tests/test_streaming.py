@@ -173,3 +173,13 @@ def test_processing_time_trigger_picks_up_new_files(spark, tmp_dir):
     finally:
         q.stop()
     assert spark.read.parquet(out).count() == 4
+
+
+def test_stable_location_resumes_from_checkpoint(spark, tmp_dir):
+    src = _one_line_per_file(f"{tmp_dir}/resume", WATERMARK_SAMPLE[:2])
+    loc = f"{tmp_dir}/resume-sink"
+    first = run_append(_parsed(text_stream(spark, src)), "resume", location=loc, large_state=True).count()
+    with open(f"{src}/part-late.txt", "w") as f:
+        f.write(WATERMARK_SAMPLE[2] + "\n")
+    second = run_append(_parsed(text_stream(spark, src)), "resume", location=loc).count()
+    assert (first, second) == (2, 3)  # the restart only read the new file

@@ -240,4 +240,7 @@ def stream_stream_join_q(spark: SparkSession, d: str) -> DataFrame:
     li = sources.table_stream(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     # one order : many line items; a hot order key is spread over 4 salts
     joined = stream_stream_join(orders, li, orders["o_orderkey"] == li["l_orderkey"], salt_buckets=4)
-    return sinks.run_append(joined.select("o_orderkey", "l_linenumber", "o_custkey", "l_quantity"), "stream_stream")
+    # no watermark (as in the reference): every row stays in state, so it is disk-backed
+    return sinks.run_append(
+        joined.select("o_orderkey", "l_linenumber", "o_custkey", "l_quantity"), "stream_stream", large_state=True
+    )

@@ -14,6 +14,7 @@ in driver memory (no memory sink, no console sink).
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,24 +23,55 @@ from tidewater.operators.aggregates import keep_latest
 from tidewater.session import shared_path
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+@contextmanager
+def _state_store(spark: SparkSession, large_state: bool):
+    """Disk-backed (RocksDB) state for queries whose state is not bounded by a
+    watermark; the choice is recorded in the checkpoint at the first start."""
+    if not large_state:
+        yield
+        return
+    old = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(_PROVIDER)
+        else:
+            spark.conf.set(_PROVIDER, old)
+
+
+def _locations(spark: SparkSession, name: str, location: str | None) -> tuple[str, str]:
+    """(output, checkpoint). A stable ``location`` lets a restarted run resume
+    from its checkpoint; without one each run gets fresh folders."""
+    if location:
+        return f"{location.rstrip('/')}/out", f"{location.rstrip('/')}/checkpoint"
+    return shared_path(spark, "streams", f"{name}-out"), shared_path(spark, "streams", f"{name}-ckpt")
+
+
 def _finish(query) -> None:
     query.awaitTermination()
     if query.exception() is not None:  # pragma: no cover - surfaced by awaitTermination
         raise query.exception()
 
 
-def run_append(stream: DataFrame, name: str) -> DataFrame:
+def run_append(stream: DataFrame, name: str, location: str | None = None, large_state: bool = False) -> DataFrame:
     """ST16 append: file sink, read back as a batch DataFrame."""
     spark = stream.sparkSession
-    out = shared_path(spark, "streams", f"{name}-out")
-    q = (
-        stream.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", shared_path(spark, "streams", f"{name}-ckpt"))
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+    out, ckpt = _locations(spark, name, location)
+    with _state_store(spark, large_state):
+        q = (
+            stream.writeStream.format("parquet")
+            .option("path", out)
+            .option("checkpointLocation", ckpt)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
     _finish(q)
     return spark.read.schema(stream.schema).parquet(out)
 
@@ -61,22 +93,25 @@ def start_append(stream: DataFrame, name: str, processing_time: str = "2 seconds
     return q, out
 
 
-def run_epochs(stream: DataFrame, name: str, mode: str = "update") -> DataFrame:
+def run_epochs(
+    stream: DataFrame, name: str, mode: str = "update", location: str | None = None, large_state: bool = False
+) -> DataFrame:
     """Run to the end in update / complete mode; every micro-batch's output
     rows are kept with their ``epoch`` (batch id) — the change log of the result."""
     spark = stream.sparkSession
-    out = shared_path(spark, "streams", f"{name}-out")
+    out, ckpt = _locations(spark, name, location)
 
     def write_epoch(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch_id}")
 
-    q = (
-        stream.writeStream.foreachBatch(write_epoch)
-        .option("checkpointLocation", shared_path(spark, "streams", f"{name}-ckpt"))
-        .outputMode(mode)
-        .trigger(availableNow=True)
-        .start()
-    )
+    with _state_store(spark, large_state):
+        q = (
+            stream.writeStream.foreachBatch(write_epoch)
+            .option("checkpointLocation", ckpt)
+            .outputMode(mode)
+            .trigger(availableNow=True)
+            .start()
+        )
     _finish(q)
     schema = stream.schema.add("epoch", "long")
     try:
@@ -85,10 +120,12 @@ def run_epochs(stream: DataFrame, name: str, mode: str = "update") -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def run_keyed(stream: DataFrame, name: str, keys: Sequence[str], mode: str = "update") -> DataFrame:
+def run_keyed(
+    stream: DataFrame, name: str, keys: Sequence[str], mode: str = "update", location: str | None = None
+) -> DataFrame:
     """ST16 update / complete: the latest row per key over the epoch log."""
     cols = stream.columns
-    return keep_latest(run_epochs(stream, name, mode), list(keys), ["epoch"]).select(*cols)
+    return keep_latest(run_epochs(stream, name, mode, location), list(keys), ["epoch"]).select(*cols)
 
 
 def run_per_batch(stream: DataFrame, name: str, per_batch: Callable[[DataFrame], DataFrame]) -> DataFrame:

@@ -15,12 +15,17 @@ from pyspark.sql.types import StructType
 from tidewater.sources.tables import table_path
 
 
+# Files per micro-batch when a table is read as a stream: a backlog of many
+# files is worked off in bounded batches (~128 GB at 128 MB files), not one.
+DEFAULT_FILES_PER_TRIGGER = 1000
+
+
 def table_stream(
     spark: SparkSession,
     sf_dir: str,
     name: str,
     schema: StructType | None = None,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = DEFAULT_FILES_PER_TRIGGER,
 ) -> DataFrame:
     """One TESTDATA table as a stream: the folder is watched, only ``<name>.parquet`` taken."""
     schema = schema or spark.read.parquet(table_path(sf_dir, name)).schema
