@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
@@ -71,6 +71,20 @@ def merge_join(left: DataFrame, right: DataFrame, on: str | Sequence[str] | Colu
     return left.hint("merge").join(right, on=on, how=how)
 
 
+def one_value_per_key(dim: DataFrame, key: str, value: str) -> DataFrame:
+    """A dimension with exactly one value per key (the smallest, if the input
+    has several), so joining it can never multiply rows.
+
+    ``distinct`` on (key, value) is a hash aggregate that shrinks the input to
+    the dimension's own size before anything is sorted; the window then only
+    sees those few rows (``dropDuplicates`` would sort-aggregate every input
+    row, as ``first()`` of a string cannot be hash-aggregated).
+    """
+    pairs = dim.select(key, value).distinct()
+    w = Window.partitionBy(key).orderBy(F.col(value).asc_nulls_last())
+    return pairs.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
+
+
 def lookup(
     df: DataFrame,
     code_col: str,
@@ -82,10 +96,10 @@ def lookup(
 ) -> DataFrame:
     """``dict.get(code)`` — value for the code, null when missing.
 
-    The lookup table is de-duplicated on its key so that the left side never
-    multiplies, then joined left-outer (broadcast when small).
+    The lookup table is reduced to one value per key so that the left side
+    never multiplies, then joined left-outer (broadcast when proven small).
     """
-    dim = table.select(F.col(key_col).alias("__lk"), F.col(value_col).alias(out)).dropDuplicates(["__lk"])
+    dim = one_value_per_key(table.select(F.col(key_col).alias("__lk"), F.col(value_col).alias(out)), "__lk", out)
     return broadcast_join(df, dim, F.col(code_col) == F.col("__lk"), "left", max_rows).drop("__lk")
 
 
@@ -155,7 +169,7 @@ def ids_to_map(
     """
     keys = list(row_key)
     exploded = df.select(*keys, F.explode_outer(F.array_distinct(ids_col)).alias("__id"))
-    d = dim.select(F.col(dim_key).alias("__id"), F.col(dim_value).alias("__name")).dropDuplicates(["__id"])
+    d = one_value_per_key(dim.select(F.col(dim_key).alias("__id"), F.col(dim_value).alias("__name")), "__id", "__name")
     named = broadcast_join(exploded, d, "__id", "left", max_rows)
     entry = F.when(F.col("__name").isNotNull(), F.struct(F.col("__id").alias("key"), F.col("__name").alias("value")))
     maps = named.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias(out))
