@@ -183,3 +183,15 @@ def test_stable_location_resumes_from_checkpoint(spark, tmp_dir):
         f.write(WATERMARK_SAMPLE[2] + "\n")
     second = run_append(_parsed(text_stream(spark, src)), "resume", location=loc).count()
     assert (first, second) == (2, 3)  # the restart only read the new file
+
+
+def test_json_line_stream_parse(spark, tmp_dir):
+    import json
+
+    from tidewater.streaming import parse_json_lines
+
+    src = _one_line_per_file(f"{tmp_dir}/traffic", [json.dumps({"id": "a", "domain": "x.com", "count": 3, "time": "2023-04-16 09:08:00"})])
+    rows = run_append(
+        parse_json_lines(text_stream(spark, src), "id string, domain string, count int, time timestamp"), "json_lines"
+    ).collect()
+    assert [(r.domain, r.count) for r in rows] == [("x.com", 3)]

@@ -99,11 +99,6 @@ def distinct_members(
     return pairs.join(totals, list(keys), "inner")
 
 
-def mean_and_count(df: DataFrame, keys: Sequence[str], value: str, counted: str, mean_name: str, count_name: str) -> DataFrame:
-    """Mean of a score and count of reviews per key."""
-    return df.groupBy(*keys).agg(F.avg(value).alias(mean_name), F.count(counted).alias(count_name))
-
-
 def global_count(df: DataFrame, name: str = "rows") -> DataFrame:
     """``count()`` as a one-row DataFrame (no driver round trip)."""
     return df.agg(F.count(F.lit(1)).alias(name))
