@@ -194,4 +194,4 @@ def test_json_line_stream_parse(spark, tmp_dir):
     rows = run_append(
         parse_json_lines(text_stream(spark, src), "id string, domain string, count int, time timestamp"), "json_lines"
     ).collect()
-    assert [(r.domain, r.count) for r in rows] == [("x.com", 3)]
+    assert [(r.domain, r["count"]) for r in rows] == [("x.com", 3)]
