@@ -22,6 +22,7 @@ from tidewater.functions.strings import first_token, split_on, strip_chars
 from tidewater.functions.temporal import ACCESS_LOG_TIME_FORMAT, hour_minute, parse_time
 from tidewater.operators import aggregates as agg
 from tidewater.operators import filters as flt
+from tidewater.operators.partitioning import ensure_parallelism
 from tidewater.plans.registry import register
 from tidewater.sources.tables import read_table
 
@@ -92,12 +93,12 @@ WITH parsed AS (
 
 
 def _parsed(spark: SparkSession, d: str) -> DataFrame:
-    events = read_table(spark, d, "events", "user_id", "ts", "event_type", "props")
+    events = ensure_parallelism(read_table(spark, d, "events", "user_id", "ts", "event_type", "props"))
     return parse_log_lines(render_log_lines(events))
 
 
 def _logs(spark: SparkSession, d: str) -> DataFrame:
-    return log_frame(read_table(spark, d, "events", "user_id", "ts", "event_type", "props", "value"))
+    return log_frame(ensure_parallelism(read_table(spark, d, "events", "user_id", "ts", "event_type", "props", "value")))
 
 
 @register("log_parse", _PARSED_CTE + "SELECT ip, time, method, endpoint, status, request FROM parsed",

@@ -12,6 +12,7 @@ from tidewater.functions.numeric import exact_mean_sql
 from tidewater.operators import aggregates as agg
 from tidewater.operators import filters as flt
 from tidewater.operators import joins, projections, ranking
+from tidewater.operators.partitioning import ensure_parallelism
 from tidewater.plans.registry import register
 from tidewater.session import unique_name
 from tidewater.sinks.tables import parquet_roundtrip
@@ -30,7 +31,7 @@ from tidewater.sources.tables import read_parquet, read_table, table_path
     ("A1", "P4", "P7", "E1", "E3"),
 )
 def word_count(spark: SparkSession, d: str) -> DataFrame:
-    return agg.word_count(read_table(spark, d, "documents", "text"), "text")
+    return agg.word_count(ensure_parallelism(read_table(spark, d, "documents", "text")), "text")
 
 
 # --- scans and projections --------------------------------------------------------------------
@@ -87,7 +88,7 @@ def rename_drop(spark: SparkSession, d: str) -> DataFrame:
     ("P8", "E19", "E20"),
 )
 def json_expand(spark: SparkSession, d: str) -> DataFrame:
-    ev = read_table(spark, d, "events", "event_id", "props")
+    ev = ensure_parallelism(read_table(spark, d, "events", "event_id", "props"))
     parsed = ev.select("event_id", structs.parse_json("props", "k INT").alias("p"))
     return projections.expand(parsed, "p", keep=["event_id"])
 
@@ -182,7 +183,7 @@ _INT_SQL = (
 
 
 def _tokens(spark: SparkSession, d: str) -> DataFrame:
-    docs = read_table(spark, d, "documents", "doc_id", "text")
+    docs = ensure_parallelism(read_table(spark, d, "documents", "doc_id", "text"))
     return projections.explode_split(docs, "text", "token", " ", keep=["doc_id"])
 
 
