@@ -15,10 +15,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
+
 # Bounds a dimension must stay under to be broadcast.
 DEFAULT_BROADCAST_ROWS = 200_000
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -43,14 +45,32 @@ def _value_bytes(field) -> Column:
     return F.lit(8)
 
 
+def bounded_copy(
+    small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES
+) -> DataFrame | None:
+    """The whole of ``small`` if it is proven under both bounds, else None.
+
+    At most ``max_rows + 1`` rows are computed and kept (memory, spilling to
+    disk; recomputed from lineage if an executor is lost); their count and
+    bytes are measured on that copy. When the count is within the bound the
+    copy *is* the complete small side, so a derived dimension is computed once,
+    not once to measure and again to join; when it is not, it is dropped.
+    """
+    copy = small.limit(max_rows + 1).persist(StorageLevel.MEMORY_AND_DISK)
+    width = sum((_value_bytes(f) for f in copy.schema.fields), F.lit(0))
+    probe = copy.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
+    if probe["rows"] <= max_rows and (probe["bytes"] or 0) <= max_bytes:
+        return copy
+    copy.unpersist()
+    return None
+
+
 def fits_broadcast(
     small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES
 ) -> bool:
-    """Proven size bound: one pass over at most ``max_rows + 1`` rows counts
-    them and sums their bytes; both must stay under the bounds."""
-    width = sum((_value_bytes(f) for f in small.schema.fields), F.lit(0))
-    probe = small.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
-    return probe["rows"] <= max_rows and (probe["bytes"] or 0) <= max_bytes
+    """Proven size bound: at most ``max_rows + 1`` rows are computed, counted
+    and measured; both bounds must hold."""
+    return bounded_copy(small, max_rows, max_bytes) is not None
 
 
 def broadcast_join(
@@ -61,8 +81,10 @@ def broadcast_join(
     max_rows: int = DEFAULT_BROADCAST_ROWS,
     max_bytes: int = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Broadcast hash join when ``small`` is proven small, else shuffle join."""
-    right = F.broadcast(small) if fits_broadcast(small, max_rows, max_bytes) else small
+    """Broadcast hash join when ``small`` is proven small (its bounded copy
+    is what gets broadcast), else a shuffle join on the original."""
+    copy = bounded_copy(small, max_rows, max_bytes)
+    right = F.broadcast(copy) if copy is not None else small
     return big.join(right, on=on, how=how)
 
 
