@@ -1,0 +1,26 @@
+"""Command line entry points that need no Spark session."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+
+from tidewater.__main__ import main
+
+
+def _run(*argv: str) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        assert main(list(argv)) == 0
+    return buf.getvalue()
+
+
+def test_list_shows_every_query_and_its_ids():
+    out = _run("list")
+    assert "word_count" in out and "A1" in out
+    assert "hash_partition" in out and "rows" in out
+
+
+def test_sql_prints_the_oracle():
+    assert "string_split" in _run("sql", "word_count")
+    assert "no SQL oracle" in _run("sql", "partition_profile")
