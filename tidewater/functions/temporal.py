@@ -47,11 +47,28 @@ def hour_minute(col: Column | str) -> tuple[Column, Column]:
     )
 
 
-def to_event_time(col: Column | str) -> Column:
-    """Streaming watermarks need TIMESTAMP (with zone); tables hold timestamp_ntz.
+def _ntz_epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def ntz_to_instant(col: Column | str) -> Column:
+    """timestamp_ntz -> TIMESTAMP whose UTC reading is the same wall clock.
 
-    With the session zone at UTC the round trip back via ``cast('timestamp_ntz')``
-    is exact.
+    Streaming watermarks need TIMESTAMP; ``cast('timestamp')`` would read the
+    wall clock in the session zone (shifting hour windows by its offset and
+    breaking at DST changes). Counting microseconds from the epoch does not
+    depend on any zone.
     """
     c = F.col(col) if isinstance(col, str) else col
-    return c.cast("timestamp")
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _ntz_epoch(), c))
+
+
+def instant_to_ntz(col: Column | str) -> Column:
+    """Inverse of ``ntz_to_instant``: the UTC wall clock of an instant as timestamp_ntz."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), _ntz_epoch())
+
+
+def to_event_time(col: Column | str) -> Column:
+    """Event time for watermarks from a timestamp_ntz column (zone-independent)."""
+    return ntz_to_instant(col)

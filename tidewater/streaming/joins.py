@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.joins import SALT, replicate_one_side, salt_many_side
+from tidewater.streaming.windows import with_event_time
 
 
 def stream_static_join(stream: DataFrame, static: DataFrame, on: Column | str, how: str = "inner") -> DataFrame:
@@ -51,9 +52,9 @@ def stream_stream_join(
         right = salt_many_side(right, salt_buckets).withColumnRenamed(SALT, "__salt_r")
         cond = cond & (left["__salt_l"] == right["__salt_r"])
     if left_watermark:
-        left = left.withColumn(left_time, F.col(left_time).cast("timestamp")).withWatermark(left_time, left_watermark)
+        left = with_event_time(left, left_time).withWatermark(left_time, left_watermark)
     if right_watermark:
-        right = right.withColumn(right_time, F.col(right_time).cast("timestamp")).withWatermark(right_time, right_watermark)
+        right = with_event_time(right, right_time).withWatermark(right_time, right_watermark)
     if within:
         cond = cond & (right[right_time] >= left[left_time]) & (
             right[right_time] <= left[left_time] + F.expr(f"INTERVAL {within}")

@@ -11,11 +11,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
+
+from tidewater.functions.temporal import instant_to_ntz, ntz_to_instant
+
+
+def is_ntz(df: DataFrame, col: str) -> bool:
+    return isinstance(df.schema[col].dataType, TimestampNTZType)
 
 
 def with_event_time(stream: DataFrame, col: str) -> DataFrame:
-    """Watermarks need TIMESTAMP (with zone); tables hold timestamp_ntz."""
-    return stream.withColumn(col, F.col(col).cast("timestamp"))
+    """Watermarks need TIMESTAMP; tables hold timestamp_ntz. The conversion
+    keeps the wall clock as UTC, independent of the session zone, so windows
+    align to wall-clock hours and minutes."""
+    return stream.withColumn(col, ntz_to_instant(col)) if is_ntz(stream, col) else stream
 
 
 def windowed_sum(
@@ -36,14 +45,15 @@ def windowed_sum(
     window bounds are converted back to timestamp_ntz on output.
     """
     s = stream
+    was_ntz = is_ntz(stream, time_col)
     if watermark:
         s = with_event_time(s, time_col).withWatermark(time_col, watermark)
     v = F.col(value) if isinstance(value, str) else value
     w = F.window(F.col(time_col), duration, slide) if slide else F.window(F.col(time_col), duration)
     agg = s.groupBy(w.alias("w"), *keys).agg(F.sum(v).alias(out))
     start, end = F.col("w.start"), F.col("w.end")
-    if watermark and ntz_output:
-        start, end = start.cast("timestamp_ntz"), end.cast("timestamp_ntz")
+    if watermark and ntz_output and was_ntz:
+        start, end = instant_to_ntz(start), instant_to_ntz(end)
     return agg.select(start.alias("start"), end.alias("end"), *keys, out)
 
 
@@ -72,6 +82,7 @@ def top_item_per_window(
     stateful operators under one watermark in append mode, so each window is
     written once, when it is closed. State stays bounded by the watermark.
     """
+    was_ntz = is_ntz(stream, time_col)
     s = with_event_time(stream, time_col).withWatermark(time_col, watermark)
     total = F.sum(value)
     if decimals is not None:
@@ -79,9 +90,10 @@ def top_item_per_window(
     per_item = s.groupBy(F.window(F.col(time_col), duration).alias("w"), F.col(item_col)).agg(total.alias(out))
     best = F.struct(F.col(out), F.col(item_col))
     top = per_item.groupBy("w").agg(F.max_by(best, best).alias("best"))
+    bound = instant_to_ntz if was_ntz else (lambda c: c)
     return top.select(
-        F.col("w.start").cast("timestamp_ntz").alias("start"),
-        F.col("w.end").cast("timestamp_ntz").alias("end"),
+        bound(F.col("w.start")).alias("start"),
+        bound(F.col("w.end")).alias("end"),
         F.col(f"best.{item_col}").alias(item_col),
         F.col(f"best.{out}").alias(out),
     )
