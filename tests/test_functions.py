@@ -90,3 +90,13 @@ def test_projection_helpers(spark):
     assert q.latency_seconds == 0.061
     words = projections.explode_split(spark.createDataFrame([("a b",)], "t string"), "t", "w").collect()
     assert [r.w for r in words] == ["a", "b"]
+
+
+def test_pattern_parse_ignores_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("10/Mar/2024:02:30:00",)], "t string")  # inside New York's DST gap
+        got = df.select(temporal.parse_time("t", temporal.ACCESS_LOG_TIME_FORMAT).alias("ts")).first().ts
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == dt.datetime(2024, 3, 10, 2, 30)

@@ -17,11 +17,16 @@ DOTTED_DATE_FORMAT = "yyyy.M.d"  # 2023.2.6
 
 
 def parse_time(col: Column | str, fmt: str | None = None) -> Column:
-    """String -> timestamp_ntz; null on text that does not parse."""
+    """String -> timestamp_ntz; null on text that does not parse.
+
+    With a pattern the text is parsed with an explicit UTC offset appended and
+    read back as the UTC wall clock, so the result never depends on the
+    session zone (a local time inside a DST gap would otherwise move an hour).
+    """
     c = F.col(col) if isinstance(col, str) else col
     if fmt is None:
         return c.try_cast("timestamp_ntz")
-    return F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
+    return instant_to_ntz(F.try_to_timestamp(F.concat(c, F.lit(" +00:00")), F.lit(f"{fmt} xxx")))
 
 
 def as_time(col: Column | str, fmt: str | None = None) -> Column:
