@@ -62,7 +62,7 @@ def customer_by_nation(spark: SparkSession, d: str) -> DataFrame:
     SELECT c_custkey, c_nationkey, c_acctbal * 2 AS double_acctbal
     FROM customer WHERE c_nationkey >= 5 AND c_nationkey <= 7
     """,
-    ("F6", "K3", "K4"),
+    ("F6", "K3", "K4", "S10"),
 )
 def partition_range_filter(spark: SparkSession, d: str) -> DataFrame:
     cust = customer_by_nation(spark, d)

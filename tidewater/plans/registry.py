@@ -53,4 +53,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load() -> None:
     # importing the modules registers their queries
-    from tidewater.plans import access_log, batch, catalog, course_scores, fire_calls, layout, streams  # noqa: F401
+    from tidewater.plans import access_log, batch, catalog, course_scores, fire_calls, formats, layout, streams  # noqa: F401

@@ -29,6 +29,23 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     return path
 
 
+# Text formats write timestamps with millisecond precision unless told otherwise;
+# these patterns keep the full microseconds (readers parse them by default).
+FULL_PRECISION = {
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
+
+
+def write_text_table(df: DataFrame, path: str, fmt: str = "csv", header: bool = False, mode: str = "overwrite") -> str:
+    """CSV / JSON write that loses no timestamp precision (K2 and the text-format sources)."""
+    writer = df.write.mode(mode).options(**FULL_PRECISION)
+    if fmt == "csv":
+        writer = writer.option("header", header)
+    getattr(writer, fmt)(path)
+    return path
+
+
 def parquet_roundtrip(spark: SparkSession, df: DataFrame, name: str = "roundtrip") -> DataFrame:
     """K1: write as parquet below the shared folder and read it back."""
     path = write_parquet(df, shared_path(spark, "tables", name))

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators.aggregates import keep_latest
 from tidewater.session import shared_path
+from tidewater.sinks.tables import write_text_table
 
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -161,7 +162,7 @@ def write_json_per_batch(stream: DataFrame, name: str) -> str:
     def write_epoch(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        batch.write.mode("overwrite").json(f"{out}/batch-{epoch_id}")
+        write_text_table(batch, f"{out}/batch-{epoch_id}", "json")
 
     q = (
         stream.writeStream.foreachBatch(write_epoch)
