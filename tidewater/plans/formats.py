@@ -10,7 +10,12 @@ timestamps and doubles, and glob paths.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidewater.functions.temporal import DAY_FIRST_DATE_FORMAT, month_of
+from tidewater.operators import aggregates as agg
+from tidewater.plans.access_log import parse_log_lines, render_log_lines
+from tidewater.plans.fire_calls import YEAR, calls_of_year
 from tidewater.plans.registry import register
 from tidewater.session import shared_path
 from tidewater.sinks.tables import write_text_table
@@ -64,3 +69,39 @@ def stream_text_parse(spark: SparkSession, d: str) -> DataFrame:
     path = _written(spark, read_table(spark, d, "customer"), "csv", "customer_lines")
     lines = text_stream(spark, path, max_files_per_trigger=1000)
     return run_append(parse_csv_lines(lines, CUSTOMER_SCHEMA), "text_parse")
+
+
+@register(
+    "calls_by_month_from_text",
+    f"""
+    SELECT CAST(month(o_orderdate) AS INTEGER) AS month, count(*) AS count
+    FROM orders WHERE year(o_orderdate) = {YEAR} GROUP BY 1
+    """,
+    ("E12", "F9", "S5", "A8"),
+)
+def calls_by_month_from_text(spark: SparkSession, d: str) -> DataFrame:
+    """Call dates arrive as ``dd/MM/yyyy`` text in a CSV with a header;
+    the year filter and the month come from the parsed date (text that does
+    not parse is null, not an error)."""
+    orders = read_table(spark, d, "orders", "o_orderkey", "o_orderdate").select(
+        "o_orderkey", F.date_format("o_orderdate", DAY_FIRST_DATE_FORMAT).alias("CallDate")
+    )
+    path = _written(spark, orders, "csv", "calls_csv", header=True)
+    calls = files.read_delimited(spark, path, "o_orderkey BIGINT, CallDate STRING", header=True)
+    in_year = calls_of_year(calls, "CallDate", YEAR, DAY_FIRST_DATE_FORMAT)
+    return agg.count_by(in_year, [month_of("CallDate", DAY_FIRST_DATE_FORMAT).alias("month")])
+
+
+@register(
+    "log_file_count_by_method",
+    "SELECT upper(event_type) AS method, count(*) AS count FROM events GROUP BY 1",
+    ("S1", "S2", "A2"),
+)
+def log_file_count_by_method(spark: SparkSession, d: str) -> DataFrame:
+    """The access log as real text files (written by Spark from ``events``),
+    read back line by line with ``read.text``, parsed, counted per method."""
+    events = read_table(spark, d, "events", "user_id", "ts", "event_type", "props")
+    path = shared_path(spark, "tables", "access_log_text")
+    render_log_lines(events).write.mode("overwrite").text(path)
+    return agg.count_by(parse_log_lines(files.read_lines(spark, path)), ["method"])
+
