@@ -263,3 +263,40 @@ def _plan(df) -> str:
     with contextlib.redirect_stdout(buf):
         df.explain()
     return buf.getvalue()
+
+
+def test_full_catalog_with_promotions(spark):
+    import datetime as dt
+
+    products, categories, reviews, _, sellers = _catalog_inputs(spark)
+    # fixed values: the five items and three promotions of the catalog example (subset of fields per item)
+    items = spark.createDataFrame(
+        [
+            (1, 1, 1, [1], "Iphone14", ["아이폰", "아이폰14", "아이폰 최신"], 1000000, 1681084800, 1683373422,
+             {"color": "red", "disk": "64GB", "ram": "8GB"}, True),
+            (2, 1, 1, [1], "Iphone14 Pro", ["아이폰", "아이폰14pro", "최신아이폰"], 1300000, 1681344000, 1683373422,
+             {"color": "blue", "disk": "128GB", "ram": "16GB"}, True),
+            (3, 1, 2, [], "Iphone14 Pro", ["아이폰", "아이폰14pro", "아이폰 14", "Iphone", "Iphone14"], 1300000, 1679100600,
+             1683373422, {"color": "blue", "disk": "128GB", "ram": "16GB"}, False),
+            (4, 2, 1, [3], "M1 Macbook Pro", ["맥북", "맥북프로", "M1맥북", "Mackbook"], 2000000, 1681084800, 1683373422,
+             {"color": "silver", "disk": "512GB", "ram": "16GB"}, True),
+            (5, 2, 1, [2], "M1 Macbook Pro", ["Mackbook", "맥북 프로", "맥북", "맥", "MAC"], 2500000, 1681084800, 1683373422,
+             {"color": "space grey", "disk": "512GB", "ram": "24GB"}, True),
+        ],
+        "item_id int, product_id int, seller_id int, promotion_ids array<int>, original_item_title string, "
+        "search_tag array<string>, price int, create_ts long, update_ts long, attrs map<string,string>, free_shipping boolean",
+    ).select(
+        "*",
+        F.timestamp_seconds("create_ts").alias("item_create_timestamp"),
+        F.timestamp_seconds("update_ts").alias("item_update_timestamp"),
+    ).drop("create_ts", "update_ts")
+    promotions = spark.createDataFrame(
+        [(1, "5월 한정 초특가 할인"), (2, "신학기 프로모션"), (3, "블랙프라이데이 특가")], "promotion_id int, name string"
+    )
+    catalog = build_catalog(products, categories, review_stats(reviews, review_id="review_id"), items, sellers, promotions)
+    assert catalog.count() == 5 and len(catalog.columns) == 16 and catalog.columns == sorted(catalog.columns)
+    rows = {r.item_id: r for r in catalog.collect()}
+    assert rows[1].promotions == {1: "5월 한정 초특가 할인"} and rows[3].promotions == {}
+    assert rows[4].categories == {1: "IT 전자기기", 3: "랩탑/노트북"} and rows[4].seller_name == "Apple 공식 리셀러"
+    assert round(rows[5].review_mean_score, 4) == 3.6667 and rows[5].review_count == 3
+    assert isinstance(rows[1].item_create_timestamp, dt.datetime)

@@ -1,8 +1,8 @@
 """Central product catalog (C5; J14, J15, A14, P1, P5, K9, K10).
 
 products (+ category map from their category ids, + review statistics)
-joined with items (+ seller name), one wide row per item, columns in name
-order, then written to a keyed table.
+joined with items (+ seller name, + promotion map from their promotion ids),
+one wide row per item, columns in name order, then written to a keyed table.
 
 Stand-ins (TESTDATA): product = part, its category ids = the brand number of
 ``p_brand`` ('Brand#17' -> [17]); category dimension = the distinct brands;
@@ -38,14 +38,24 @@ def build_catalog(
     reviews_stats: DataFrame,
     items: DataFrame,
     sellers: DataFrame,
+    promotions: DataFrame | None = None,
+    item_keys: tuple[str, ...] = ("item_id",),
 ) -> DataFrame:
     """products(product_id, product_name, category_ids), categories(category_id, category_name),
-    reviews_stats(product_id, ...), items(item keys..., product_id, seller_id, ...),
-    sellers(seller_id, seller_name) -> one row per item, columns sorted by name."""
+    reviews_stats(product_id, ...), items(item keys..., product_id, seller_id, [promotion_ids], ...),
+    sellers(seller_id, seller_name), optional promotions(promotion_id, name)
+    -> one row per item, columns sorted by name.
+
+    ``category_ids`` becomes ``categories`` map<id, name> per product and, when
+    promotions are given, ``promotion_ids`` becomes ``promotions`` map<id, name>
+    per item (unknown ids dropped; null or empty lists give an empty map).
+    """
     with_categories = joins.ids_to_map(
         products, ["product_id"], "category_ids", categories, "category_id", "category_name", "categories"
     )
     product_level = with_categories.join(reviews_stats, "product_id", "left")
+    if promotions is not None:
+        items = joins.ids_to_map(items, list(item_keys), "promotion_ids", promotions, "promotion_id", "name", "promotions")
     item_level = items.join(sellers, "seller_id", "left")
     return select_sorted(product_level.join(item_level, "product_id", "inner"))
 
