@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.scoring import band_score, band_score_sql
 from tidewater.operators import aggregates as agg
-from tidewater.operators import joins
 from tidewater.plans.registry import register
 from tidewater.sources.tables import read_table
 
@@ -26,18 +25,20 @@ def course_scores(chapters: DataFrame, views: DataFrame, titles: DataFrame) -> D
     """chapters(course_id, chapter_id), views(user_id, chapter_id), titles(course_id, title)
     -> (title, score) ordered by score desc.
 
-    Every aggregate is partial + final; the chapter dimension and the per-course
-    totals are broadcast only after a bounded size check.
+    Every aggregate is partial + final; the small sides (chapters, per-course
+    totals, titles) are broadcast by Spark's size statistics.
     """
     per_course = agg.count_by(chapters, ["course_id"], "chapter_count")
     seen = views.select("user_id", "chapter_id").distinct()
-    course_of = joins.broadcast_join(seen, chapters, "chapter_id")
+    # chapters, per-course counts and titles are small tables of known size:
+    # Spark broadcasts them by its own statistics (and AQE by measured sizes)
+    course_of = seen.join(chapters, "chapter_id")
     viewed = agg.count_by(course_of, ["user_id", "course_id"], "viewed")
-    ratio = joins.broadcast_join(viewed, per_course, "course_id").select(
+    ratio = viewed.join(per_course, "course_id").select(
         "course_id", band_score(F.col("viewed") / F.col("chapter_count")).alias("points")
     )
     mean = ratio.groupBy("course_id").agg(F.avg("points").alias("score"))
-    titled = joins.broadcast_join(mean, titles, "course_id")
+    titled = mean.join(titles, "course_id")
     return titled.select("title", "score").orderBy(F.col("score").desc(), F.col("title"))
 
 
