@@ -388,7 +388,7 @@ def count_by_month(spark: SparkSession, d: str) -> DataFrame:
 def count_by_place(spark: SparkSession, d: str) -> DataFrame:
     nation = read_table(spark, d, "nation", "n_nationkey", "n_name").filter(F.col("n_name") == "NATION_7")
     cust = read_table(spark, d, "customer", "c_custkey", "c_name", "c_nationkey")
-    local = joins.broadcast_join(cust, nation, cust["c_nationkey"] == nation["n_nationkey"])
+    local = cust.join(nation, cust["c_nationkey"] == nation["n_nationkey"])  # nation: broadcast by its statistics
     orders = read_table(spark, d, "orders", "o_custkey")
     placed = orders.join(local, orders["o_custkey"] == local["c_custkey"])
     return agg.count_by(placed, ["c_name"]).orderBy(F.col("count").desc())

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import aggregates as agg
 from tidewater.operators import filters as flt
-from tidewater.operators import joins
 from tidewater.plans.registry import register
 from tidewater.sources.tables import read_table
 
@@ -64,6 +63,6 @@ def year_calls_per_address(spark: SparkSession, d: str) -> DataFrame:
     calls = calls_of_year(read_table(spark, d, "orders", "o_custkey", "o_orderdate"), "o_orderdate", YEAR)
     nation = read_table(spark, d, "nation", "n_nationkey", "n_name").filter(F.col("n_name") == CITY)
     cust = read_table(spark, d, "customer", "c_custkey", "c_name", "c_nationkey")
-    in_city = joins.broadcast_join(cust, nation, cust["c_nationkey"] == nation["n_nationkey"])
+    in_city = cust.join(nation, cust["c_nationkey"] == nation["n_nationkey"])  # nation: broadcast by its statistics
     located = calls.join(in_city, calls["o_custkey"] == in_city["c_custkey"])
     return calls_per_address(located, "c_name")
