@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import os
 import sys
 
@@ -30,10 +32,23 @@ def duck():
     con.close()
 
 
+PYTHON_UDF_QUERIES = {"udf_prefix_cube", "udf_sql"}  # U1 / U2: the UDF surface itself
+
+
+def _plan(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
 @pytest.mark.parametrize("name", sorted(ENTRIES))
 def test_query_matches_oracle(spark, duck, name):
     e = ENTRIES[name]
     df = e.fn(spark, SF_SMALL)
+    plan = _plan(df)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert ("EvalPython" in plan) == (name in PYTHON_UDF_QUERIES)
     rows = [tuple(r) for r in df.collect()]
     if e.sql is None:
         assert len(rows) > 0
