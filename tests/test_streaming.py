@@ -195,3 +195,11 @@ def test_json_line_stream_parse(spark, tmp_dir):
         parse_json_lines(text_stream(spark, src), "id string, domain string, count int, time timestamp"), "json_lines"
     ).collect()
     assert [(r.domain, r["count"]) for r in rows] == [("x.com", 3)]
+
+
+def test_table_stream_reads_a_folder_table(spark, tmp_dir):
+    from tidewater.streaming import table_stream
+
+    folder = f"{tmp_dir}/tables"
+    spark.range(10).withColumnRenamed("id", "k").repartition(3).write.parquet(f"{folder}/nums.parquet")
+    assert run_append(table_stream(spark, folder, "nums"), "folder_table").count() == 10

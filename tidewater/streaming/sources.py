@@ -27,12 +27,21 @@ def table_stream(
     schema: StructType | None = None,
     max_files_per_trigger: int | None = DEFAULT_FILES_PER_TRIGGER,
 ) -> DataFrame:
-    """One TESTDATA table as a stream: the folder is watched, only ``<name>.parquet`` taken."""
-    schema = schema or spark.read.parquet(table_path(sf_dir, name)).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    """A table as a stream. A table stored as a folder of part files streams
+    that folder; a table stored as one ``<name>.parquet`` file (the TESTDATA
+    layout) streams its parent folder with a file-name filter, since a file
+    source watches folders."""
+    path = table_path(sf_dir, name)
+    batch = spark.read.parquet(path)
+    schema = schema or batch.schema
+    reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(sf_dir)
+    files = batch.inputFiles()
+    single_file = len(files) == 1 and files[0].rstrip("/").endswith(f"/{name}.parquet")
+    if single_file:
+        return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return reader.parquet(path)
 
 
 def _reader(spark: SparkSession, max_files_per_trigger: int | None):
