@@ -4,8 +4,10 @@ Strategy is Catalyst's and AQE's to choose from statistics; operators only add
 a hint where the caller asks for one:
 
 * ``broadcast_join`` broadcasts the small side only after a bounded probe
-  proves it small: one pass over at most ``max_rows + 1`` rows counts them and
-  sums their bytes; above either bound it falls back to a shuffle join.
+  proves it small: at most ``max_rows + 1`` rows are computed, kept, counted
+  and measured in bytes; if both bounds hold that kept copy is what is
+  broadcast, above either bound it falls back to a shuffle join.
+* ``salted_join`` splits a hot key of the many side where AQE cannot.
 * ``merge_join`` forces sort-merge by hint, not by a global setting.
 * Join counts (J8) are computed from per-key counts of both sides, so a hot
   key costs ``n_left * n_right`` arithmetic, never that many output rows.
@@ -20,14 +22,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
-
 # Bounds a dimension must stay under to be broadcast.
 DEFAULT_BROADCAST_ROWS = 200_000
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
-JOIN_TYPES = ("inner", "left", "right", "full")
-
-
 def join_on(left: DataFrame, right: DataFrame, on: str | Sequence[str] | Column, how: str = "inner") -> DataFrame:
     """Equi-join on a shared key name (merged) or on a condition."""
     return left.join(right, on=on, how=how)
