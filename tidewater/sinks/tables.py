@@ -62,7 +62,8 @@ def create_table_as(
     """K3/K4: ``CREATE TABLE t USING parquet [PARTITIONED BY (..)] LOCATION .. AS SELECT ..``."""
     location = location or shared_path(spark, "tables", name)
     part = f"PARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""
-    spark.sql(f"CREATE TABLE {name} USING parquet {part} LOCATION '{location}' AS {select_sql}")
+    quoted = location.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {name} USING parquet {part} LOCATION '{quoted}' AS {select_sql}")
     return spark.table(name)
 
 
