@@ -23,6 +23,10 @@ TESTED_ELSEWHERE = {
     "ST1": "test_json_line_stream_parse",
     "ST17": "test_processing_time_trigger_picks_up_new_files",
     "ST18": "test_stable_location_resumes_from_checkpoint",
+    "ST19": "test_static_and_stream_joins",
+    "S13": "test_range_source_and_views",
+    "E11": "test_time_parts",
+    "P4": "test_projection_helpers",
 }
 EXCLUDED = {
     "J5": "cartesian join: emits every pair (project rule)",

@@ -113,7 +113,7 @@ def stream_top_domain(spark: SparkSession, d: str) -> DataFrame:
     SELECT {_FIVE_MIN_SQL} AS start, {_FIVE_MIN_SQL} + INTERVAL 5 MINUTE AS "end", round(sum(value), 2) AS total
     FROM events GROUP BY 1
     """,
-    ("ST15", "ST16", "E11"),
+    ("ST15", "ST16"),
 )
 def stream_watermark(spark: SparkSession, d: str) -> DataFrame:
     """Update mode, 10-minute watermark, 5-minute windows: rows later than the
@@ -218,7 +218,7 @@ def stream_json_sink(spark: SparkSession, d: str) -> DataFrame:
 @register(
     "stream_static_join",
     "SELECT o_orderkey, o_custkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey",
-    ("ST20", "ST19"),
+    ("ST20",),
 )
 def stream_static_join_q(spark: SparkSession, d: str) -> DataFrame:
     orders = sources.table_stream(spark, d, "orders").select("o_orderkey", "o_custkey")
