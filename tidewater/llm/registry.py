@@ -24,7 +24,7 @@ def register(name: str, sql: str | None = None):
 
 def _load() -> None:
     # importing the modules registers their queries
-    for module in ("q_licenses",):
+    for module in ("q_licenses", "q_mixing", "q_bpe"):
         importlib.import_module(f"tidewater.llm.{module}")
 
 
