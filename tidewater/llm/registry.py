@@ -24,7 +24,7 @@ def register(name: str, sql: str | None = None):
 
 def _load() -> None:
     # importing the modules registers their queries
-    for module in ("q_licenses", "q_langid", "q_mixing", "q_bpe", "q_neighbours", "q_near_dedup", "q_fingerprints", "q_sharding"):
+    for module in ("q_licenses", "q_langid", "q_mixing", "q_bpe", "q_neighbours", "q_chat", "q_near_dedup", "q_fingerprints", "q_sharding"):
         importlib.import_module(f"tidewater.llm.{module}")
 
 
