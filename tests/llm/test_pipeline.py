@@ -1,0 +1,67 @@
+"""The pipeline against plain versions of its stages, on a small table with odd rows."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import corpus_pipeline
+import pytest
+from pyspark.sql import functions as F
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    given = spark.read.parquet(f"{SF}/documents.parquet")
+    odd = [(None, "the and of that", "en", None, None), (9001, None, None, "src1", 0), (9002, "12 !!", "en", "src1", 5), (9003, "", "fr", "src2", 0)]
+    twice = given.filter("doc_id in (1, 2)")
+    return given.unionByName(spark.createDataFrame(odd, given.schema)).unionByName(twice).cache()
+
+
+def test_language_stage_drops_what_has_no_language(spark, docs):
+    out = corpus_pipeline.identify_language(spark, docs, SF)
+    assert out.schema.names == docs.schema.names
+    gone = {r.doc_id for r in docs.collect()} - {r.doc_id for r in out.collect()}
+    assert gone == {9001, 9002, 9003} and out.count() == docs.count() - 3
+
+
+def test_near_dedup_stage_keeps_one_of_each_group(spark, docs):
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()
+    rows = {r.doc_id: r.text for r in docs.collect() if r.doc_id is not None}
+    sets = {}
+    for i, t in rows.items():
+        w = (t or "").encode().lower().split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    parent = {i: i for i in sets}
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    ids = sorted(sets)
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = sorted((find(a), find(b)))
+                parent[y] = x
+    want = Counter([i for i in ids if find(i) == i] + [None])
+    assert Counter(r.doc_id for r in out) == want
+
+
+def test_all_stages(spark, docs, tmp_path):
+    path = str(tmp_path)
+    docs.write.parquet(f"{path}/documents.parquet")
+    out = corpus_pipeline.run(spark, path).collect()
+    assert 100 < len(out) < 400 and all(r.n_tokens > 0 for r in out)
+    texts = {r.doc_id: r.h for r in docs.select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("h")).collect()}
+    assert all(texts[r.doc_id] == r.decoded_sha256 for r in out)
+
+
+def test_empty_table(spark, docs):
+    none = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        none = stage(spark, none, SF)
+        assert none.collect() == []
