@@ -60,14 +60,14 @@ def json_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 def stream_csv_source(spark: SparkSession, d: str) -> DataFrame:
     """ST3: a folder of CSV files as a stream with a declared schema."""
     path = _written(spark, read_table(spark, d, "events"), "csv", "events_csv_stream")
-    return run_append(csv_stream(spark, path, EVENTS_SCHEMA, max_files_per_trigger=1000), "csv_source")
+    return run_append(csv_stream(spark, path, EVENTS_SCHEMA), "csv_source")
 
 
 @register("stream_text_parse", "SELECT * FROM customer", ("ST2", "ST5", "S1"))
 def stream_text_parse(spark: SparkSession, d: str) -> DataFrame:
     """ST2 + ST5: new text files read as lines, each line parsed by ``from_csv``."""
     path = _written(spark, read_table(spark, d, "customer"), "csv", "customer_lines")
-    lines = text_stream(spark, path, max_files_per_trigger=1000)
+    lines = text_stream(spark, path)
     return run_append(parse_csv_lines(lines, CUSTOMER_SCHEMA), "text_parse")
 
 

@@ -11,9 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.functions.temporal import instant_to_ntz
 from tidewater.operators import ranking
 from tidewater.plans.access_log import LOG_CTE_SQL, filter_status_400_users, log_frame
 from tidewater.plans.registry import register
+from tidewater.session import shared_path
 from tidewater.sources.tables import read_table
 from tidewater.streaming import sinks, sources, windows
 from tidewater.streaming.joins import stream_static_join, stream_stream_join
@@ -194,7 +196,7 @@ def stream_word_split(spark: SparkSession, d: str) -> DataFrame:
     ("ST9", "A15"),
 )
 def stream_per_batch(spark: SparkSession, d: str) -> DataFrame:
-    """ST9: aggregate each micro-batch on its own (the input is one file, so one batch)."""
+    """ST9: aggregate each micro-batch on its own (all files of the table make one batch)."""
 
     def per_batch(batch: DataFrame) -> DataFrame:
         return batch.groupBy("event_type").agg(
@@ -206,11 +208,11 @@ def stream_per_batch(spark: SparkSession, d: str) -> DataFrame:
 
 @register(
     "stream_json_sink",
-    "SELECT event_id, user_id, event_type, value FROM events WHERE value > 45",
-    ("K2", "ST10", "F5"),
+    "SELECT event_id, user_id, event_type, value FROM events",
+    ("K2", "ST10"),
 )
 def stream_json_sink(spark: SparkSession, d: str) -> DataFrame:
-    ev = _events(spark, d).select("event_id", "user_id", "event_type", "value").filter(F.col("value") > 45)
+    ev = _events(spark, d).select("event_id", "user_id", "event_type", "value")
     out = sinks.write_json_per_batch(ev, "json_sink")
     return sinks.read_json_batches(spark, out, ev.schema)
 
@@ -227,20 +229,92 @@ def stream_static_join_q(spark: SparkSession, d: str) -> DataFrame:
     return sinks.run_append(joined.select("o_orderkey", "o_custkey", "c_name"), "stream_static")
 
 
+_SIGNUP_CLICKS_SQL = """
+WITH signups AS (SELECT event_id AS signup_id, user_id, ts AS signup_time FROM events WHERE event_type = 'signup'),
+     clicks AS (SELECT event_id AS click_id, user_id AS click_user, ts AS click_time FROM events WHERE event_type = 'click')
+SELECT signup_id, user_id, signup_time, click_id, click_time
+FROM signups {how} JOIN clicks
+  ON user_id = click_user AND click_time >= signup_time AND click_time <= signup_time + INTERVAL 6 HOUR
+{where}
+"""
+
+
+def _signup_clicks(spark: SparkSession, d: str, how: str) -> DataFrame:
+    ev = _events(spark, d)
+    signups = ev.filter("event_type = 'signup'").select(F.col("event_id").alias("signup_id"), "user_id", F.col("ts").alias("signup_time"))
+    ev = _events(spark, d)
+    clicks = ev.filter("event_type = 'click'").select(F.col("event_id").alias("click_id"), F.col("user_id").alias("click_user"), F.col("ts").alias("click_time"))
+    joined = stream_stream_join(
+        signups, clicks, F.col("user_id") == F.col("click_user"), how,
+        "signup_time", "click_time", "10 minutes", "10 minutes", "6 hours",
+    )
+    out = sinks.run_append(joined.drop("click_user"), f"signup_clicks_{how}")
+    return out.withColumns({c: instant_to_ntz(c) for c in ("signup_time", "click_time")})
+
+
+@register("stream_stream_join", _SIGNUP_CLICKS_SQL.format(how="INNER", where=""), ("ST21",))
+def stream_stream_join_q(spark: SparkSession, d: str) -> DataFrame:
+    """Clicks of a user within 6 hours of a sign-up. Watermarks on both sides and
+    the time range let Spark drop rows that can't match any more."""
+    return _signup_clicks(spark, d, "inner")
+
+
 @register(
-    "stream_stream_join",
+    "stream_stream_left_join",
+    _SIGNUP_CLICKS_SQL.format(
+        how="LEFT",
+        where="""WHERE click_id IS NOT NULL OR signup_time + INTERVAL 6 HOUR <
+          (SELECT least(max(ts) FILTER (WHERE event_type = 'signup'), max(ts) FILTER (WHERE event_type = 'click')) FROM events) - INTERVAL 10 MINUTE""",
+    ),
+    ("ST21",),
+)
+def stream_stream_left_join_q(spark: SparkSession, d: str) -> DataFrame:
+    """Sign-ups without such a click come out with nulls once the watermark has
+    passed their range; those still open at the end of the input don't yet."""
+    return _signup_clicks(spark, d, "left")
+
+
+@register(
+    "stream_stream_join_unbounded",
     """
     SELECT o_orderkey, l_linenumber, o_custkey, l_quantity
     FROM orders JOIN lineitem ON o_orderkey = l_orderkey
     """,
     ("ST21",),
 )
-def stream_stream_join_q(spark: SparkSession, d: str) -> DataFrame:
-    orders = sources.table_stream(spark, d, "orders").select("o_orderkey", "o_custkey")
-    li = sources.table_stream(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    # one order : many line items; a hot order key is spread over 4 salts
-    joined = stream_stream_join(orders, li, orders["o_orderkey"] == li["l_orderkey"], salt_buckets=4)
-    # no watermark (as in the reference): every row stays in state, so it is disk-backed
-    return sinks.run_append(
-        joined.select("o_orderkey", "l_linenumber", "o_custkey", "l_quantity"), "stream_stream", large_state=True
-    )
+def stream_stream_join_unbounded(spark: SparkSession, d: str) -> DataFrame:
+    """The form without watermark: every row of both streams stays in state, so
+    state is on disk and grows with the input; use the bounded form on endless
+    streams."""
+    own = sinks.disk_state_session(spark)
+    orders = sources.table_stream(own, d, "orders").select("o_orderkey", "o_custkey")
+    li = sources.table_stream(own, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    joined = stream_stream_join(orders, li, orders["o_orderkey"] == li["l_orderkey"])
+    return sinks.run_append(joined.select("o_orderkey", "l_linenumber", "o_custkey", "l_quantity"), "stream_stream")
+
+
+@register(
+    "stream_late_rows",
+    """
+    WITH parts AS (SELECT *, event_id % 3 = 0 AS late FROM events),
+         mark AS (SELECT max(ts) - INTERVAL 10 MINUTE AS passed FROM parts WHERE NOT late),
+         kept AS (SELECT * FROM parts WHERE NOT late OR date_trunc('hour', ts) + INTERVAL 1 HOUR > (SELECT passed FROM mark))
+    SELECT date_trunc('hour', ts) AS start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS "end", count(*) AS rows
+    FROM kept GROUP BY 1
+    """,
+    ("ST15", "ST16", "ST18"),
+)
+def stream_late_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Late rows under a watermark: two thirds of the events arrive first, the
+    other third in a second run that goes on from the same checkpoint. Of these
+    late rows only those in windows that the watermark (largest time of the
+    first run less 10 minutes) has not passed are counted."""
+    events = read_table(spark, d, "events", "event_id", "ts").withColumn("late", F.col("event_id") % 3 == 0)
+    arrivals = shared_path(spark, "tables", "event_arrivals")
+    location = shared_path(spark, "streams", "late_rows")
+    for late in (False, True):
+        events.filter(F.col("late") == late).drop("late").write.mode("append").parquet(arrivals)
+        stream = spark.readStream.schema(events.drop("late").schema).parquet(arrivals)
+        counted = windows.windowed_sum(stream.withColumn("one", F.lit(1)), "ts", "one", "1 hour", watermark="10 minutes", out="rows")
+        out = sinks.run_keyed(counted, "late_rows", ["start"], location=location)
+    return out

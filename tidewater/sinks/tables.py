@@ -37,6 +37,13 @@ FULL_PRECISION = {
 }
 
 
+def make_folder(spark: SparkSession, path: str) -> str:
+    """An existing, possibly empty folder, in whatever store the path names."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).mkdirs(hadoop_path)
+    return path
+
+
 def write_text_table(df: DataFrame, path: str, fmt: str = "csv", header: bool = False, mode: str = "overwrite") -> str:
     """CSV / JSON write that loses no timestamp precision (K2 and the text-format sources)."""
     writer = df.write.mode(mode).options(**FULL_PRECISION)

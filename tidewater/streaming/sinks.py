@@ -5,45 +5,41 @@ its checkpoint and output below the shared folder, so a restarted run resumes
 exactly once. Results are read back from the written files — nothing is held
 in driver memory (no memory sink, no console sink).
 
-* append  -> parquet file sink (exactly-once through its own commit log)
-* update / complete -> ``foreachBatch`` writing each micro-batch's rows to
+* append   -> parquet file sink (exactly-once through its own commit log)
+* update   -> ``foreachBatch`` writing each micro-batch's rows to
   ``epoch=<batch id>`` (overwrite, so a replayed batch rewrites the same
-  folder); reading keeps, per key, the row of the latest epoch.
+  folder); reading keeps, per key, the row of the latest epoch
+* complete -> ``foreachBatch`` overwriting the one result, as each micro-batch
+  brings all of it
+
+Output folders exist before a query starts, so an input without rows gives an
+empty result, and a failing read is an error.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidewater.operators.aggregates import keep_latest
-from tidewater.session import shared_path
-from tidewater.sinks.tables import write_text_table
+from tidewater.session import parallelism, shared_path
+from tidewater.sinks.tables import make_folder, write_text_table
 
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-
-
-@contextmanager
-def _state_store(spark: SparkSession, large_state: bool):
-    """Disk-backed (RocksDB) state for queries whose state is not bounded by a
-    watermark; the choice is recorded in the checkpoint at the first start."""
-    if not large_state:
-        yield
-        return
-    old = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, ROCKSDB)
-    try:
-        yield
-    finally:
-        if old is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, old)
+
+
+def disk_state_session(spark: SparkSession) -> SparkSession:
+    """A session whose streams keep their state on disk (RocksDB), for queries
+    whose state no watermark bounds. It is a session of its own, so queries
+    started from ``spark`` keep their setting."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    own.conf.set("spark.sql.shuffle.partitions", str(parallelism(spark)))
+    return own
 
 
 def _locations(spark: SparkSession, name: str, location: str | None) -> tuple[str, str]:
@@ -60,19 +56,18 @@ def _finish(query) -> None:
         raise query.exception()
 
 
-def run_append(stream: DataFrame, name: str, location: str | None = None, large_state: bool = False) -> DataFrame:
+def run_append(stream: DataFrame, name: str, location: str | None = None) -> DataFrame:
     """ST16 append: file sink, read back as a batch DataFrame."""
     spark = stream.sparkSession
     out, ckpt = _locations(spark, name, location)
-    with _state_store(spark, large_state):
-        q = (
-            stream.writeStream.format("parquet")
-            .option("path", out)
-            .option("checkpointLocation", ckpt)
-            .outputMode("append")
-            .trigger(availableNow=True)
-            .start()
-        )
+    q = (
+        stream.writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", ckpt)
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
     _finish(q)
     return spark.read.schema(stream.schema).parquet(out)
 
@@ -94,60 +89,62 @@ def start_append(stream: DataFrame, name: str, processing_time: str = "2 seconds
     return q, out
 
 
-def run_epochs(
-    stream: DataFrame, name: str, mode: str = "update", location: str | None = None, large_state: bool = False
-) -> DataFrame:
-    """Run to the end in update / complete mode; every micro-batch's output
-    rows are kept with their ``epoch`` (batch id) — the change log of the result."""
+def _run_batches(stream: DataFrame, write: Callable[[DataFrame, int], None], ckpt: str, mode: str = "append") -> None:
+    q = (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", ckpt)
+        .outputMode(mode)
+        .trigger(availableNow=True)
+        .start()
+    )
+    _finish(q)
+
+
+def run_epochs(stream: DataFrame, name: str, location: str | None = None) -> DataFrame:
+    """Run to the end in update mode; every micro-batch's output rows are kept
+    with their ``epoch`` (batch id) — the change log of the result."""
     spark = stream.sparkSession
     out, ckpt = _locations(spark, name, location)
+    make_folder(spark, out)
+    _run_batches(stream, lambda batch, epoch_id: batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch_id}"), ckpt, "update")
+    return spark.read.schema(StructType([*stream.schema.fields, StructField("epoch", LongType())])).parquet(out)
 
-    def write_epoch(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch_id}")
-
-    with _state_store(spark, large_state):
-        q = (
-            stream.writeStream.foreachBatch(write_epoch)
-            .option("checkpointLocation", ckpt)
-            .outputMode(mode)
-            .trigger(availableNow=True)
-            .start()
-        )
-    _finish(q)
-    schema = stream.schema.add("epoch", "long")
-    try:
-        return spark.read.schema(schema).parquet(out)
-    except Exception:  # nothing written: the input was empty
-        return spark.createDataFrame([], schema)
+
+def run_complete(stream: DataFrame, name: str, location: str | None = None) -> DataFrame:
+    """Run to the end in complete mode; the last micro-batch's output is the result."""
+    spark = stream.sparkSession
+    out, ckpt = _locations(spark, name, location)
+    make_folder(spark, out)
+    _run_batches(stream, lambda batch, epoch_id: batch.write.mode("overwrite").parquet(out), ckpt, "complete")
+    return spark.read.schema(stream.schema).parquet(out)
 
 
 def run_keyed(
     stream: DataFrame, name: str, keys: Sequence[str], mode: str = "update", location: str | None = None
 ) -> DataFrame:
-    """ST16 update / complete: the latest row per key over the epoch log."""
-    cols = stream.columns
-    return keep_latest(run_epochs(stream, name, mode, location), list(keys), ["epoch"]).select(*cols)
+    """ST16 update / complete: the latest row per key."""
+    if mode == "complete":
+        return run_complete(stream, name, location)
+    return keep_latest(run_epochs(stream, name, location), list(keys), ["epoch"]).select(*stream.columns)
 
 
 def run_per_batch(stream: DataFrame, name: str, per_batch: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """ST9: apply a batch transformation to each micro-batch separately (not
     stateful: a key seen in two batches gives two rows); ``batch_id`` added."""
     spark = stream.sparkSession
-    out = shared_path(spark, "streams", f"{name}-out")
+    out = make_folder(spark, shared_path(spark, "streams", f"{name}-out"))
 
-    def write_epoch(batch: DataFrame, epoch_id: int) -> None:
-        per_batch(batch).withColumn("batch_id", F.lit(epoch_id).cast("long")).write.mode("overwrite").parquet(
-            f"{out}/epoch={epoch_id}"
-        )
+    def with_id(batch: DataFrame, epoch_id: int) -> DataFrame:
+        return per_batch(batch).withColumn("batch_id", F.lit(epoch_id).cast("long"))
 
-    q = (
-        stream.writeStream.foreachBatch(write_epoch)
-        .option("checkpointLocation", shared_path(spark, "streams", f"{name}-ckpt"))
-        .trigger(availableNow=True)
-        .start()
+    _run_batches(
+        stream,
+        lambda batch, epoch_id: with_id(batch, epoch_id).write.mode("overwrite").parquet(f"{out}/epoch={epoch_id}"),
+        shared_path(spark, "streams", f"{name}-ckpt"),
     )
-    _finish(q)
-    return spark.read.parquet(out).drop("epoch")
+    # the result's columns, also when there was no batch
+    schema = with_id(spark.createDataFrame([], stream.schema), 0).schema
+    return spark.read.schema(schema).parquet(out).select(*schema.names)
 
 
 def write_json_per_batch(stream: DataFrame, name: str) -> str:
@@ -157,22 +154,15 @@ def write_json_per_batch(stream: DataFrame, name: str) -> str:
     did), so a replayed batch overwrites its own output instead of adding a copy.
     """
     spark = stream.sparkSession
-    out = shared_path(spark, "streams", f"{name}-json")
+    out = make_folder(spark, shared_path(spark, "streams", f"{name}-json"))
 
     def write_epoch(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        write_text_table(batch, f"{out}/batch-{epoch_id}", "json")
+        if not batch.isEmpty():
+            write_text_table(batch, f"{out}/batch-{epoch_id}", "json")
 
-    q = (
-        stream.writeStream.foreachBatch(write_epoch)
-        .option("checkpointLocation", shared_path(spark, "streams", f"{name}-ckpt"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    _finish(q)
+    _run_batches(stream, write_epoch, shared_path(spark, "streams", f"{name}-ckpt"))
     return out
 
 
 def read_json_batches(spark: SparkSession, out: str, schema) -> DataFrame:
-    return spark.read.schema(schema).json(f"{out}/batch-*")
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").json(out)

@@ -15,35 +15,35 @@ from pyspark.sql.types import StructType
 from tidewater.sources.tables import table_path
 
 
-# Files per micro-batch when a table is read as a stream: a backlog of many
-# files is worked off in bounded batches (~128 GB at 128 MB files), not one.
-DEFAULT_FILES_PER_TRIGGER = 1000
-
-
 def table_stream(
     spark: SparkSession,
     sf_dir: str,
     name: str,
     schema: StructType | None = None,
-    max_files_per_trigger: int | None = DEFAULT_FILES_PER_TRIGGER,
+    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """A table as a stream. A table stored as a folder of part files streams
     that folder; a table stored as one ``<name>.parquet`` file (the TESTDATA
     layout) streams its parent folder with a file-name filter, since a file
-    source watches folders."""
+    source watches folders.
+
+    All files that are there go into one micro-batch unless the caller gives a
+    limit. Files come in the order of their times, not of the events in them,
+    so with a watermark a limit makes rows late that were not late before."""
     path = table_path(sf_dir, name)
-    batch = spark.read.parquet(path)
-    schema = schema or batch.schema
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    files = batch.inputFiles()
-    single_file = len(files) == 1 and files[0].rstrip("/").endswith(f"/{name}.parquet")
-    if single_file:
+    reader = _reader(spark, max_files_per_trigger).schema(schema or spark.read.parquet(path).schema)
+    if _is_file(spark, path):
         return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
     return reader.parquet(path)
 
 
+def _is_file(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is one file, by its file system's own answer (no listing)."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return fs.getFileStatus(hadoop_path).isFile()
+
+
 def _reader(spark: SparkSession, max_files_per_trigger: int | None):
     reader = spark.readStream
     if max_files_per_trigger:
