@@ -12,7 +12,7 @@ from tidewater.operators import aggregates as agg
 from tidewater.operators import filters as flt
 from tidewater.operators import joins
 from tidewater.operators import partitioning as part_ops
-from tidewater.plans.access_log import filter_status_400_users
+from tidewater.plans.access_log import filter_status_endpoint_log
 from tidewater.plans.catalog import build_catalog, review_stats
 from tidewater.plans.course_scores import course_scores
 from tidewater.sinks.tables import keyed_upsert
@@ -88,7 +88,7 @@ def test_filter_status_and_endpoint(spark):
             Row(ip="100.232.50.8", status_code="400", endpoint="/users"),
         ]
     )
-    out = filter_status_400_users(df, "400", "/users")
+    out = filter_status_endpoint_log(df, "400", "/users")
     assertDataFrameEqual(out, [Row(ip="100.232.50.8", status_code="400", endpoint="/users")])
 
 
@@ -240,19 +240,32 @@ def test_salted_join_equals_plain_join_on_hot_key(spark):
     assert spread > 1
 
 
-def test_broadcast_guard_checks_rows_and_bytes(spark):
+def test_broadcast_is_left_to_statistics(spark):
     small = spark.createDataFrame([(i, "x" * 10) for i in range(100)], "k int, s string")
-    assert joins.fits_broadcast(small, max_rows=100, max_bytes=10_000)
-    assert not joins.fits_broadcast(small, max_rows=99)
-    assert not joins.fits_broadcast(small, max_rows=100, max_bytes=1_000)  # 100 x (8 + 10) bytes
     big = spark.range(10).withColumnRenamed("id", "k")
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    allowed = _plan(joins.broadcast_join(big, small, "k"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        refused = _plan(joins.broadcast_join(big, small, "k", max_rows=10))
-        allowed = _plan(joins.broadcast_join(big, small, "k"))
+        refused = _plan(joins.broadcast_join(big, small, "k"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" not in refused and "BroadcastHashJoin" in allowed
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept  # nothing is kept, no job has run
+
+
+def test_id_arrays_with_several_unknown_null_and_no_ids(spark):
+    rows = [(1, "a", [3, 1, 9, None, 3]), (2, "b", None), (3, None, []), (4, "d", [9, None])]
+    df = spark.createDataFrame(rows, "id int, name string, ids array<int>")
+    dim = spark.createDataFrame([(1, "one"), (3, "three"), (3, "trois"), (5, "five")], "k int, v string")
+    got = {r.id: (r.name, r.m) for r in joins.ids_to_map(df, ["id"], "ids", dim, "k", "v", "m").collect()}
+    assert got == {1: ("a", {1: "one", 3: "three"}), 2: ("b", {}), 3: (None, {}), 4: ("d", {})}
+
+
+def test_sets_keep_groups_without_members_and_with_null_keys(spark):
+    rows = [(1, "x"), (1, "x"), (1, None), (None, "y"), (2, None), (2, None)]
+    got = agg.distinct_members(spark.createDataFrame(rows, "k int, m string"), ["k"], "m").collect()
+    assert {tuple(r) for r in got} == {(1, "x", 2, 2, 1), (None, "y", 1, 1, 1), (2, None, 0, 0, 0)}
 
 
 def _plan(df) -> str:

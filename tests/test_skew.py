@@ -101,22 +101,3 @@ def test_join_counts_never_materialise_pairs(spark, skewed):
     hot = (N // 3) ** 2
     assert counts.first().rows > hot  # 400M pairs for the hot key alone, counted not built
     assert "CartesianProduct" not in _plan(counts)
-
-
-def test_ensure_parallelism_only_spreads_under_partitioned_input(spark):
-    from tidewater.operators.partitioning import ensure_parallelism
-
-    cores = spark.sparkContext.defaultParallelism
-    one = spark.range(100).coalesce(1)
-    spread = ensure_parallelism(one)
-    assert spread.rdd.getNumPartitions() == cores
-    many = spark.range(100).repartition(cores * 2)
-    assert ensure_parallelism(many) is many  # enough partitions: plan untouched
-
-
-def test_bounded_copy_is_whole_or_nothing(spark):
-    small = spark.range(50).withColumnRenamed("id", "k")
-    copy = joins.bounded_copy(small, max_rows=50)
-    assert copy is not None and copy.count() == 50
-    assert joins.bounded_copy(small, max_rows=49) is None
-    assert joins.bounded_copy(small, max_rows=50, max_bytes=100) is None  # 50 x 8 bytes

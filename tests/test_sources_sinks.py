@@ -70,12 +70,9 @@ def test_json_declared_inferred_and_trailing_comma(spark, tmp_dir):
     assert items.select(F.date_format("ts", "yyyy-MM-dd HH:mm").alias("t")).first().t == "2023-04-10 00:00"
 
 
-def test_in_memory_rows_and_split(spark):
+def test_in_memory_rows(spark):
     df = files.rows_to_frame(spark, [("1", "korea", "2")], ["user_id", "visit_country", "visit_count"])
     assert df.columns == ["user_id", "visit_country", "visit_count"]
-    lines = spark.createDataFrame([("a | b | c",), ("short",)], "value string")
-    parts = files.split_columns(lines, ["x", "y", "z"], " | ").collect()
-    assert tuple(parts[0]) == ("a", "b", "c") and tuple(parts[1]) == ("short", None, None)
 
 
 def test_day_first_date_parse_is_tolerant(spark):

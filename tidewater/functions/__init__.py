@@ -1,20 +1,16 @@
 from tidewater.functions.casts import bad_int_count, is_bad_int, tolerant_int
-from tidewater.functions.scoring import band_score, band_score_sql
+from tidewater.functions.scoring import band_score
 from tidewater.functions.strings import (
     first_token,
     regex_literal,
     split_on,
-    starts_and_contains,
     strip_chars,
-    trimmed,
-    with_prefix,
 )
-from tidewater.functions.structs import expand_struct, map_text, parse_json
-from tidewater.functions.temporal import hour_minute, month_of, parse_time, to_event_time, year_of
+from tidewater.functions.structs import map_text, parse_json
+from tidewater.functions.temporal import hour_minute, month_of, parse_time, year_of
 
 __all__ = [
-    "band_score", "band_score_sql", "bad_int_count", "expand_struct", "first_token", "hour_minute",
+    "band_score", "bad_int_count", "first_token", "hour_minute",
     "is_bad_int", "map_text", "month_of", "parse_json", "parse_time", "regex_literal", "split_on",
-    "starts_and_contains", "strip_chars", "to_event_time", "tolerant_int", "trimmed", "with_prefix",
-    "year_of",
+    "strip_chars", "tolerant_int", "year_of",
 ]

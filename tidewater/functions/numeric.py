@@ -16,16 +16,18 @@ from pyspark.sql import functions as F
 
 
 def unit_sum(col: Column | str, scale: int = 2) -> Column:
-    """Exact sum of a fixed-point column, in units of 10**-scale (a long)."""
+    """Exact sum of a fixed-point column, in units of 10**-scale (a long). A value
+    with more decimals is an error, never cut."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.sum(F.round(c * (10**scale)).cast("long"))
+    finer = F.raise_error(F.concat(F.lit(f"more than {scale} decimals: "), c.cast("string"))).cast("long")
+    return F.sum(F.when(F.round(c, scale) == c, F.round(c * (10**scale)).cast("long")).when(c.isNotNull(), finer))
+
+
+def exact_sum(col: Column | str, scale: int = 2) -> Column:
+    """Exact sum of a fixed-point column as a double: the same in any order of the rows."""
+    return unit_sum(col, scale).cast("double") / 10**scale
 
 
 def exact_mean(col: Column | str, scale: int = 2) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return unit_sum(c, scale).cast("double") / (F.count(c) * (10**scale))
-
-
-def exact_mean_sql(expr: str, scale: int = 2) -> str:
-    units = 10**scale
-    return f"CAST(sum(CAST(round({expr} * {units}) AS BIGINT)) AS DOUBLE) / (count({expr}) * {units})"

@@ -16,9 +16,3 @@ def band_score(ratio: Column | str, bands=SCORE_BANDS, floor: int = SCORE_FLOOR)
     for threshold, points in bands:
         expr = F.when(r >= threshold, points) if expr is None else expr.when(r >= threshold, points)
     return expr.otherwise(floor).cast("int")
-
-
-def band_score_sql(ratio_sql: str, bands=SCORE_BANDS, floor: int = SCORE_FLOOR) -> str:
-    """The same bands as a SQL CASE, for oracles and SQL users."""
-    arms = " ".join(f"WHEN {ratio_sql} >= {t} THEN {p}" for t, p in bands)
-    return f"CAST(CASE {arms} ELSE {floor} END AS INTEGER)"

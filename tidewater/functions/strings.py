@@ -23,26 +23,10 @@ def strip_chars(col: Column | str, chars: str) -> Column:
     return F.translate(_c(col), chars, "")
 
 
-def trimmed(col: Column | str) -> Column:
-    """``str.strip()`` for blanks."""
-    return F.trim(_c(col))
-
-
 def first_token(col: Column | str, sep: str = " ") -> Column:
     """Text before the first separator (whole text when there is none)."""
     return F.substring_index(_c(col), sep, 1)
 
 
-def with_prefix(col: Column | str, prefix: str) -> Column:
-    """``prefix + s``; null stays null."""
-    return F.concat(F.lit(prefix), _c(col))
-
-
-def starts_and_contains(col: Column | str, prefix: str, fragment: str) -> Column:
-    """``s.startswith(prefix) and fragment in s``."""
-    c = _c(col)
-    return c.startswith(prefix) & c.contains(fragment)
-
-
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col

@@ -44,12 +44,10 @@ def month_of(col: Column | str, fmt: str | None = None) -> Column:
 
 
 def hour_minute(col: Column | str) -> tuple[Column, Column]:
-    """``hour(date_trunc('HOUR', t))``, ``minute(date_trunc('MINUTE', t))`` as ints."""
+    """Hour and minute of a time as ints (truncating it to the hour or
+    minute first changes neither, and needs no zone)."""
     c = F.col(col) if isinstance(col, str) else col
-    return (
-        F.hour(F.date_trunc("HOUR", c)).cast("int").alias("hour"),
-        F.minute(F.date_trunc("MINUTE", c)).cast("int").alias("minute"),
-    )
+    return F.hour(c).cast("int").alias("hour"), F.minute(c).cast("int").alias("minute")
 
 
 def _ntz_epoch() -> Column:
@@ -72,8 +70,3 @@ def instant_to_ntz(col: Column | str) -> Column:
     """Inverse of ``ntz_to_instant``: the UTC wall clock of an instant as timestamp_ntz."""
     c = F.col(col) if isinstance(col, str) else col
     return F.timestamp_add("MICROSECOND", F.unix_micros(c), _ntz_epoch())
-
-
-def to_event_time(col: Column | str) -> Column:
-    """Event time for watermarks from a timestamp_ntz column (zone-independent)."""
-    return ntz_to_instant(col)

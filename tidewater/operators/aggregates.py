@@ -88,15 +88,22 @@ def distinct_members(
     """``collect_set(member)`` + ``count(member)`` per group, as one row per
     distinct (group, member) carrying the group's totals.
 
-    ``count(member)`` is not distinct (as in the reference); the distinct
-    count is an extra column. Both sides of the final join are pre-aggregated;
-    a hot group is split by AQE's skew-join handling.
+    ``count(member)`` is not distinct (as in the reference); the distinct count
+    is an extra column. A group with null keys is a group; one whose members are
+    all null has one row with a null member and zero counts. Both sides of the
+    final join are pre-aggregated; the totals are one row per group.
     """
-    pairs = df.filter(F.col(member).isNotNull()).groupBy(*keys, member).agg(F.count(F.lit(1)).alias(member_rows))
-    totals = pairs.groupBy(*keys).agg(
-        F.sum(member_rows).cast("long").alias(group_rows), F.count(F.lit(1)).alias(group_distinct)
+    pairs = df.groupBy(*keys, member).agg(F.count(member).alias(member_rows))
+    totals = pairs.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(
+        F.sum(member_rows).cast("long").alias(group_rows), F.count(member).alias(group_distinct)
     )
-    return pairs.join(totals, list(keys), "inner")
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    cond = same[0]
+    for c in same[1:]:
+        cond = cond & c
+    joined = pairs.join(totals, cond).drop(*[f"__{k}" for k in keys])
+    # a null member beside others adds nothing to the set
+    return joined.filter(F.col(member).isNotNull() | (F.col(group_distinct) == 0))
 
 
 def global_count(df: DataFrame, name: str = "rows") -> DataFrame:

@@ -33,8 +33,12 @@ def where_prefix_contains(df: DataFrame, col: str, prefix: str, fragment: str, s
     return df.filter(cleaned.startswith(prefix) & cleaned.contains(fragment))
 
 
-def where_above(df: DataFrame, col: str, threshold, cast: str | None = None) -> DataFrame:
-    """``int(x) > n``; a value that does not cast is dropped instead of failing."""
+def where_above(df: DataFrame, col: str, threshold: int, cast: str | None = None, whole: bool = False) -> DataFrame:
+    """``int(x) > n``. Text is cast, a value that does not cast is dropped
+    instead of failing. For a number column (``whole``), ``int(x) > n`` is ``x >=
+    n + 1`` (``n`` not negative), which reaches Parquet as a pushed filter."""
+    if whole:
+        return df.filter(F.col(col) >= F.lit(threshold + 1))
     c = F.col(col) if cast is None else F.col(col).try_cast(cast)
     return df.filter(c > F.lit(threshold))
 

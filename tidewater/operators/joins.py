@@ -3,10 +3,9 @@
 Strategy is Catalyst's and AQE's to choose from statistics; operators only add
 a hint where the caller asks for one:
 
-* ``broadcast_join`` broadcasts the small side only after a bounded probe
-  proves it small: at most ``max_rows + 1`` rows are computed, kept, counted
-  and measured in bytes; if both bounds hold that kept copy is what is
-  broadcast, above either bound it falls back to a shuffle join.
+* No operator runs a job to find out a size. A side is broadcast when Spark's
+  statistics (file sizes, or the measured size of a finished stage under AQE)
+  put it below the session's threshold, and shuffled otherwise.
 * ``salted_join`` splits a hot key of the many side where AQE cannot.
 * ``merge_join`` forces sort-merge by hint, not by a global setting.
 * Join counts (J8) are computed from per-key counts of both sides, so a hot
@@ -17,73 +16,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
-# Bounds a dimension must stay under to be broadcast.
-DEFAULT_BROADCAST_ROWS = 200_000
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 def join_on(left: DataFrame, right: DataFrame, on: str | Sequence[str] | Column, how: str = "inner") -> DataFrame:
     """Equi-join on a shared key name (merged) or on a condition."""
     return left.join(right, on=on, how=how)
 
 
-def _value_bytes(field) -> Column:
-    """Bytes a value takes (strings / binary by their length, complex types by
-    their JSON text, the rest by fixed width) — for a size bound, not storage."""
-    c = F.col(f"`{field.name}`")
-    t = field.dataType
-    if isinstance(t, (StringType, BinaryType)):
-        return F.coalesce(F.octet_length(c), F.lit(0))
-    if isinstance(t, (ArrayType, MapType, StructType)):
-        return F.coalesce(F.octet_length(F.to_json(c)), F.lit(0))
-    return F.lit(8)
-
-
-def bounded_copy(
-    small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES
-) -> DataFrame | None:
-    """The whole of ``small`` if it is proven under both bounds, else None.
-
-    At most ``max_rows + 1`` rows are computed and kept (memory, spilling to
-    disk; recomputed from lineage if an executor is lost); their count and
-    bytes are measured on that copy. When the count is within the bound the
-    copy *is* the complete small side, so a derived dimension is computed once,
-    not once to measure and again to join; when it is not, it is dropped.
-    """
-    copy = small.limit(max_rows + 1).persist(StorageLevel.MEMORY_AND_DISK)
-    width = sum((_value_bytes(f) for f in copy.schema.fields), F.lit(0))
-    probe = copy.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
-    if probe["rows"] <= max_rows and (probe["bytes"] or 0) <= max_bytes:
-        return copy
-    copy.unpersist()
-    return None
-
-
-def fits_broadcast(
-    small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES
-) -> bool:
-    """Proven size bound: at most ``max_rows + 1`` rows are computed, counted
-    and measured; both bounds must hold."""
-    return bounded_copy(small, max_rows, max_bytes) is not None
-
-
-def broadcast_join(
-    big: DataFrame,
-    small: DataFrame,
-    on: str | Sequence[str] | Column,
-    how: str = "inner",
-    max_rows: int = DEFAULT_BROADCAST_ROWS,
-    max_bytes: int = DEFAULT_BROADCAST_BYTES,
-) -> DataFrame:
-    """Broadcast hash join when ``small`` is proven small (its bounded copy
-    is what gets broadcast), else a shuffle join on the original."""
-    copy = bounded_copy(small, max_rows, max_bytes)
-    right = F.broadcast(copy) if copy is not None else small
-    return big.join(right, on=on, how=how)
+def broadcast_join(big: DataFrame, small: DataFrame, on: str | Sequence[str] | Column, how: str = "inner") -> DataFrame:
+    """A join with a small side. It is planned as a broadcast hash join while
+    the statistics of ``small`` are below ``spark.sql.autoBroadcastJoinThreshold``;
+    a small side that has grown is shuffled like any other."""
+    return big.join(small, on=on, how=how)
 
 
 def merge_join(left: DataFrame, right: DataFrame, on: str | Sequence[str] | Column, how: str = "inner") -> DataFrame:
@@ -93,34 +39,19 @@ def merge_join(left: DataFrame, right: DataFrame, on: str | Sequence[str] | Colu
 
 def one_value_per_key(dim: DataFrame, key: str, value: str) -> DataFrame:
     """A dimension with exactly one value per key (the smallest, if the input
-    has several), so joining it can never multiply rows.
-
-    ``distinct`` on (key, value) is a hash aggregate that shrinks the input to
-    the dimension's own size before anything is sorted; the window then only
-    sees those few rows (``dropDuplicates`` would sort-aggregate every input
-    row, as ``first()`` of a string cannot be hash-aggregated).
-    """
-    pairs = dim.select(key, value).distinct()
-    w = Window.partitionBy(key).orderBy(F.col(value).asc_nulls_last())
-    return pairs.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
+    has several), so joining it can never multiply rows. Combined in the map
+    tasks, so a key with many rows is no hot spot."""
+    return dim.groupBy(key).agg(F.min(value).alias(value))
 
 
-def lookup(
-    df: DataFrame,
-    code_col: str,
-    table: DataFrame,
-    key_col: str,
-    value_col: str,
-    out: str,
-    max_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
+def lookup(df: DataFrame, code_col: str, table: DataFrame, key_col: str, value_col: str, out: str) -> DataFrame:
     """``dict.get(code)`` — value for the code, null when missing.
 
     The lookup table is reduced to one value per key so that the left side
-    never multiplies, then joined left-outer (broadcast when proven small).
+    never multiplies, then joined left-outer.
     """
     dim = one_value_per_key(table.select(F.col(key_col).alias("__lk"), F.col(value_col).alias(out)), "__lk", out)
-    return broadcast_join(df, dim, F.col(code_col) == F.col("__lk"), "left", max_rows).drop("__lk")
+    return broadcast_join(df, dim, F.col(code_col) == F.col("__lk"), "left").drop("__lk")
 
 
 def join_row_counts(
@@ -178,22 +109,22 @@ def ids_to_map(
     dim_key: str,
     dim_value: str,
     out: str,
-    max_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """array<id> + dimension(id, name) -> map<id, name> per row.
 
-    ``explode_outer`` keeps rows whose array is null or empty; unknown ids are
-    dropped (the reference raised KeyError). The regroup is per input row, so
-    a group is never larger than that row's own array. Rows of ``df`` must be
-    unique on ``row_key``.
+    ``explode_outer`` keeps rows whose array is null or empty; null and unknown
+    ids are dropped (the reference raised KeyError). The regroup is per input
+    row, so a group is never larger than that row's own array, and the other
+    columns go with it. Rows of ``df`` must be unique on ``row_key``.
     """
     keys = list(row_key)
-    exploded = df.select(*keys, F.explode_outer(F.array_distinct(ids_col)).alias("__id"))
+    others = [c for c in df.columns if c not in (*keys, ids_col)]
+    exploded = df.select(*keys, F.struct(*others).alias("__rest") if others else F.lit(None).alias("__rest"), F.explode_outer(F.array_distinct(ids_col)).alias("__id"))
     d = one_value_per_key(dim.select(F.col(dim_key).alias("__id"), F.col(dim_value).alias("__name")), "__id", "__name")
-    named = broadcast_join(exploded, d, "__id", "left", max_rows)
+    named = broadcast_join(exploded, d, "__id", "left")
     entry = F.when(F.col("__name").isNotNull(), F.struct(F.col("__id").alias("key"), F.col("__name").alias("value")))
-    maps = named.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias(out))
-    return df.drop(ids_col).join(maps, keys, "left")
+    maps = named.groupBy(*keys).agg(F.first("__rest").alias("__rest"), F.map_from_entries(F.array_sort(F.collect_list(entry))).alias(out))
+    return maps.select(*keys, *[F.col("__rest")[c].alias(c) for c in others], out)
 
 
 SALT = "__salt"

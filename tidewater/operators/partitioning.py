@@ -75,32 +75,8 @@ def co_partition(left: DataFrame, right: DataFrame, key: str, n: int) -> tuple[D
     return left.repartition(n, key), right.repartition(n, key)
 
 
-def co_partitioned_join(left: DataFrame, right: DataFrame, key: str, n: int, how: str = "inner") -> DataFrame:
-    """Join two sides co-partitioned on ``key``; the merge hint keeps the
-    planner from broadcasting one side, which would waste its shuffle."""
-    lp, rp = co_partition(left, right, key, n)
-    return lp.hint("merge").join(rp, key, how)
-
-
-SPREAD_PER_CORE = 1
-
-
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that has fewer partitions than the cluster has cores
-    (a few large row groups) round-robin over one partition per core before
-    CPU-heavy per-row work (text splitting, parsing, JSON).
-
-    Parquet cannot split below a row group, so a small table of big row groups
-    is read by few tasks while the other cores idle. Only then is the extra
-    shuffle added, and it moves at most about one wave of partitions; a large
-    input already has more partitions than cores and is left untouched.
-    Column pruning and filters still reach the scan through the repartition.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. Spark Connect): leave the plan as it is
-        return df
-    if current >= cores:
-        return df
-    return df.repartition(min_partitions or SPREAD_PER_CORE * cores)
+def co_partitioned_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Both sides shuffled alike on ``key`` and merged. The exchanges are the
+    planner's own, so AQE can split a partition that a hot key makes large
+    (after an explicit ``repartition`` it can't)."""
+    return left.hint("merge").join(right, key, how)

@@ -43,11 +43,6 @@ def rename_and_drop(df: DataFrame, renames: Mapping[str, str], drop: Sequence[st
     return df.withColumnsRenamed(dict(renames)).drop(*drop)
 
 
-def swap_pair(df: DataFrame, first: str, second: str) -> DataFrame:
-    """``map(row -> (row[1], row[0]))`` on a two-column frame."""
-    return df.select(second, first)
-
-
 def explode_split(df: DataFrame, col: str, out: str, sep: str = " ", keep: Sequence[str] = ()) -> DataFrame:
     """``flatMap(line.split(sep))`` — one row per piece, empty pieces kept."""
     return df.select(*keep, F.explode(split_on(col, sep)).alias(out))

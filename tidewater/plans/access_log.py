@@ -17,12 +17,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.functions.numeric import exact_mean_sql
 from tidewater.functions.strings import first_token, split_on, strip_chars
 from tidewater.functions.temporal import ACCESS_LOG_TIME_FORMAT, hour_minute, parse_time
 from tidewater.operators import aggregates as agg
 from tidewater.operators import filters as flt
-from tidewater.operators.partitioning import ensure_parallelism
 from tidewater.plans.registry import register
 from tidewater.sources.tables import read_table
 
@@ -93,12 +91,12 @@ WITH parsed AS (
 
 
 def _parsed(spark: SparkSession, d: str) -> DataFrame:
-    events = ensure_parallelism(read_table(spark, d, "events", "user_id", "ts", "event_type", "props"))
+    events = read_table(spark, d, "events", "user_id", "ts", "event_type", "props")
     return parse_log_lines(render_log_lines(events))
 
 
 def _logs(spark: SparkSession, d: str) -> DataFrame:
-    return log_frame(ensure_parallelism(read_table(spark, d, "events", "user_id", "ts", "event_type", "props", "value")))
+    return log_frame(read_table(spark, d, "events", "user_id", "ts", "event_type", "props", "value"))
 
 
 @register("log_parse", _PARSED_CTE + "SELECT ip, time, method, endpoint, status, request FROM parsed",
@@ -166,17 +164,17 @@ def group_list(spark: SparkSession, d: str) -> DataFrame:
     return agg.member_multiset(_parsed(spark, d), ["status", "method"], "ip")
 
 
-_STATS_SELECT = (
-    "SELECT method, endpoint, max(latency) AS max_latency, min(latency) AS min_latency, "
-    + exact_mean_sql("latency")
-    + " AS mean_latency FROM logs {where} GROUP BY method, endpoint"
-)
+_STATS_SELECT = """
+SELECT method, endpoint, max(latency) AS max_latency, min(latency) AS min_latency, round(avg(latency), 9) AS mean_latency
+FROM logs {where} GROUP BY method, endpoint
+"""
 
 
 def _latency_stats(df: DataFrame) -> DataFrame:
-    # latencies are fixed-point with 2 decimals: exact mean
+    # latencies are declared fixed-point with 2 decimals: exact sums
     names = ("max_latency", "min_latency", "mean_latency")
-    return agg.min_max_mean(df, ["method", "endpoint"], "latency", names, exact_scale=2)
+    stats = agg.min_max_mean(df, ["method", "endpoint"], "latency", names, exact_scale=2)
+    return stats.withColumn("mean_latency", F.round("mean_latency", 9))
 
 
 @register("latency_stats", LOG_CTE_SQL + _STATS_SELECT.format(where=""), ("A5",))
@@ -184,7 +182,7 @@ def latency_stats(spark: SparkSession, d: str) -> DataFrame:
     return _latency_stats(_logs(spark, d))
 
 
-def filter_status_400_users(df: DataFrame, status: str = "404", endpoint: str = "/7") -> DataFrame:
+def filter_status_endpoint_log(df: DataFrame, status: str = "404", endpoint: str = "/7") -> DataFrame:
     """F1 on the typed log: ``status_code == s & endpoint == e``."""
     return flt.where_equal(df, status_code=status, endpoint=endpoint)
 
@@ -195,7 +193,7 @@ def filter_status_400_users(df: DataFrame, status: str = "404", endpoint: str =
     ("C3", "F1", "A5"),
 )
 def filtered_latency_stats(spark: SparkSession, d: str) -> DataFrame:
-    return _logs(spark, d).transform(filter_status_400_users).transform(_latency_stats)
+    return _logs(spark, d).transform(filter_status_endpoint_log).transform(_latency_stats)
 
 
 @register(
@@ -203,11 +201,11 @@ def filtered_latency_stats(spark: SparkSession, d: str) -> DataFrame:
     LOG_CTE_SQL
     + """, pairs AS (
         SELECT CAST(hour(timestamp) AS INTEGER) AS hour, CAST(minute(timestamp) AS INTEGER) AS minute, ip,
-               count(*) AS member_rows
-        FROM logs WHERE ip IS NOT NULL GROUP BY 1, 2, 3)
+               count(ip) AS member_rows
+        FROM logs GROUP BY 1, 2, 3)
     SELECT hour, minute, ip, member_rows,
            CAST(sum(member_rows) OVER (PARTITION BY hour, minute) AS BIGINT) AS group_rows,
-           count(*) OVER (PARTITION BY hour, minute) AS group_distinct
+           count(ip) OVER (PARTITION BY hour, minute) AS group_distinct
     FROM pairs""",
     ("A6", "E14"),
 )

@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import casts, structs, temporal
 from tidewater.functions import udfs
-from tidewater.functions.numeric import exact_mean_sql
+from tidewater.functions.numeric import exact_sum
 from tidewater.operators import aggregates as agg
 from tidewater.operators import filters as flt
 from tidewater.operators import joins, projections, ranking
-from tidewater.operators.partitioning import ensure_parallelism
 from tidewater.plans.registry import register
 from tidewater.session import unique_name
 from tidewater.sinks.tables import parquet_roundtrip
@@ -31,7 +30,7 @@ from tidewater.sources.tables import read_parquet, read_table, table_path
     ("A1", "P7", "E1", "E3"),
 )
 def word_count(spark: SparkSession, d: str) -> DataFrame:
-    return agg.word_count(ensure_parallelism(read_table(spark, d, "documents", "text")), "text")
+    return agg.word_count(read_table(spark, d, "documents", "text"), "text")
 
 
 # --- scans and projections --------------------------------------------------------------------
@@ -88,7 +87,7 @@ def rename_drop(spark: SparkSession, d: str) -> DataFrame:
     ("P8", "E19", "E20"),
 )
 def json_expand(spark: SparkSession, d: str) -> DataFrame:
-    ev = ensure_parallelism(read_table(spark, d, "events", "event_id", "props"))
+    ev = read_table(spark, d, "events", "event_id", "props")
     parsed = ev.select("event_id", structs.parse_json("props", "k INT").alias("p"))
     return projections.expand(parsed, "p", keep=["event_id"])
 
@@ -144,7 +143,7 @@ def filter_prefix_contains(spark: SparkSession, d: str) -> DataFrame:
 )
 def filter_threshold(spark: SparkSession, d: str) -> DataFrame:
     li = read_table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_quantity")
-    return flt.where_above(li, "l_quantity", 45, cast="long")
+    return flt.where_above(li, "l_quantity", 45, whole=True)
 
 
 @register(
@@ -183,7 +182,7 @@ _INT_SQL = (
 
 
 def _tokens(spark: SparkSession, d: str) -> DataFrame:
-    docs = ensure_parallelism(read_table(spark, d, "documents", "doc_id", "text"))
+    docs = read_table(spark, d, "documents", "doc_id", "text")
     return projections.explode_split(docs, "text", "token", " ", keep=["doc_id"])
 
 
@@ -221,26 +220,18 @@ def bad_record_count(spark: SparkSession, d: str) -> DataFrame:
 
 # --- joins ------------------------------------------------------------------------------------
 
+# whole tables that don't match completely on either side: labelled documents and embedded ones
 _USERS_SQL = """
-WITH names AS (SELECT c_custkey AS user_id, c_name AS name FROM customer WHERE c_acctbal >= 0),
-     visits AS (SELECT o_custkey AS user_id, count(*) AS visits FROM orders WHERE o_orderstatus = 'O' GROUP BY o_custkey)
+WITH names AS (SELECT doc_id AS user_id, quality AS name FROM labels),
+     visits AS (SELECT vec_id AS user_id, label AS visits FROM embeddings)
 SELECT COALESCE(n.user_id, v.user_id) AS user_id, n.name, v.visits
 FROM names n {how} JOIN visits v ON n.user_id = v.user_id
 """
 
 
 def _names_visits(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    names = (
-        read_table(spark, d, "customer", "c_custkey", "c_name", "c_acctbal")
-        .filter(F.col("c_acctbal") >= 0)
-        .select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"))
-    )
-    visits = agg.count_by(
-        read_table(spark, d, "orders", "o_custkey", "o_orderstatus").filter(F.col("o_orderstatus") == "O"),
-        [F.col("o_custkey").alias("user_id")],
-        "visits",
-    )
-    return names, visits
+    names = read_table(spark, d, "labels", "doc_id", "quality").toDF("user_id", "name")
+    return names, read_table(spark, d, "embeddings", "vec_id", "label").toDF("user_id", "visits")
 
 
 def _user_join(how: str):
@@ -273,20 +264,20 @@ def join_named_keys(spark: SparkSession, d: str) -> DataFrame:
 
 @register(
     "join_filter_sort",
-    _USERS_SQL.format(how="INNER").replace("ON n.user_id = v.user_id", "ON n.user_id = v.user_id WHERE n.name = 'Customer#000000007'"),
+    _USERS_SQL.format(how="INNER").replace("ON n.user_id = v.user_id", "ON n.user_id = v.user_id WHERE n.name = 1"),
     ("J7", "T1"),
 )
 def join_filter_sort(spark: SparkSession, d: str) -> DataFrame:
     names, visits = _names_visits(spark, d)
-    joined = joins.join_on(names, visits, "user_id").filter(F.col("name") == "Customer#000000007")
+    joined = joins.join_on(names, visits, "user_id").filter(F.col("name") == 1)
     return ranking.sort_by(joined, "user_id")
 
 
 _ID_LISTS_SQL = """
-WITH l1 AS (SELECT c_custkey AS id FROM customer WHERE c_acctbal >= 0),
+WITH l1 AS (SELECT c_custkey AS id FROM customer),
      l2 AS (SELECT o_custkey AS id FROM orders),
-     l3 AS (SELECT o_custkey AS id FROM orders WHERE o_orderstatus = 'F'),
-     l4 AS (SELECT c_custkey AS id FROM customer WHERE c_mktsegment = 'BUILDING')
+     l3 AS (SELECT user_id AS id FROM events),
+     l4 AS (SELECT s_suppkey AS id FROM supplier)
 SELECT 'l1-l2' AS pair, 'inner' AS join_type, CAST(count(*) AS BIGINT) AS rows FROM l1 JOIN l2 ON l1.id = l2.id
 UNION ALL SELECT 'l3-l4', 'inner', count(*) FROM l3 JOIN l4 ON l3.id = l4.id
 UNION ALL SELECT 'l4-l2', 'full_outer', count(*) FROM l4 FULL JOIN l2 ON l4.id = l2.id
@@ -296,14 +287,8 @@ UNION ALL SELECT 'l2-l3', 'inner', count(*) FROM l2 JOIN l3 ON l2.id = l3.id
 
 @register("join_counts", _ID_LISTS_SQL, ("J8",))
 def join_counts(spark: SparkSession, d: str) -> DataFrame:
-    cust = read_table(spark, d, "customer", "c_custkey", "c_acctbal", "c_mktsegment")
-    orders = read_table(spark, d, "orders", "o_custkey", "o_orderstatus")
-    lists = {
-        "l1": cust.filter(F.col("c_acctbal") >= 0).select(F.col("c_custkey").alias("id")),
-        "l2": orders.select(F.col("o_custkey").alias("id")),
-        "l3": orders.filter(F.col("o_orderstatus") == "F").select(F.col("o_custkey").alias("id")),
-        "l4": cust.filter(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").alias("id")),
-    }
+    columns = {"l1": ("customer", "c_custkey"), "l2": ("orders", "o_custkey"), "l3": ("events", "user_id"), "l4": ("supplier", "s_suppkey")}
+    lists = {name: read_table(spark, d, table, col).select(F.col(col).alias("id")) for name, (table, col) in columns.items()}
     pairs = [("l1", "l2", "inner"), ("l3", "l4", "inner"), ("l4", "l2", "full_outer"), ("l2", "l3", "inner")]
     return joins.join_row_counts(lists, pairs, "id")
 
@@ -407,22 +392,20 @@ def slowest_top5(spark: SparkSession, d: str) -> DataFrame:
     return ranking.top_k(orders.select("o_orderkey", "o_totalprice"), 5, F.col("o_totalprice").desc(), F.col("o_orderkey"))
 
 
-_FIXED_POINT = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 _MEAN_COLS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
 @register(
     "group_mean_all",
     "SELECT l_returnflag, l_linestatus, "
-    + ", ".join(
-        f"{exact_mean_sql(c) if c in _FIXED_POINT else f'avg({c})'} AS avg_{c}" for c in _MEAN_COLS
-    )
+    + ", ".join(f"round(avg({c}), 6) AS avg_{c}" for c in _MEAN_COLS)
     + " FROM lineitem GROUP BY l_returnflag, l_linestatus",
     ("A10",),
 )
 def group_mean_all(spark: SparkSession, d: str) -> DataFrame:
-    # the double columns are fixed-point with 2 decimals: exact means
-    return agg.mean_of_numeric(read_table(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"], exact_scale=2)
+    # the double columns are declared fixed-point with 2 decimals: exact sums
+    means = agg.mean_of_numeric(read_table(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"], exact_scale=2)
+    return means.withColumns({f"avg_{c}": F.round(f"avg_{c}", 6) for c in _MEAN_COLS})
 
 
 @register("global_count", "SELECT count(*) AS rows FROM lineitem", ("A11",))
@@ -449,8 +432,7 @@ def count_per_item(spark: SparkSession, d: str) -> DataFrame:
 )
 def sum_by_date(spark: SparkSession, d: str) -> DataFrame:
     ev = read_table(spark, d, "events", "ts", "value")
-    out = agg.sum_and_count(ev, [F.to_date("ts").alias("day")], "value")
-    return out.withColumn("total", F.round("total", 2))
+    return ev.groupBy(F.to_date("ts").alias("day")).agg(exact_sum("value").alias("total"), F.count(F.lit(1)).alias("rows"))
 
 
 # --- UDFs -------------------------------------------------------------------------------------

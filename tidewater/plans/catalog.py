@@ -5,9 +5,12 @@ joined with items (+ seller name, + promotion map from their promotion ids),
 one wide row per item, columns in name order, then written to a keyed table.
 
 Stand-ins (TESTDATA): product = part, its category ids = the brand number of
-``p_brand`` ('Brand#17' -> [17]); category dimension = the distinct brands;
-item = line item (key ``l_orderkey, l_linenumber``); seller = supplier;
-review = line item of the part with ``l_quantity`` as its score.
+``p_brand`` ('Brand#17' -> 17), its size (often no brand number: an unknown id)
+and a null, with null and empty arrays for two sizes; category dimension = the
+distinct brands; item = line item (key ``l_orderkey, l_linenumber``), its
+promotion ids = two numbers of which some are unknown, null and empty arrays
+for two line numbers; promotion dimension = nation; seller = supplier; review =
+line item of the part with ``l_quantity`` as its score.
 """
 
 from __future__ import annotations
@@ -15,21 +18,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.functions.numeric import exact_mean, exact_mean_sql
+from tidewater.functions.numeric import exact_mean
 from tidewater.functions.structs import map_text
 from tidewater.operators import joins
+from tidewater.operators.aggregates import keep_latest
 from tidewater.operators.projections import select_sorted
 from tidewater.plans.registry import register
-from tidewater.sinks.tables import keyed_upsert
+from tidewater.sinks.tables import create_keyed_table, keyed_upsert, read_keyed_table
 from tidewater.sources.tables import read_table
 
 
-def review_stats(reviews: DataFrame, key: str = "product_id", score: str = "score", review_id: str | None = None) -> DataFrame:
-    """Mean score and review count per product (scores fixed-point, exact mean)."""
+def review_stats(reviews: DataFrame, key: str = "product_id", score: str = "score", review_id: str | None = None, exact_scale: int | None = None) -> DataFrame:
+    """Mean score and review count per product. ``exact_scale``: the scores
+    are declared fixed-point with so many decimals, the mean is then exact."""
     counted = F.count(review_id) if review_id else F.count(F.lit(1))
-    return reviews.groupBy(key).agg(
-        exact_mean(score, 2).alias("review_mean_score"), counted.alias("review_count")
-    )
+    mean = F.avg(score) if exact_scale is None else exact_mean(score, exact_scale)
+    return reviews.groupBy(key).agg(mean.alias("review_mean_score"), counted.alias("review_count"))
 
 
 def build_catalog(
@@ -65,11 +69,13 @@ def _brand_no(col: str = "p_brand"):
 
 
 def _inputs(spark: SparkSession, d: str):
-    part = read_table(spark, d, "part", "p_partkey", "p_name", "p_brand")
+    part = read_table(spark, d, "part", "p_partkey", "p_name", "p_brand", "p_size")
     products = part.select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
-        F.array(_brand_no()).alias("category_ids"),
+        F.when(F.col("p_size") == 2, F.array().cast("array<int>"))
+        .when(F.col("p_size") != 1, F.array(_brand_no(), F.col("p_size").cast("int"), F.lit(None).cast("int")))
+        .alias("category_ids"),
     )
     categories = part.select(_brand_no().alias("category_id"), F.col("p_brand").alias("category_name")).distinct()
     li = read_table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate")
@@ -81,35 +87,43 @@ def _inputs(spark: SparkSession, d: str):
         F.col("l_suppkey").alias("seller_id"),
         F.col("l_extendedprice").alias("price"),
         F.col("l_shipdate").alias("ship_date"),
+        F.when(F.col("l_linenumber") == 2, F.array().cast("array<int>"))
+        .when(F.col("l_linenumber") != 3, F.array((F.col("l_suppkey") % 40).cast("int"), (F.col("l_partkey") % 30).cast("int")))
+        .alias("promotion_ids"),
     )
     sellers = read_table(spark, d, "supplier", "s_suppkey", "s_name").select(
         F.col("s_suppkey").alias("seller_id"), F.col("s_name").alias("seller_name")
     )
-    return products, categories, reviews, items, sellers
+    promotions = read_table(spark, d, "nation", "n_nationkey", "n_name").select(
+        F.col("n_nationkey").alias("promotion_id"), F.col("n_name").alias("name")
+    )
+    return products, categories, reviews, items, sellers, promotions
 
 
 _BRAND_SQL = r"CAST(regexp_extract(p_brand, '#(\d+)', 1) AS INTEGER)"
 _CATEGORY_MAP_SQL = f"""
 categories AS (SELECT DISTINCT {_BRAND_SQL} AS category_id, p_brand AS category_name FROM part),
-product_ids AS (SELECT p_partkey AS product_id, p_name AS product_name, unnest([{_BRAND_SQL}]) AS category_id FROM part),
 product_maps AS (
-  SELECT product_id, any_value(product_name) AS product_name,
-         coalesce(string_agg(CAST(p.category_id AS VARCHAR) || ':' || category_name, ','
-                             ORDER BY p.category_id) FILTER (WHERE category_name IS NOT NULL), '') AS categories
-  FROM product_ids p LEFT JOIN categories c ON p.category_id = c.category_id
-  GROUP BY product_id)
+  SELECT p_partkey AS product_id, any_value(p_name) AS product_name,
+         coalesce(string_agg(CAST(category_id AS VARCHAR) || ':' || category_name, ','
+                             ORDER BY category_id) FILTER (WHERE category_name IS NOT NULL), '') AS categories
+  FROM part LEFT JOIN categories ON p_size NOT IN (1, 2) AND category_id IN ({_BRAND_SQL}, p_size)
+  GROUP BY p_partkey)
 """
 
-_REVIEWS_SQL = f"""
-reviews AS (SELECT l_partkey AS product_id, {exact_mean_sql("l_quantity")} AS review_mean_score,
+_REVIEWS_SQL = """
+reviews AS (SELECT l_partkey AS product_id, round(avg(l_quantity), 9) AS review_mean_score,
                    count(*) AS review_count FROM lineitem GROUP BY l_partkey)
 """
 
 
 @register("review_stats", "WITH " + _REVIEWS_SQL + " SELECT * FROM reviews", ("A14",))
 def review_stats_q(spark: SparkSession, d: str) -> DataFrame:
-    _, _, reviews, _, _ = _inputs(spark, d)
-    return review_stats(reviews)
+    return _rounded(review_stats(_inputs(spark, d)[2], exact_scale=2))
+
+
+def _rounded(stats: DataFrame) -> DataFrame:
+    return stats.withColumn("review_mean_score", F.round("review_mean_score", 9))
 
 
 @register(
@@ -118,7 +132,7 @@ def review_stats_q(spark: SparkSession, d: str) -> DataFrame:
     ("J15", "E21", "U3"),
 )
 def array_lookup_map(spark: SparkSession, d: str) -> DataFrame:
-    products, categories, _, _, _ = _inputs(spark, d)
+    products, categories, *_ = _inputs(spark, d)
     mapped = joins.ids_to_map(products, ["product_id"], "category_ids", categories, "category_id", "category_name", "categories")
     return mapped.select("product_id", map_text("categories").alias("categories"))
 
@@ -129,20 +143,37 @@ def array_lookup_map(spark: SparkSession, d: str) -> DataFrame:
     + _CATEGORY_MAP_SQL
     + ", "
     + _REVIEWS_SQL
-    + """
+    + """,
+items AS (
+  SELECT * FROM lineitem
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                             ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) = 1),
+item_maps AS (
+  SELECT l_orderkey, l_linenumber,
+         coalesce(string_agg(CAST(n_nationkey AS VARCHAR) || ':' || n_name, ',' ORDER BY n_nationkey) FILTER (WHERE n_name IS NOT NULL), '') AS promotions
+  FROM items LEFT JOIN nation ON l_linenumber NOT IN (2, 3) AND n_nationkey IN (l_suppkey % 40, l_partkey % 30)
+  GROUP BY l_orderkey, l_linenumber)
 SELECT pm.categories, l_linenumber AS item_line, l_orderkey AS item_order, l_extendedprice AS price,
-       pm.product_id, pm.product_name, r.review_count, r.review_mean_score, l_suppkey AS seller_id,
+       pm.product_id, pm.product_name, im.promotions, r.review_count, r.review_mean_score, l_suppkey AS seller_id,
        s_name AS seller_name, l_shipdate AS ship_date
 FROM product_maps pm LEFT JOIN reviews r USING (product_id)
-JOIN lineitem ON l_partkey = pm.product_id
+JOIN items ON l_partkey = pm.product_id
+JOIN item_maps im USING (l_orderkey, l_linenumber)
 LEFT JOIN supplier ON l_suppkey = s_suppkey
 """,
-    ("C5", "J14", "P1", "P5"),
+    ("C5", "J14", "P1", "P5", "K9"),
 )
 def central_catalog(spark: SparkSession, d: str) -> DataFrame:
-    products, categories, reviews, items, sellers = _inputs(spark, d)
-    catalog = build_catalog(products, categories, review_stats(reviews), items, sellers)
-    return catalog.withColumn("categories", map_text("categories"))
+    """The catalog, written to a table keyed by item and read back from it."""
+    products, categories, reviews, items, sellers, promotions = _inputs(spark, d)
+    stats = _rounded(review_stats(reviews, exact_scale=2))
+    keys = ["item_order", "item_line"]
+    # the stand-in's key repeats: the last shipped row is the item
+    items = keep_latest(items, keys, ["ship_date", "product_id", "seller_id", "price"])
+    catalog = build_catalog(products, categories, stats, items, sellers, promotions, tuple(keys))
+    path = create_keyed_table(spark, catalog, keys, ["product_id"], "catalog")
+    stored = read_keyed_table(spark, path, catalog)
+    return stored.withColumns({c: map_text(c) for c in ("categories", "promotions")})
 
 
 @register(
@@ -157,5 +188,5 @@ def keyed_upsert_q(spark: SparkSession, d: str) -> DataFrame:
     li = read_table(spark, d, "lineitem", "l_partkey", "l_orderkey", "l_linenumber", "l_shipdate", "l_quantity")
     cutoff = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
     target = li.filter(F.col("l_shipdate") < cutoff)
-    updates = li.filter(F.col("l_shipdate") >= cutoff)
+    updates = li.filter(F.coalesce(F.col("l_shipdate") >= cutoff, F.lit(True)))  # a row without a date, too
     return keyed_upsert(spark, target, updates, ["l_partkey"], ["l_shipdate", "l_orderkey", "l_linenumber"], "latest_shipment")

@@ -12,16 +12,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.functions.temporal import DAY_FIRST_DATE_FORMAT, month_of
+from tidewater.functions.temporal import DAY_FIRST_DATE_FORMAT, instant_to_ntz, month_of
 from tidewater.operators import aggregates as agg
 from tidewater.plans.access_log import parse_log_lines, render_log_lines
 from tidewater.plans.fire_calls import YEAR, calls_of_year
 from tidewater.plans.registry import register
-from tidewater.session import shared_path
+from tidewater.session import shared_path, unique_name
 from tidewater.sinks.tables import write_text_table
 from tidewater.sources import files
 from tidewater.sources.tables import read_table
-from tidewater.streaming import csv_stream, parse_csv_lines, run_append, text_stream
+from tidewater.streaming import csv_stream, json_stream, parse_csv_lines, parse_json_lines, run_append, text_stream
 
 EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 CUSTOMER_SCHEMA = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
@@ -105,3 +105,88 @@ def log_file_count_by_method(spark: SparkSession, d: str) -> DataFrame:
     render_log_lines(events).write.mode("overwrite").text(path)
     return agg.count_by(parse_log_lines(files.read_lines(spark, path)), ["method"])
 
+
+
+@register("csv_inferred", "SELECT * FROM customer", ("S6",))
+def csv_inferred(spark: SparkSession, d: str) -> DataFrame:
+    """CSV with a header and an inferred schema."""
+    path = _written(spark, read_table(spark, d, "customer"), "csv", "customer_inferred", header=True)
+    return files.infer_csv(spark, path)
+
+
+@register("json_inferred", "SELECT * FROM part", ("S8",))
+def json_inferred(spark: SparkSession, d: str) -> DataFrame:
+    """JSON lines with an inferred schema."""
+    return files.infer_json(spark, _written(spark, read_table(spark, d, "part"), "json", "part_inferred"))
+
+
+@register("stream_json_source", "SELECT * FROM events", ("ST4",))
+def stream_json_source(spark: SparkSession, d: str) -> DataFrame:
+    """ST4: a folder of JSON-lines files as a stream with a declared schema."""
+    path = _written(spark, read_table(spark, d, "events"), "json", "events_json_stream")
+    return run_append(json_stream(spark, path, EVENTS_SCHEMA), "json_source")
+
+
+@register("stream_json_lines", "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders", ("ST6",))
+def stream_json_lines(spark: SparkSession, d: str) -> DataFrame:
+    """ST6: JSON lines read as text from a stream, parsed with a declared schema."""
+    orders = read_table(spark, d, "orders", "o_orderkey", "o_orderpriority", "o_totalprice")
+    lines = text_stream(spark, _written(spark, orders, "json", "orders_json_lines"))
+    parsed = parse_json_lines(lines, "o_orderkey BIGINT, o_orderpriority STRING, o_totalprice DOUBLE")
+    return run_append(parsed, "json_lines")
+
+
+@register(
+    "json_nested",
+    """
+    SELECT conv_id, count(*) AS turns, count(*) FILTER (WHERE role = 'assistant') AS answers, bool_or(role = 'system') AS has_system,
+           TIMESTAMP '1970-01-01' + to_minutes(conv_id) AS at
+    FROM conversations GROUP BY conv_id
+    """,
+    ("S7",),
+)
+def json_nested(spark: SparkSession, d: str) -> DataFrame:
+    """JSON with an array, a map, a boolean and a time in epoch seconds, written and
+    read with a declared schema. (Turns per conversation are few.)"""
+    conv = read_table(spark, d, "conversations", "conv_id", "turn", "role").groupBy("conv_id").agg(
+        F.collect_list("role").alias("roles"),
+        F.map_from_entries(F.collect_list(F.struct(F.col("turn").cast("string"), "role"))).alias("by_turn"),
+        F.bool_or(F.col("role") == "system").alias("has_system"),
+    )
+    path = _written(spark, conv.withColumn("at", F.col("conv_id") * 60), "json", "conversations_nested")
+    back = files.read_json_lines(spark, path, "conv_id BIGINT, roles ARRAY<STRING>, by_turn MAP<STRING, STRING>, has_system BOOLEAN, at TIMESTAMP")
+    return back.select(
+        "conv_id",
+        F.size("by_turn").cast("long").alias("turns"),
+        F.size(F.filter("roles", lambda r: r == "assistant")).cast("long").alias("answers"),
+        "has_system",
+        instant_to_ntz("at").alias("at"),
+    )
+
+
+@register(
+    "cast_timestamp",
+    "SELECT event_id, date_trunc('second', ts) AS time, CAST(hour(ts) AS INTEGER) AS hour FROM events",
+    ("E11",),
+)
+def cast_timestamp(spark: SparkSession, d: str) -> DataFrame:
+    """Default parse of time text, in SQL text."""
+    text = read_table(spark, d, "events", "event_id", "ts").select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("t"))
+    view = unique_name("time_text")
+    text.createOrReplaceTempView(view)
+    return spark.sql(f"SELECT event_id, TRY_CAST(t AS TIMESTAMP_NTZ) AS time, hour(TRY_CAST(t AS TIMESTAMP_NTZ)) AS hour FROM {view}")
+
+
+@register(
+    "sql_count_by_alias",
+    """
+    SELECT CAST(hour(ts) AS INTEGER) AS hour, CAST(minute(ts) AS INTEGER) AS minute, count(*) AS count
+    FROM events GROUP BY 1, 2
+    """,
+    ("A3", "A12"),
+)
+def sql_count_by_alias(spark: SparkSession, d: str) -> DataFrame:
+    """A3 / A12 as SQL text, grouped by select aliases."""
+    view = unique_name("events_sql")
+    read_table(spark, d, "events", "ts").createOrReplaceTempView(view)
+    return spark.sql(f"SELECT hour(ts) AS hour, minute(ts) AS minute, count(*) AS count FROM {view} GROUP BY hour, minute ORDER BY hour, minute")

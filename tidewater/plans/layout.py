@@ -8,8 +8,6 @@ used (PartitionFilters, dynamicpruning, no Exchange for bucketed joins).
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,36 +22,19 @@ from tidewater.sources.tables import read_table
 # The order priorities in their natural order (the custom
 # partitioner's key list).
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
-
-
-# Derived layout tables, built once per (session, input folder, layout) and then
-# queried by every query that needs them, as a partitioned or bucketed copy is
-# used in practice; rebuilt only if the table has gone from the catalog.
-_LAYOUTS: dict[tuple[str, str, str], str] = {}
-
-
-def _layout(spark: SparkSession, d: str, kind: str, build: Callable[[str], DataFrame]) -> DataFrame:
-    key = (spark.sparkContext.applicationId, d, kind)
-    name = _LAYOUTS.get(key)
-    if name and spark.catalog.tableExists(name):
-        return spark.table(name)
-    name = unique_name(kind)
-    table = build(name)
-    _LAYOUTS[key] = name
-    return table
+# Their 32-bit murmur3 hashes with seed 42.
+PRIORITY_HASHES = (
+    ("1-URGENT", 1331383685), ("2-HIGH", -1608429704), ("3-MEDIUM", -78157334), ("4-NOT SPECIFIED", 1395399286), ("5-LOW", 2000133825),
+)
 
 
 def customer_by_nation(spark: SparkSession, d: str) -> DataFrame:
     """K4: CTAS of customer partitioned by nation (one folder per nation)."""
-
-    def build(name: str) -> DataFrame:
-        view = unique_name("customer_src")
-        read_table(spark, d, "customer").createOrReplaceTempView(view)
-        return create_table_as(
-            spark, name, f"SELECT /*+ REBALANCE(c_nationkey) */ * FROM {view}", partitioned_by=["c_nationkey"]
-        )
-
-    return _layout(spark, d, "customer_by_nation", build)
+    view = unique_name("customer_src")
+    read_table(spark, d, "customer").createOrReplaceTempView(view)
+    return create_table_as(
+        spark, unique_name("customer_by_nation"), f"SELECT /*+ REBALANCE(c_nationkey) */ * FROM {view}", partitioned_by=["c_nationkey"]
+    )
 
 
 @register(
@@ -62,7 +43,7 @@ def customer_by_nation(spark: SparkSession, d: str) -> DataFrame:
     SELECT c_custkey, c_nationkey, c_acctbal * 2 AS double_acctbal
     FROM customer WHERE c_nationkey >= 5 AND c_nationkey <= 7
     """,
-    ("F6", "K3", "K4", "S10"),
+    ("F6", "K4", "S10"),
 )
 def partition_range_filter(spark: SparkSession, d: str) -> DataFrame:
     cust = customer_by_nation(spark, d)
@@ -89,21 +70,13 @@ def join_dpp(spark: SparkSession, d: str) -> DataFrame:
 
 def bucketed_pair(spark: SparkSession, d: str, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
     """K6/K8: orders and customer bucketed (and sorted) alike on the customer key,
-    as many buckets as the session's shuffle parallelism."""
+    as many buckets as the session's shuffle parallelism. One key is always in
+    one bucket, that is the feature: a hot key makes a large bucket."""
     buckets = buckets or parallelism(spark)
-    orders = _layout(
-        spark, d, f"orders_by_customer_{buckets}",
-        lambda name: save_bucketed(
-            spark, read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_totalprice"),
-            buckets, ["o_custkey"], ["o_custkey"], name=name,
-        ),
-    )
-    cust = _layout(
-        spark, d, f"customer_by_key_{buckets}",
-        lambda name: save_bucketed(
-            spark, read_table(spark, d, "customer", "c_custkey", "c_name"), buckets, ["c_custkey"], ["c_custkey"], name=name
-        ),
+    orders = save_bucketed(
+        spark, read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_totalprice"), buckets, ["o_custkey"], ["o_custkey"]
     )
+    cust = save_bucketed(spark, read_table(spark, d, "customer", "c_custkey", "c_name"), buckets, ["c_custkey"], ["c_custkey"])
     return orders, cust
 
 
@@ -132,7 +105,7 @@ def join_bucketed(spark: SparkSession, d: str) -> DataFrame:
 )
 def custom_partition(spark: SparkSession, d: str) -> DataFrame:
     """Each priority goes to the partition given by its index in the fixed
-    list (mod 3); the report shows the key -> partition mapping and that the
+    list (mod 3), so there are three tasks whatever the size, that is the feature; the report shows the key -> partition mapping and that the
     rows really sit in that physical partition."""
     orders = read_table(spark, d, "orders", "o_orderpriority")
     placed = part_ops.custom_partition(orders, "o_orderpriority", PRIORITIES, 3)
@@ -141,28 +114,48 @@ def custom_partition(spark: SparkSession, d: str) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("rows"))
 
 
-@register("partition_profile", None, ("R1", "R4"))
+_PROFILE_SQL = """
+SELECT count(*) AS rows, min(o_custkey) AS min_value, max(o_custkey) AS max_value,
+       count(DISTINCT o_custkey) AS keys, CAST(1 AS BIGINT) AS most_partitions_per_key FROM orders
+"""
+
+
+def _profile(placed: DataFrame) -> DataFrame:
+    """The per-partition report summed up, and how many partitions hold one key."""
+    per_key = placed.select("o_custkey", F.spark_partition_id().alias("partition")).distinct().groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    keys = per_key.agg(F.count(F.lit(1)).alias("keys"), F.max("n").alias("most_partitions_per_key"))
+    report = part_ops.partition_profile(placed, "o_custkey")
+    total = report.agg(F.sum("rows").alias("rows"), F.min("min_value").alias("min_value"), F.max("max_value").alias("max_value"))
+    return total.withColumn("one", F.lit(1)).join(keys.withColumn("one", F.lit(1)), "one").drop("one")
+
+
+@register("partition_profile", _PROFILE_SQL, ("R1", "R4"))
 def partition_profile(spark: SparkSession, d: str) -> DataFrame:
-    """Rows per partition after hashing orders on the customer key (skew report)."""
-    orders = read_table(spark, d, "orders", "o_custkey")
-    return part_ops.partition_profile(part_ops.repartition_to(orders, parallelism(spark), "o_custkey"), "o_custkey")
+    """Rows per partition after hashing orders on the customer key (skew
+    report), summed up; each key is in one partition."""
+    return _profile(part_ops.repartition_to(read_table(spark, d, "orders", "o_custkey"), parallelism(spark), "o_custkey"))
 
 
-@register("coalesce_profile", None, ("R2", "R4"))
+@register("coalesce_profile", _PROFILE_SQL, ("R2", "R4"))
 def coalesce_profile(spark: SparkSession, d: str) -> DataFrame:
     """R2: the session's n hash partitions merged into n / 2 without a shuffle
-    (narrow); the profile shows n / 2 partitions holding all rows."""
-    orders = read_table(spark, d, "orders", "o_custkey")
+    (narrow): no row is lost and no key is spread."""
     n = parallelism(spark)
-    merged = part_ops.coalesce_to(part_ops.repartition_to(orders, n, "o_custkey"), max(1, n // 2))
-    return part_ops.partition_profile(merged, "o_custkey")
+    placed = part_ops.repartition_to(read_table(spark, d, "orders", "o_custkey"), n, "o_custkey")
+    return _profile(part_ops.coalesce_to(placed, max(1, n // 2)))
 
 
-@register("hash_partition", None, ("E18",))
+@register(
+    "hash_partition",
+    """
+    SELECT DISTINCT o_orderpriority, h AS hash, CAST(((h % 3) + 3) % 3 AS INTEGER) AS partition
+    FROM orders JOIN (VALUES HASHES) v(p, h) ON p = o_orderpriority
+    """.replace("HASHES", ", ".join(f"('{p}', {h})" for p, h in PRIORITY_HASHES)),
+    ("E18",),
+)
 def hash_partition(spark: SparkSession, d: str) -> DataFrame:
     """murmur3 hash of each priority and its partition under
-    pmod(hash, 3) (never negative, unlike hash % 3). DuckDB has no murmur3, so
-    this is checked by rows and by tests."""
+    pmod(hash, 3) (never negative, unlike hash % 3)."""
     orders = read_table(spark, d, "orders", "o_orderpriority")
     return orders.select("o_orderpriority").distinct().select(
         "o_orderpriority",
@@ -171,12 +164,36 @@ def hash_partition(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@register("layout_file_counts", None, ("K5",))
+@register(
+    "layout_file_counts",
+    "SELECT o_orderpriority, count(*) AS rows, true AS has_files FROM orders GROUP BY o_orderpriority",
+    ("K5",),
+)
 def layout_file_counts(spark: SparkSession, d: str) -> DataFrame:
-    """K5 report: files and rows per partition value of a partitioned write."""
+    """K5 report: rows per partition value of a partitioned write, and whether
+    files hold them (their number depends on the cluster)."""
     orders = read_table(spark, d, "orders", "o_orderkey", "o_orderpriority")
-    table = save_partitioned(spark, orders, ["o_orderpriority"])
-    return part_ops.file_profile(table, "o_orderpriority")
+    report = part_ops.file_profile(save_partitioned(spark, orders, ["o_orderpriority"]), "o_orderpriority")
+    return report.select("o_orderpriority", "rows", (F.col("files") >= 1).alias("has_files"))
+
+
+@register("ctas_plain", "SELECT o_orderkey, o_totalprice FROM orders", ("K3",))
+def ctas_plain(spark: SparkSession, d: str) -> DataFrame:
+    """K3: a table made by CREATE TABLE .. AS SELECT, without partitions."""
+    view = unique_name("orders_src")
+    read_table(spark, d, "orders", "o_orderkey", "o_totalprice").createOrReplaceTempView(view)
+    return create_table_as(spark, unique_name("orders_copy"), f"SELECT * FROM {view}")
+
+
+@register(
+    "partitioned_and_bucketed",
+    "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders",
+    ("K7",),
+)
+def partitioned_and_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """K7: one folder per priority, in each of them buckets by customer."""
+    orders = read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderpriority")
+    return save_bucketed(spark, orders, parallelism(spark), ["o_custkey"], ["o_custkey"], ["o_orderpriority"])
 
 
 @register(
@@ -188,12 +205,12 @@ def layout_file_counts(spark: SparkSession, d: str) -> DataFrame:
     ("R5", "R1"),
 )
 def co_partitioned_join(spark: SparkSession, d: str) -> DataFrame:
-    """Both sides hash-partitioned on the order key once; the join and the
-    per-order aggregate reuse that partitioning (no further Exchange)."""
+    """Lines are counted per order key first (combined in the map tasks, so a
+    hot order is a few rows), and that exchange by order key serves the join."""
     orders = read_table(spark, d, "orders", "o_orderkey", "o_custkey")
     li = read_table(spark, d, "lineitem", "l_orderkey").withColumnRenamed("l_orderkey", "o_orderkey")
-    joined = part_ops.co_partitioned_join(orders, li, "o_orderkey", parallelism(spark))
-    return agg.count_by(joined, ["o_orderkey", "o_custkey"], "lines")
+    lines = agg.count_by(li, ["o_orderkey"], "lines")
+    return part_ops.co_partitioned_join(orders, lines, "o_orderkey").select("o_orderkey", "o_custkey", "lines")
 
 
 @register(
@@ -205,6 +222,6 @@ def evolve_partition_q(spark: SparkSession, d: str) -> DataFrame:
     orders = read_table(spark, d, "orders", "o_orderkey", "o_orderdate", "o_orderpriority")
     cutoff = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
     view = evolve_partition(
-        spark, orders.filter(F.col("o_orderdate") < cutoff), orders.filter(F.col("o_orderdate") >= cutoff), "o_orderpriority"
+        spark, orders.filter(F.col("o_orderdate") < cutoff), orders.filter(F.coalesce(F.col("o_orderdate") >= cutoff, F.lit(True))), "o_orderpriority"
     )
     return view.filter(F.col("o_orderpriority") == "1-URGENT")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.temporal import instant_to_ntz
 from tidewater.operators import ranking
-from tidewater.plans.access_log import LOG_CTE_SQL, filter_status_400_users, log_frame
+from tidewater.plans.access_log import LOG_CTE_SQL, filter_status_endpoint_log, log_frame
 from tidewater.plans.registry import register
 from tidewater.session import shared_path
 from tidewater.sources.tables import read_table
@@ -35,7 +35,7 @@ _FIVE_MIN_SQL = "date_trunc('hour', ts) + to_minutes(CAST(minute(ts) // 5 * 5 AS
     SELECT {_HOUR_SQL} AS start, {_HOUR_SQL} + INTERVAL 1 HOUR AS "end", round(sum(value), 2) AS total
     FROM events GROUP BY 1
     """,
-    ("ST12", "ST4", "ST16"),
+    ("ST12", "ST16"),
 )
 def stream_tumbling(spark: SparkSession, d: str) -> DataFrame:
     agg = windows.windowed_sum(_events(spark, d), "ts", "value", "1 hour")
@@ -173,7 +173,7 @@ def stream_json_parse(spark: SparkSession, d: str) -> DataFrame:
 )
 def stream_filter(spark: SparkSession, d: str) -> DataFrame:
     logs = log_frame(_events(spark, d))
-    return sinks.run_append(filter_status_400_users(logs), "log_filter")
+    return sinks.run_append(filter_status_endpoint_log(logs), "log_filter")
 
 
 @register(

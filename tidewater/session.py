@@ -3,7 +3,8 @@
 On a cluster ``spark.checkpoint.dir`` names a folder every executor can reach
 (HDFS / object store). All written tables, streaming checkpoints and
 ``checkpoint()`` output go below it, never into a machine-local temp folder.
-Only when the setting is absent (unit tests, a laptop) do we create one.
+Only in local mode, where one machine is the whole cluster, may the setting be
+absent; a session of its own folder is then made. On a cluster that is an error.
 """
 
 from __future__ import annotations
@@ -65,6 +66,8 @@ def shared_root(spark: SparkSession) -> str:
     root = _configured_root(spark)
     if root:
         return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="tidewater-shared-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir().rstrip("/")

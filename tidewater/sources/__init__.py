@@ -5,7 +5,6 @@ from tidewater.sources.files import (
     read_json_lines,
     read_lines,
     rows_to_frame,
-    split_columns,
 )
 from tidewater.sources.tables import (
     TABLES,
@@ -20,5 +19,5 @@ from tidewater.sources.tables import (
 __all__ = [
     "TABLES", "infer_csv", "infer_json", "number_range", "read_catalog_table", "read_delimited",
     "read_json_lines", "read_lines", "read_parquet", "read_table", "register_views", "rows_to_frame",
-    "split_columns", "table_path",
+    "table_path",
 ]

@@ -61,17 +61,3 @@ def rows_to_frame(spark: SparkSession, rows: Iterable, schema: StructType | str
     if isinstance(schema, (list, tuple)):
         return spark.createDataFrame(rows).toDF(*schema)
     return spark.createDataFrame(rows, schema)
-
-
-def split_columns(lines: DataFrame, names: Sequence[str], sep: str = ",", source: str = "value") -> DataFrame:
-    """ST5 / S2 on already-read lines: positional split into named string columns.
-
-    ``get`` (not ``[]``) so that a short line yields null under ANSI mode.
-    """
-    parts = F.split(F.col(source), _regex_literal(sep), -1)
-    return lines.select(*[F.get(parts, i).alias(n) for i, n in enumerate(names)])
-
-
-def _regex_literal(sep: str) -> str:
-    special = set(".^$*+?()[]{}|\\")
-    return "".join("\\" + c if c in special else c for c in sep)
