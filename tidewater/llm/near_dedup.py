@@ -10,16 +10,20 @@ intersection of their sets is at least 75 times that of the union.
    samples differ, most precisely where few do.
 2. Equal sets become one class, represented by its smallest id, so copies are
    never compared.
-3. In each band bucket, every member is paired with the bucket's pivot only. Of
-   the pairs whose sketches allow a link, one for each member is confirmed on
-   the full sets, and confirmed links are merged to components. Later rounds
-   take other pivots and only members outside the pivot's component. At last,
-   all pairs that share a bucket and whose components are still different are
-   put through the same sketches and the same confirmation, so no link between
-   components is missed and none inside a component needs to be looked at.
-4. Components come from min-label hooking with pointer jumping over tables in
-   the shared folder; the number of rounds grows with the logarithm of the
-   longest chain.
+3. Documents that share a band bucket are compared by their sketches. Inside a
+   bucket this is a search along allowed pairs: each document that is reached is
+   held against those not reached yet, so a dense group costs little more than
+   one comparison for each member, and only one row for each member leaves the
+   bucket, never the pairs. Components of allowed pairs are candidate groups.
+4. Texts of documents in a candidate group, and no others, are turned into full
+   sets again, and the same search runs over each group, now confirming every
+   step on the full sets. A group's components are those of its links.
+5. Components across buckets and groups come from min-label hooking with pointer
+   jumping over tables in the shared folder; the number of rounds grows with the
+   logarithm of the longest chain.
+
+Buckets and groups too large for one task are split into parts, and each pair
+of parts is searched by itself.
 
 With ``BANDS`` bands of ``ROWS`` samples a pair at the threshold misses all
 buckets with probability ``(1 - 0.75 ** ROWS) ** BANDS``, about 1e-6. The
@@ -40,7 +44,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import materialise
@@ -51,7 +55,8 @@ BANDS, ROWS = 36, 4
 SAMPLES = BANDS * ROWS
 SKETCH_BITS = 512
 SKETCH_FLOOR = 0.5
-PIVOT_ROUNDS = 3
+BUCKET_ROWS = 20_000  # of one part of a bucket
+GROUP_SHINGLES = 2_000_000  # of one part of a candidate group
 CACHED_WORDS = 200_000
 
 _RNG = np.random.default_rng(20_240_601)
@@ -120,8 +125,6 @@ SIGNATURE = "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>,
 _SIGNATURE_ARROW = pa.schema(
     [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]
 )
-SETS = "doc_id long, k1 long, k2 long, shingles array<long>"
-_SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 ROWS_AT_ONCE = 256
 
 
@@ -146,23 +149,110 @@ def _signature(doc_id: int | None, text: str | None) -> tuple:
     return doc_id, len(shingles), *_set_key(shingles), band_keys(samples), odd_sketch(samples)
 
 
-def _set_row(doc_id: int | None, text: str | None) -> tuple:
-    shingles = shingle_set(text)
-    return doc_id, *(_set_key(shingles) if len(shingles) else (None, None)), shingles.view(np.int64)
-
-
 def signatures(docs: DataFrame) -> DataFrame:
     """One row per document: size and 128-bit key of its set, band keys, odd sketch."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return texts.mapInArrow(lambda batches: _rows(batches, _SIGNATURE_ARROW, _signature), SIGNATURE)
 
 
-def sketch_estimate(a: Column, b: Column) -> Column:
-    """Similarity estimated from two odd sketches (below any floor when they look unrelated)."""
-    words = SKETCH_BITS // 64
-    differ = sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(words)), F.lit(0))
-    rest = 1 - 2 * differ / F.lit(float(SKETCH_BITS))
-    return F.when(rest > 0, 1 + SKETCH_BITS / (4.0 * SAMPLES) * F.log(rest)).otherwise(F.lit(-1.0))
+# estimate >= SKETCH_FLOOR, as a bound on the bits in which two sketches differ
+MOST_DIFFERING_BITS = int(SKETCH_BITS / 2 * (1 - np.exp(-4 * SAMPLES * (1 - SKETCH_FLOOR) / SKETCH_BITS)))
+
+
+def sketch_estimate(a: np.ndarray, b: np.ndarray) -> float:
+    """Similarity estimated from two odd sketches."""
+    differ = int(np.bitwise_count((a ^ b).view(np.uint64)).sum())
+    return 1 + SKETCH_BITS / (4 * SAMPLES) * float(np.log(max(1e-9, 1 - 2 * differ / SKETCH_BITS)))
+
+
+class Group:
+    """Documents held against each other: ids, set sizes, sketches and, to confirm, the sets."""
+
+    def __init__(self, ids: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, sets: list[np.ndarray] | None = None):
+        order = np.argsort(ids, kind="stable")
+        self.ids, self.sizes, self.sketches = ids[order], sizes[order], sketches[order]
+        self.sets = [sets[i] for i in order] if sets else None
+
+    def near(self, one: int, others: np.ndarray) -> np.ndarray:
+        """Which of ``others`` may be linked (by size and sketch), or are (with sets)."""
+        own, sizes = self.sizes[one], self.sizes[others]
+        near = 100 * np.minimum(own, sizes) >= THRESHOLD_PERCENT * np.maximum(own, sizes)
+        near &= np.bitwise_count(self.sketches[others] ^ self.sketches[one]).sum(axis=1, dtype=np.int64) <= MOST_DIFFERING_BITS
+        if self.sets is not None and near.any():
+            at = np.flatnonzero(near)
+            sets = [self.sets[i] for i in others[at]]
+            every = np.concatenate(sets)
+            mine = self.sets[one]
+            inside = mine[np.minimum(np.searchsorted(mine, every), len(mine) - 1)] == every
+            starts = np.cumsum([0, *(len(x) for x in sets[:-1])])
+            both = np.add.reduceat(inside.astype(np.int64), starts)
+            near[at] = 100 * both >= THRESHOLD_PERCENT * (own + sizes[at] - both)
+        return near
+
+    def stars(self) -> tuple[list[int], list[int]]:
+        """Members and the smallest id that they reach, for those that reach a smaller one."""
+        a: list[int] = []
+        b: list[int] = []
+        rest = np.arange(len(self.ids))
+        while len(rest) > 1:
+            seed, rest = rest[0], rest[1:]
+            waiting = [seed]
+            while waiting and len(rest):
+                near = self.near(waiting.pop(), rest)
+                hit, rest = rest[near], rest[~near]
+                waiting.extend(hit)
+                a.extend(self.ids[hit].tolist())
+                b.extend([int(self.ids[seed])] * len(hit))
+        return a, b
+
+
+STARS = "a long, b long"
+_STARS_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _matrix(column: pa.ListArray) -> np.ndarray:
+    # unsigned, as bits are counted of absolute values
+    return column.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(column), -1)
+
+
+def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stars of each group of neighbouring rows with equal (key, i, j)."""
+
+    def stars(parts: list[tuple]) -> pa.RecordBatch | None:
+        ids, sizes, sketches = (np.concatenate([p[k] for p in parts]) for k in range(3))
+        sets = [x for p in parts for x in p[3]] if parts[0][3] is not None else None
+        a, b = Group(ids, sizes, sketches, sets).stars()
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=_STARS_ARROW) if a else None
+
+    held_key, held = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(3)], axis=1)
+        ids, sizes, sketches = batch.column(3).to_numpy(), batch.column(4).to_numpy(), _matrix(batch.column(5))
+        sets = None
+        if batch.num_columns > 6:
+            flat, offsets = batch.column(6).values.to_numpy().view(np.uint64), batch.column(6).offsets.to_numpy()
+            sets = [flat[x:y] for x, y in zip(offsets, offsets[1:], strict=False)]
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
+        for x, y in zip(cuts, cuts[1:], strict=False):
+            key = tuple(keys[x].tolist())
+            if key != held_key:
+                if held and (out := stars(held)):
+                    yield out
+                held_key, held = key, []
+            held.append((ids[x:y], sizes[x:y], sketches[x:y], sets[x:y] if sets else None))
+    if held and (out := stars(held)):
+        yield out
+
+
+def _in_parts(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` (with ``parts``: of their group) for each pair of parts of their
+    group, in groups of neighbouring rows."""
+    own = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
+    each = rows.withColumn("p", own).withColumn("q", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    pairs = each.withColumns({"i": F.least("p", "q"), "j": F.greatest("p", "q")})
+    return pairs.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j")
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -197,69 +287,68 @@ def _relabel(edges: DataFrame, labels: DataFrame) -> DataFrame:
     return edges
 
 
-def confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The ``pairs`` (a, b: class representatives) that are links, on full sets."""
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(wanted, "doc_id", "left_semi")
-    sets = texts.mapInArrow(lambda batches: _rows(batches, _SETS_ARROW, _set_row), SETS)
-    # an id may come with several texts and in several rows: the class's own set, once
-    own = classes.select(F.col("rep").alias("doc_id"), "k1", "k2")
-    sets = sets.join(own, ["doc_id", "k1", "k2"], "left_semi").groupBy("doc_id").agg(F.first("shingles").alias("shingles"))
-    a = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-    b = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    either = F.size("sa") + F.size("sb") - both
-    return pairs.join(a, "a").join(b, "b").filter(100 * both >= THRESHOLD_PERCENT * either).select("a", "b")
+def _candidate_groups(classes: DataFrame) -> DataFrame | None:
+    """``rep`` and ``cluster`` of the classes that bands and sketches allow a link."""
+    banded = classes.select("rep", "n", "sketch", F.explode("bands").alias("key"))
+    parts = F.ceil(F.col("rows") / BUCKET_ROWS).cast("int")
+    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("key", parts.alias("parts"))
+    members = _in_parts(banded.join(shared, "key"), "key").select("key", "i", "j", "rep", "n", "sketch")
+    allowed = materialise(members.mapInArrow(_search, STARS).distinct(), "allowed")
+    if allowed.isEmpty():
+        return None
+    grouped = connected(allowed)
+    return grouped.select(F.col("node").alias("rep"), F.col("label").alias("cluster")).unionByName(
+        grouped.select(F.col("label").alias("rep"), F.col("label").alias("cluster")).distinct()
+    )
 
 
-def _allowed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The ``pairs`` whose odd sketches allow a link."""
-    a = classes.select(F.col("rep").alias("a"), F.col("sketch").alias("sa"))
-    b = classes.select(F.col("rep").alias("b"), F.col("sketch").alias("sb"))
-    return pairs.join(a, "a").join(b, "b").filter(sketch_estimate(F.col("sa"), F.col("sb")) >= SKETCH_FLOOR).select("a", "b")
+def _confirmed(docs: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame | None:
+    """Labels of the classes that are linked, on full sets, inside their candidate groups."""
+    groups = classes.select("rep", "k1", "k2", "n", "sketch").join(groups, "rep")
+    sizes = groups.groupBy("cluster").agg(F.ceil(F.sum("n") / GROUP_SHINGLES).cast("int").alias("parts"))
+    groups = materialise(groups.join(sizes, "cluster"), "groups")
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string"))
+    # the ids grow with the data, so this join is always a shuffle
+    rows = groups.hint("merge").join(texts, "rep").select("text", "rep", "k1", "k2", "cluster", "parts", "n", "sketch")
+
+    schema = "rep long, cluster long, parts int, n long, sketch array<long>, shingles array<long>"
+
+    def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                keep, sets = [], []
+                own = zip(*(part.column(k).to_pylist() for k in range(4)), strict=True)
+                for i, (text, rep, *key) in enumerate(own):
+                    if last == (rep, *key):
+                        continue  # a repeated row of the same document
+                    shingles = shingle_set(text)
+                    if len(shingles) and [*_set_key(shingles)] == key:  # an id may come with several texts
+                        last = (rep, *key)
+                        keep.append(i)
+                        sets.append(shingles.view(np.int64))
+                rest = part.select(["rep", "cluster", "parts", "n", "sketch"]).take(pa.array(keep, pa.int32()))
+                yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(sets, pa.list_(pa.int64()))], names=[*rest.schema.names, "shingles"])
+
+    sets = _in_parts(rows.mapInArrow(full_sets, schema), "cluster")
+    links = materialise(sets.select("cluster", "i", "j", "rep", "n", "sketch", "shingles").mapInArrow(_search, STARS).distinct(), "links")
+    return None if links.isEmpty() else connected(links)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` for every row of ``docs``."""
     signed = materialise(signatures(docs), "signatures")
     sets = signed.filter(F.col("k1").isNotNull() & F.col("doc_id").isNotNull())
-    first = F.min(F.struct("doc_id", "bands", "sketch")).alias("m")
+    first = F.min(F.struct("doc_id", "n_shingles", "bands", "sketch")).alias("m")
     classes = materialise(
-        sets.groupBy("k1", "k2").agg(first).select("k1", "k2", F.col("m.doc_id").alias("rep"), F.col("m.bands").alias("bands"), F.col("m.sketch").alias("sketch")),
+        sets.groupBy("k1", "k2").agg(first).select(
+            "k1", "k2", F.col("m.doc_id").alias("rep"), F.col("m.n_shingles").alias("n"), F.col("m.bands").alias("bands"), F.col("m.sketch").alias("sketch")
+        ),
         "classes",
     )
-
-    banded = classes.select("rep", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    members = materialise(banded.join(shared, "key"), "buckets")
-
-    labels, tried, links = None, None, None
-    for turn in range(PIVOT_ROUNDS + 1):
-        placed = members if labels is None else members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-        placed = placed.withColumn("label", F.col("rep") if labels is None else F.coalesce("label", "rep"))
-        if turn < PIVOT_ROUNDS:
-            order = F.col("rep") if turn == 0 else F.xxhash64(F.lit(turn), "rep")
-            pivot = F.min(F.struct(order.alias("o"), F.col("rep").alias("b"), F.col("label").alias("to"))).alias("p")
-            pivots = placed.groupBy("key").agg(pivot, F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
-            pairs = placed.join(pivots.select("key", "p.b", "p.to"), "key").filter("label <> to")
-            pairs = pairs.select(F.greatest("rep", "b").alias("a"), F.least("rep", "b").alias("b"))
-        else:
-            other = placed.select("key", F.col("rep").alias("b"), F.col("label").alias("to"))
-            pairs = placed.join(other, "key").filter("label < to").select(F.greatest("rep", "b").alias("a"), F.least("rep", "b").alias("b"))
-        pairs = _allowed(pairs.distinct(), classes)
-        if turn == 0:  # one pair for each member; the others wait for the components
-            pairs = pairs.groupBy("a").agg(F.min("b").alias("b"))
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        if pairs.isEmpty():
-            continue
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        found = materialise(confirm(docs, classes, pairs), "links")
-        if found.isEmpty():
-            continue
-        links = found if links is None else links.unionByName(found)
-        labels = connected(links)
+    groups = _candidate_groups(classes)
+    labels = _confirmed(docs, classes, groups) if groups is not None else None
 
     of_class = classes.select("k1", "k2", F.col("rep").alias("component"))
     if labels is not None:
