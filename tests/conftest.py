@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -14,7 +15,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tidewater-tests", "local[4]", shuffle_partitions=4)
+    shared = tempfile.mkdtemp(prefix="tidewater-tests-")
+    session = build_session("tidewater-tests", "local[4]", shuffle_partitions=4, extra={"spark.checkpoint.dir": shared})
     yield session
     session.stop()
 

@@ -18,9 +18,9 @@ def _run(*argv: str) -> str:
 def test_list_shows_every_query_and_its_ids():
     out = _run("list")
     assert "word_count" in out and "A1" in out
-    assert "hash_partition" in out and "rows" in out
+    assert "hash_partition" in out and "oracle" in out
 
 
 def test_sql_prints_the_oracle():
     assert "string_split" in _run("sql", "word_count")
-    assert "no SQL oracle" in _run("sql", "partition_profile")
+    assert "most_partitions_per_key" in _run("sql", "partition_profile")

@@ -7,6 +7,7 @@ import contextlib
 import io
 
 from tidewater.operators import aggregates as agg
+from tidewater.operators import partitioning as part_ops
 from tidewater.plans import registry
 from tidewater.sources.tables import read_table
 
@@ -104,20 +105,32 @@ def test_hash_partition_non_negative(spark):
 
 def test_layout_one_file_per_value_when_small(spark):
     rows = Q["layout_file_counts"](spark, SF_SMALL).collect()
-    assert len(rows) == 5 and all(r.files >= 1 for r in rows)
+    assert len(rows) == 5 and all(r.has_files for r in rows)
     assert sum(r.rows for r in rows) == read_table(spark, SF_SMALL, "orders").count()
 
 
 def test_partition_profile_counts_all_rows(spark):
-    rows = Q["partition_profile"](spark, SF_SMALL).collect()
-    assert sum(r.rows for r in rows) == read_table(spark, SF_SMALL, "orders").count()
+    (row,) = Q["partition_profile"](spark, SF_SMALL).collect()
+    assert row.rows == read_table(spark, SF_SMALL, "orders").count() and row.most_partitions_per_key == 1
 
 
 def test_coalesce_is_narrow_and_keeps_rows(spark):
-    df = Q["coalesce_profile"](spark, SF_SMALL)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    half = n // 2
+    orders = read_table(spark, SF_SMALL, "orders", "o_custkey")
+    df = part_ops.partition_profile(part_ops.coalesce_to(part_ops.repartition_to(orders, n, "o_custkey"), half), "o_custkey")
     rows = df.collect()
-    half = int(spark.conf.get("spark.sql.shuffle.partitions")) // 2
     assert len(rows) == half
     assert sum(r.rows for r in rows) == read_table(spark, SF_SMALL, "orders").count()
     plan = plan_of(df, "simple")
     assert f"Coalesce {half}" in plan
+
+
+def test_threshold_reaches_the_scan(spark):
+    plan = plan_of(Q["filter_threshold"](spark, SF_SMALL))
+    assert "GreaterThanOrEqual(l_quantity,46" in plan
+
+
+def test_course_scores_shuffles_line_items_once_before_the_users(spark):
+    plan = plan_of(Q["course_scores"](spark, SF_SMALL), "simple")
+    assert "hashpartitioning(l_orderkey" not in plan or plan.count("hashpartitioning(l_orderkey") == 1
