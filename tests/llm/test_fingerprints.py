@@ -6,6 +6,7 @@ import hashlib
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tidewater.llm import fingerprints as fp
 
@@ -50,7 +51,8 @@ def test_neighbours_match_a_plain_walk(spark):
     rows = [(i, _words(rnd, rnd.randint(0, 60))) for i in range(120)] + [(None, "no id"), (500, None), (501, ""), (502, "same"), (502, "same")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
     got = fp.edited_neighbours(docs).collect()
-    plain = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    hashed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t")).withColumn("h", F.xxhash64("t")).collect()
+    plain = [(r.doc_id, r.t) for r in sorted(hashed, key=lambda r: (r.doc_id is None, -(r.doc_id or 0), r.h))]
     want = []
     for k, (i, t) in enumerate(plain):
         after = plain[(k + 1) % len(plain)][1]

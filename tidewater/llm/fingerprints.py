@@ -176,11 +176,11 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     return docs.withColumn("fingerprint", prints(text_or_empty()))
 
 
-RESULT = "kind int, part int, doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, text string"
+RESULT = "kind int, part int, doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double, text string"
 _ARROW = pa.schema(
     [
         ("kind", pa.int32()), ("part", pa.int32()), ("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
-        ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64()), ("text", pa.string()),
+        ("fingerprint", pa.binary()), ("edited_fingerprint", pa.binary()), ("near_edited", pa.float64()), ("near_next", pa.float64()), ("text", pa.string()),
     ]
 )
 DONE, HEAD, TAIL = 0, 1, 2
@@ -197,6 +197,8 @@ def _compared(rows: list[tuple], part: int) -> list[tuple]:
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    packed = lambda f: None if f is None else bytes.fromhex(f)
+    rows = [(*r[:5], packed(r[5]), packed(r[6]), *r[7:]) for r in rows]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _ARROW.types, strict=True)], schema=_ARROW)
 
 
@@ -238,10 +240,12 @@ def edited_neighbours(docs: DataFrame) -> DataFrame:
     text and of its text edited with the next row's (the last row's next is the
     first), and their likeness."""
     order = F.col("doc_id").desc_nulls_last()
-    rows = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
-    ordered = rows.repartitionByRange(order, F.col("text")).sortWithinPartitions(order, "text")
+    # range bounds are made on the driver from sampled keys: ids and hashes, never texts
+    rows = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).withColumn("h", F.xxhash64("text"))
+    ordered = rows.repartitionByRange(order, F.col("h")).sortWithinPartitions(order, "h").select("doc_id", "text")
     # one job: the numbers of the partitions hold for all rows of the table
     table = materialise(ordered.mapInArrow(_along_the_order, RESULT), "neighbours")
+    table = table.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})
 
     heads = table.filter(F.col("kind") == HEAD).select(F.col("part").alias("next_part"), F.col("text").alias("next_text"), F.col("fingerprint").alias("next_print"))
     parts = heads.select(F.col("next_part").alias("part"))  # as many rows as partitions
