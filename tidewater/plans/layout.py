@@ -123,10 +123,10 @@ SELECT count(*) AS rows, min(o_custkey) AS min_value, max(o_custkey) AS max_valu
 def _profile(placed: DataFrame) -> DataFrame:
     """The per-partition report summed up, and how many partitions hold one key."""
     per_key = placed.select("o_custkey", F.spark_partition_id().alias("partition")).distinct().groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
-    keys = per_key.agg(F.count(F.lit(1)).alias("keys"), F.max("n").alias("most_partitions_per_key"))
+    keys = per_key.agg(F.struct(F.count(F.lit(1)).alias("keys"), F.max("n").alias("most_partitions_per_key"))).scalar()
     report = part_ops.partition_profile(placed, "o_custkey")
     total = report.agg(F.sum("rows").alias("rows"), F.min("min_value").alias("min_value"), F.max("max_value").alias("max_value"))
-    return total.withColumn("one", F.lit(1)).join(keys.withColumn("one", F.lit(1)), "one").drop("one")
+    return total.withColumn("k", keys).select("*", "k.*").drop("k")
 
 
 @register("partition_profile", _PROFILE_SQL, ("R1", "R4"))
