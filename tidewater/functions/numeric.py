@@ -15,12 +15,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def unit_sum(col: Column | str, scale: int = 2) -> Column:
-    """Exact sum of a fixed-point column, in units of 10**-scale (a long). A value
-    with more decimals is an error, never cut."""
+def units(col: Column | str, scale: int = 2) -> Column:
+    """A fixed-point value in units of 10**-scale (a long). A value with more
+    decimals is an error, never cut."""
     c = F.col(col) if isinstance(col, str) else col
     finer = F.raise_error(F.concat(F.lit(f"more than {scale} decimals: "), c.cast("string"))).cast("long")
-    return F.sum(F.when(F.round(c, scale) == c, F.round(c * (10**scale)).cast("long")).when(c.isNotNull(), finer))
+    return F.when(F.round(c, scale) == c, F.round(c * (10**scale)).cast("long")).when(c.isNotNull(), finer)
+
+
+def unit_sum(col: Column | str, scale: int = 2) -> Column:
+    """Exact sum of a fixed-point column, in units of 10**-scale (a long)."""
+    return F.sum(units(col, scale))
 
 
 def exact_sum(col: Column | str, scale: int = 2) -> Column:

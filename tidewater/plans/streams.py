@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.functions.numeric import exact_sum, units
 from tidewater.functions.temporal import instant_to_ntz
 from tidewater.operators import ranking
 from tidewater.plans.access_log import LOG_CTE_SQL, filter_status_endpoint_log, log_frame
@@ -25,6 +26,12 @@ def _events(spark: SparkSession, d: str) -> DataFrame:
     return sources.table_stream(spark, d, "events")
 
 
+def _in_full(sums: DataFrame) -> DataFrame:
+    """Sums of ``units`` as values. Values are declared fixed-point with 2 decimals,
+    so totals don't depend on the order in which rows arrive."""
+    return sums.withColumn("total", F.col("total") / 100)
+
+
 _HOUR_SQL = "date_trunc('hour', ts)"
 _FIVE_MIN_SQL = "date_trunc('hour', ts) + to_minutes(CAST(minute(ts) // 5 * 5 AS BIGINT))"
 
@@ -38,9 +45,9 @@ _FIVE_MIN_SQL = "date_trunc('hour', ts) + to_minutes(CAST(minute(ts) // 5 * 5 AS
     ("ST12", "ST16"),
 )
 def stream_tumbling(spark: SparkSession, d: str) -> DataFrame:
-    agg = windows.windowed_sum(_events(spark, d), "ts", "value", "1 hour")
+    agg = windows.windowed_sum(_events(spark, d), "ts", units("value"), "1 hour")
     out = sinks.run_keyed(agg, "tumbling", ["start"], mode="complete")
-    return out.withColumn("total", F.round("total", 2))
+    return _in_full(out)
 
 
 @register(
@@ -54,9 +61,9 @@ def stream_tumbling(spark: SparkSession, d: str) -> DataFrame:
     ("ST11",),
 )
 def stream_sliding(spark: SparkSession, d: str) -> DataFrame:
-    agg = windows.windowed_sum(_events(spark, d), "ts", "value", "2 hours", "1 hour")
+    agg = windows.windowed_sum(_events(spark, d), "ts", units("value"), "2 hours", "1 hour")
     out = sinks.run_keyed(agg, "sliding", ["start"], mode="complete")
-    return out.withColumn("total", F.round("total", 2))
+    return _in_full(out)
 
 
 _DOMAIN_HOUR_SQL = f"""
@@ -69,9 +76,9 @@ _DOMAIN_HOUR_SQL = f"""
 @register("stream_domain_hour", _DOMAIN_HOUR_SQL, ("ST13", "T4"))
 def stream_domain_hour(spark: SparkSession, d: str) -> DataFrame:
     ev = _events(spark, d).withColumnRenamed("event_type", "domain")
-    agg = windows.windowed_sum(ev, "ts", "value", "1 hour", keys=["domain"])
+    agg = windows.windowed_sum(ev, "ts", units("value"), "1 hour", keys=["domain"])
     out = sinks.run_keyed(agg, "domain_hour", ["start", "domain"], mode="complete")
-    return out.withColumn("total", F.round("total", 2)).orderBy("start", F.col("total").desc())
+    return _in_full(out).orderBy("start", F.col("total").desc())
 
 
 @register(
@@ -85,7 +92,7 @@ def stream_domain_hour(spark: SparkSession, d: str) -> DataFrame:
 def top_per_hour(spark: SparkSession, d: str) -> DataFrame:
     """W1 (batch): the domain with the largest hourly total, ties kept (rank)."""
     ev = read_table(spark, d, "events", "ts", "event_type", "value").withColumnRenamed("event_type", "domain")
-    hourly = ev.groupBy(F.window("ts", "1 hour").alias("w"), "domain").agg(F.round(F.sum("value"), 2).alias("total"))
+    hourly = ev.groupBy(F.window("ts", "1 hour").alias("w"), "domain").agg(exact_sum("value").alias("total"))
     flat = hourly.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), "domain", "total")
     return ranking.rank_first(flat, ["start"], [F.col("total").desc()]).drop("rank")
 
@@ -105,8 +112,8 @@ def stream_top_domain(spark: SparkSession, d: str) -> DataFrame:
     chained aggregation in append mode; the hours still open at the end of the
     input (within the 10-minute watermark) are not emitted yet."""
     ev = _events(spark, d).withColumnRenamed("event_type", "domain")
-    top = windows.top_item_per_window(ev, "ts", "domain", "value", "1 hour", "10 minutes")
-    return sinks.run_append(top, "top_domain")
+    top = windows.top_item_per_window(ev, "ts", "domain", units("value"), "1 hour", "10 minutes")
+    return _in_full(sinks.run_append(top, "top_domain"))
 
 
 @register(
@@ -120,9 +127,9 @@ def stream_top_domain(spark: SparkSession, d: str) -> DataFrame:
 def stream_watermark(spark: SparkSession, d: str) -> DataFrame:
     """Update mode, 10-minute watermark, 5-minute windows: rows later than the
     watermark are dropped; each micro-batch emits the windows it changed."""
-    agg = windows.windowed_sum(_events(spark, d), "ts", "value", "5 minutes", watermark="10 minutes")
+    agg = windows.windowed_sum(_events(spark, d), "ts", units("value"), "5 minutes", watermark="10 minutes")
     out = sinks.run_keyed(agg, "watermark", ["start"], mode="update")
-    return out.withColumn("total", F.round("total", 2))
+    return _in_full(out)
 
 
 @register(
@@ -137,8 +144,8 @@ def stream_watermark(spark: SparkSession, d: str) -> DataFrame:
 def stream_append_watermark(spark: SparkSession, d: str) -> DataFrame:
     """Append mode: a window is written once, when the watermark (max event
     time - 10 minutes) has passed its end; the still-open tail is not emitted."""
-    agg = windows.windowed_sum(_events(spark, d), "ts", "value", "5 minutes", watermark="10 minutes")
-    return sinks.run_append(agg, "append_watermark").withColumn("total", F.round("total", 2))
+    agg = windows.windowed_sum(_events(spark, d), "ts", units("value"), "5 minutes", watermark="10 minutes")
+    return _in_full(sinks.run_append(agg, "append_watermark"))
 
 
 @register(
@@ -200,7 +207,7 @@ def stream_per_batch(spark: SparkSession, d: str) -> DataFrame:
 
     def per_batch(batch: DataFrame) -> DataFrame:
         return batch.groupBy("event_type").agg(
-            F.count(F.lit(1)).alias("rows"), F.round(F.sum("value"), 2).alias("total")
+            F.count(F.lit(1)).alias("rows"), exact_sum("value").alias("total")
         )
 
     return sinks.run_per_batch(_events(spark, d), "per_batch", per_batch)

@@ -68,11 +68,10 @@ def top_item_per_window(
     stream: DataFrame,
     time_col: str,
     item_col: str,
-    value: str,
+    value: str | Column,
     duration: str,
     watermark: str,
     out: str = "total",
-    decimals: int | None = 2,
 ) -> DataFrame:
     """ST13 + W1 on a stream: per event-time window, the item with the largest
     summed value (ties -> the greatest item).
@@ -84,10 +83,7 @@ def top_item_per_window(
     """
     was_ntz = is_ntz(stream, time_col)
     s = with_event_time(stream, time_col).withWatermark(time_col, watermark)
-    total = F.sum(value)
-    if decimals is not None:
-        total = F.round(total, decimals)
-    per_item = s.groupBy(F.window(F.col(time_col), duration).alias("w"), F.col(item_col)).agg(total.alias(out))
+    per_item = s.groupBy(F.window(F.col(time_col), duration).alias("w"), F.col(item_col)).agg(F.sum(value).alias(out))
     best = F.struct(F.col(out), F.col(item_col))
     top = per_item.groupBy("w").agg(F.max_by(best, best).alias("best"))
     bound = instant_to_ntz if was_ntz else (lambda c: c)
