@@ -10,7 +10,7 @@ A cut depends on a few symbols around it only, so a substring that two texts
 share is cut alike in its interior wherever it stands.
 
 The fingerprint holds the ``KEPT`` smallest phrase names of the levels from
-``FIRST_LEVEL`` on (phrases of about 25 characters and more), 40 bits each, in
+``FIRST_LEVEL`` on (phrases of about 9 characters and more), 40 bits each, in
 hexadecimal. The likeness of two fingerprints estimates from them the share of
 phrases both texts have in common (Dice: twice the common ones over the sum).
 
@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import materialise, text_or_empty
 
 LEVELS = 6
-FIRST_LEVEL = 3
+FIRST_LEVEL = 2
 KEPT = 40
 DIGITS = 10  # hexadecimal digits of a name
 CHARS_AT_ONCE = 400_000
