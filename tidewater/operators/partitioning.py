@@ -68,13 +68,6 @@ def file_profile(df: DataFrame, *keys: str) -> DataFrame:
     return per_file.groupBy(*keys).agg(F.count(F.lit(1)).alias("files"), F.sum("file_rows").cast("long").alias("rows"))
 
 
-def co_partition(left: DataFrame, right: DataFrame, key: str, n: int) -> tuple[DataFrame, DataFrame]:
-    """Hash-partition both sides by the join key into n partitions; a
-    sort-merge join on ``key`` (and an aggregate grouped by it) then reuses this
-    partitioning and adds no further Exchange."""
-    return left.repartition(n, key), right.repartition(n, key)
-
-
 def co_partitioned_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Both sides shuffled alike on ``key`` and merged. The exchanges are the
     planner's own, so AQE can split a partition that a hot key makes large

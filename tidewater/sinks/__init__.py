@@ -1,19 +1,23 @@
 from tidewater.sinks.tables import (
     create_database,
+    create_keyed_table,
     create_table_as,
+    describe_extended,
     drop_table,
     evolve_partition,
     keyed_upsert,
     parquet_roundtrip,
+    read_keyed_table,
     save_bucketed,
     save_partitioned,
     save_table,
     schema_profile,
+    upsert_keyed_table,
     write_parquet,
 )
 
 __all__ = [
-    "create_database", "create_table_as", "drop_table", "evolve_partition", "keyed_upsert",
-    "parquet_roundtrip", "save_bucketed", "save_partitioned", "save_table", "schema_profile",
-    "write_parquet",
+    "create_database", "create_keyed_table", "create_table_as", "describe_extended", "drop_table", "evolve_partition",
+    "keyed_upsert", "parquet_roundtrip", "read_keyed_table", "save_bucketed", "save_partitioned", "save_table",
+    "schema_profile", "upsert_keyed_table", "write_parquet",
 ]

@@ -190,6 +190,11 @@ def _write_parts(rows: DataFrame, path: str, mode: str) -> None:
     writer.partitionBy(KEY_PART).parquet(path)
 
 
+def describe_extended(spark: SparkSession, name: str) -> DataFrame:
+    """Columns and details (location, provider, partitions, buckets) of a catalog table."""
+    return spark.sql(f"DESCRIBE EXTENDED {name}")
+
+
 def keyed_upsert(
     spark: SparkSession,
     target: DataFrame,
