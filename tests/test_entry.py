@@ -1,0 +1,35 @@
+"""The entry point with and without the optional subpackage."""
+
+from __future__ import annotations
+
+import importlib
+import sys
+
+from tidewater.plans import registry
+
+
+def test_core_queries_stay_without_the_optional_subpackage(monkeypatch):
+    import __spark_entry__ as entry
+
+    assert set(registry.queries()) <= set(entry.queries())
+    with monkeypatch.context() as m:
+        m.setitem(sys.modules, "tidewater.llm", None)  # importing it raises ImportError
+        m.delitem(sys.modules, "tidewater.llm.registry", raising=False)
+        alone = importlib.reload(entry)
+        assert set(alone.queries()) == set(registry.queries())
+        assert set(alone.oracle_sql()) == set(registry.oracle_sql())
+    importlib.reload(entry)
+
+
+def test_nothing_in_the_library_imports_the_optional_subpackage():
+    import os
+    import re
+
+    root = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tidewater")
+    for folder, _, names in os.walk(root):
+        if os.path.basename(folder) == "llm":
+            continue
+        for name in names:
+            if name.endswith(".py"):
+                with open(os.path.join(folder, name), encoding="utf-8") as f:
+                    assert not re.search(r"tidewater\.llm|import llm", f.read()), name
