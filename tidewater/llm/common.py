@@ -7,6 +7,9 @@ they need on the way carry the prefix ``__tw_``, so they clash with nothing.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,3 +40,19 @@ def materialise(df: DataFrame, kind: str) -> DataFrame:
     path = shared_path(df.sparkSession, "llm", kind)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in parts of at most ``rows`` rows, so that few texts are
+    Python objects at a time; buffers no longer used go back to the system."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
+def array_slices(values: pa.Array, rows: int = 256) -> Iterator[list]:
+    """The values of an Arrow array as Python objects, some at a time."""
+    for at in range(0, len(values), rows):
+        yield values.slice(at, rows).to_pylist()

@@ -26,17 +26,19 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
-import pandas as pd
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import text_or_empty
+from tidewater.llm.common import array_slices, text_or_empty
 
 BLANK = "▁"
 UNKNOWN_PENALTY = 10.0
+_NONE = float("-inf")
 CACHED_WORDS = 300_000
 
 
@@ -63,20 +65,23 @@ class UnigramCounter(dict):
 
     def best(self, word: str) -> tuple[int, float]:
         n = len(word)
-        ending: list[list[tuple[int, float]]] = [[] for _ in range(n)]
-        for end, piece in self.automaton.iter(word):
-            ending[end].append(piece)
-        scores, counts = [0.0] * (n + 1), [0] * (n + 1)
-        for end in range(n):
-            top, count, single = None, 0, False
-            for length, score in sorted(ending[end], reverse=True):  # the earliest start first
-                path = scores[end + 1 - length] + score
-                if top is None or path > top:
-                    top, count = path, counts[end + 1 - length] + 1
-                single = single or length == 1
-            if not single and (top is None or scores[end] + self.unknown > top):
-                top, count = scores[end] + self.unknown, counts[end] + len(word[end].encode("utf-8"))
-            scores[end + 1], counts[end + 1] = top, count
+        scores, counts, unknown = [0.0] * (n + 1), [0] * (n + 1), self.unknown
+        at, top, count, single = 0, _NONE, 0, False  # of the pieces that end with character ``at``
+        # by end, and for one end the longest piece, so the earliest start, first; a last mark closes the word
+        for end, (length, score) in chain(self.automaton.iter(word), ((n, (0, 0.0)),)):
+            while at < end:
+                if not single and scores[at] + unknown > top:
+                    top, count = scores[at] + unknown, counts[at] + len(word[at].encode("utf-8"))
+                at += 1
+                scores[at], counts[at] = top, count
+                top, single = _NONE, False
+            if end < n:
+                start = end + 1 - length
+                path = scores[start] + score
+                if path > top:
+                    top, count = path, counts[start] + 1
+                if length == 1:
+                    single = True
         return counts[n], scores[n]
 
     def count(self, text: str) -> tuple[int, float]:
@@ -96,10 +101,11 @@ def counter(path: str) -> UnigramCounter:
 def count_tokens(docs: DataFrame, model_path: str) -> DataFrame:
     """``docs`` with ``n_tokens`` and ``token_score`` (the best path's score) of ``text``."""
 
-    @F.pandas_udf("n long, score double")
-    def counts(text: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf("n long, score double")
+    def counts(text: pa.Array) -> pa.Array:
         count = counter(model_path).count
-        return pd.DataFrame([count(t) for t in text], columns=["n", "score"])
+        found = [count(t) for part in array_slices(text) for t in part]
+        return pa.array([{"n": n, "score": score} for n, score in found], pa.struct([("n", pa.int64()), ("score", pa.float64())]))
 
     return (
         docs.withColumn("__tw_c", counts(text_or_empty()))
