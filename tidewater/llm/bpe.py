@@ -25,7 +25,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -36,13 +36,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import text_or_empty
+from tidewater.llm.common import slices, text_or_empty
 
 CHUNK_CHARS = 32_768  # a text up to this length is one chunk
 OVERLAP_CHARS = 512
 LOOK_AHEAD = 3  # a match may depend on up to so many characters after its end
-CACHED_PIECES = 200_000
-ROWS_AT_ONCE = 512
+CACHED_PIECES = 50_000
+ROWS_AT_ONCE = 128
 
 
 @dataclass(frozen=True)
@@ -54,18 +54,31 @@ class ByteBpe:
 
 
 class Codec:
-    """Encoder and decoder of one process."""
+    """Encoder and decoder of one process; a decoder alone never builds the encoder."""
 
     def __init__(self, bpe: ByteBpe):
-        with open(bpe.ranks_path, "rb") as f:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-        self.encoding = tiktoken.Encoding("own", pat_str=bpe.pattern, mergeable_ranks=ranks, special_tokens={})
-        self.pattern = regex.compile(bpe.pattern)
+        self.bpe = bpe
         self.cache: dict[str, list[int]] = {}
-        size = max(ranks.values()) + 1
-        self.token_bytes: list[bytes | None] = [None] * size
+
+    def _ranks(self) -> dict[bytes, int]:
+        with open(self.bpe.ranks_path, "rb") as f:
+            return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+
+    @cached_property
+    def encoding(self) -> tiktoken.Encoding:
+        return tiktoken.Encoding("own", pat_str=self.bpe.pattern, mergeable_ranks=self._ranks(), special_tokens={})
+
+    @cached_property
+    def pattern(self) -> regex.Pattern:
+        return regex.compile(self.bpe.pattern)
+
+    @cached_property
+    def token_bytes(self) -> list[bytes | None]:
+        ranks = self._ranks()
+        table: list[bytes | None] = [None] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
-            self.token_bytes[rank] = token
+            table[rank] = token
+        return table
 
     def whole(self, text: str) -> list[int]:
         return self.encoding.encode_ordinary(text)
@@ -120,13 +133,11 @@ def encode(docs: DataFrame, bpe: ByteBpe, chunk_chars: int = CHUNK_CHARS, overla
 
     def encode_short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(bpe)
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                part = batch.slice(at, ROWS_AT_ONCE)
-                k = part.schema.get_field_index("__tw_text")
-                ids = [own.whole(t) for t in part.column(k).to_pylist()]
-                rest = [i for i in range(part.num_columns) if i != k]
-                yield _with(part.select(rest), "token_ids", _id_lists(ids))
+        for part in slices(batches, ROWS_AT_ONCE):
+            k = part.schema.get_field_index("__tw_text")
+            ids = [own.whole(t) for t in part.column(k).to_pylist()]
+            rest = [i for i in range(part.num_columns) if i != k]
+            yield _with(part.select(rest), "token_ids", _id_lists(ids))
 
     out = _schema(rows, "__tw_text").add(T.StructField("token_ids", IDS))
     done = short.mapInArrow(encode_short, out)
@@ -214,14 +225,11 @@ def decode(rows: DataFrame, bpe: ByteBpe) -> DataFrame:
 
     def decode_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(bpe)
-        for batch in batches:
-            k = batch.schema.get_field_index("token_ids")
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                part = batch.slice(at, ROWS_AT_ONCE)
-                column = part.column(k)
-                offsets, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
-                valid = column.is_valid().to_pylist()
-                texts = [own.decode(values[a:b]) if ok else None for a, b, ok in zip(offsets, offsets[1:], valid, strict=False)]
-                yield _with(part, "decoded", pa.array(texts, pa.binary()))
+        for part in slices(batches, ROWS_AT_ONCE):
+            column = part.column(part.schema.get_field_index("token_ids"))
+            offsets, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+            valid = column.is_valid().to_pylist()
+            texts = [own.decode(values[a:b]) if ok else None for a, b, ok in zip(offsets, offsets[1:], valid, strict=False)]
+            yield _with(part, "decoded", pa.array(texts, pa.binary()))
 
     return rows.mapInArrow(decode_ids, _schema(rows).add(T.StructField("decoded", T.BinaryType())))

@@ -22,18 +22,19 @@ a result column.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import materialise
+from tidewater.llm.common import array_slices, materialise, slices
 
 UNKNOWN = "und"
 SAMPLE_PER_LANGUAGE = 400
@@ -153,17 +154,13 @@ def training_sample(labelled: DataFrame, per_language: int) -> DataFrame:
 def fit(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> LanguageModel:
     """Learns from ``labelled`` (``doc_id``, ``text``, ``lang``)."""
 
-    @F.pandas_udf("array<double>")
-    def vectors(text: pd.Series) -> pd.Series:
-        return text.map(features)
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 64):
+            rows = [(lang, x) for lang, text in zip(*(c.to_pylist() for c in part.columns), strict=True) if (x := features(text)) is not None]
+            langs, xs = [lang for lang, _ in rows], [x.astype(np.float32) for _, x in rows]
+            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(xs, pa.list_(pa.float32()))], names=["lang", "x"])
 
-    sample = materialise(
-        training_sample(labelled, per_language)
-        .withColumn("x", vectors("text"))
-        .filter(F.col("x").isNotNull())
-        .select("lang", "x"),
-        "language-sample",
-    )
+    sample = materialise(training_sample(labelled, per_language).mapInArrow(vectors, "lang string, x array<float>"), "language-sample")
     langs = sorted(r["lang"] for r in sample.select("lang").distinct().collect())
     families: dict[str, tuple[str, ...]] = {}
     for lang in langs:
@@ -186,9 +183,10 @@ def fit(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Languag
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (0 to 1), from ``text`` alone."""
 
-    @F.pandas_udf("lang string, score double")
-    def predict(text: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([model.predict(t) for t in text], columns=["lang", "score"])
+    @F.arrow_udf("lang string, score double")
+    def predict(text: pa.Array) -> pa.Array:
+        found = [model.predict(t) for part in array_slices(text) for t in part]
+        return pa.array([{"lang": lang, "score": score} for lang, score in found], pa.struct([("lang", pa.string()), ("score", pa.float64())]))
 
     return (
         docs.withColumn("__tw_p", predict(F.col("text").cast("string")))

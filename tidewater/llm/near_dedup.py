@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import materialise
+from tidewater.llm.common import materialise, slices
 
 SHINGLE_WORDS = 5
 THRESHOLD_PERCENT = 75
@@ -57,7 +57,7 @@ SKETCH_BITS = 512
 SKETCH_FLOOR = 0.5
 BUCKET_ROWS = 20_000  # of one part of a bucket
 GROUP_SHINGLES = 2_000_000  # of one part of a candidate group
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
 
 _RNG = np.random.default_rng(20_240_601)
 _XOR = _RNG.integers(0, 1 << 64, SAMPLES, dtype=np.uint64)[:, None]
@@ -125,7 +125,7 @@ SIGNATURE = "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>,
 _SIGNATURE_ARROW = pa.schema(
     [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]
 )
-ROWS_AT_ONCE = 256
+ROWS_AT_ONCE = 128
 
 
 def _set_key(shingles: np.ndarray) -> tuple[int, int]:
@@ -134,11 +134,9 @@ def _set_key(shingles: np.ndarray) -> tuple[int, int]:
 
 
 def _rows(batches: Iterator[pa.RecordBatch], schema: pa.Schema, of) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-            part = batch.slice(at, ROWS_AT_ONCE)
-            rows = [of(i, t) for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
+    for part in slices(batches, ROWS_AT_ONCE):
+        rows = [of(i, t) for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
 
 
 def _signature(doc_id: int | None, text: str | None) -> tuple:
@@ -315,21 +313,19 @@ def _confirmed(docs: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFr
 
     def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                part = batch.slice(at, ROWS_AT_ONCE)
-                keep, sets = [], []
-                own = zip(*(part.column(k).to_pylist() for k in range(4)), strict=True)
-                for i, (text, rep, *key) in enumerate(own):
-                    if last == (rep, *key):
-                        continue  # a repeated row of the same document
-                    shingles = shingle_set(text)
-                    if len(shingles) and [*_set_key(shingles)] == key:  # an id may come with several texts
-                        last = (rep, *key)
-                        keep.append(i)
-                        sets.append(shingles.view(np.int64))
-                rest = part.select(["rep", "cluster", "parts", "n", "sketch"]).take(pa.array(keep, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(sets, pa.list_(pa.int64()))], names=[*rest.schema.names, "shingles"])
+        for part in slices(batches, ROWS_AT_ONCE):
+            keep, sets = [], []
+            own = zip(*(part.column(k).to_pylist() for k in range(4)), strict=True)
+            for i, (text, rep, *key) in enumerate(own):
+                if last == (rep, *key):
+                    continue  # a repeated row of the same document
+                shingles = shingle_set(text)
+                if len(shingles) and [*_set_key(shingles)] == key:  # an id may come with several texts
+                    last = (rep, *key)
+                    keep.append(i)
+                    sets.append(shingles.view(np.int64))
+            rest = part.select(["rep", "cluster", "parts", "n", "sketch"]).take(pa.array(keep, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(sets, pa.list_(pa.int64()))], names=[*rest.schema.names, "shingles"])
 
     sets = _in_parts(rows.mapInArrow(full_sets, schema), "cluster")
     links = materialise(sets.select("cluster", "i", "j", "rep", "n", "sketch", "shingles").mapInArrow(_search, STARS).distinct(), "links")
