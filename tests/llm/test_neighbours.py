@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater.llm import neighbours as nb
@@ -43,3 +45,38 @@ def test_odd_vectors_ties_and_repeats(spark):
     assert sorted(got[0]) == [(1, 20, 2.0), (2, 3, 1.0), (3, 5, 1.0), (4, 4, 0.5), (5, 21, -1.0)]
     assert sorted(got[20]) == [(1, 4, 4.0), (2, 0, 2.0), (3, 3, 2.0), (4, 5, 2.0), (5, 21, -2.0)]
     assert nb.nearest(table.limit(0), F.col("vec_id") % 20 == 0, 20).collect() == []
+
+
+def _uneven(kind):
+    r = np.random.default_rng(5)
+    x = r.standard_normal((4000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    if kind == "unequal norms":
+        x *= r.lognormal(0, 0.5, (len(x), 1))
+    elif kind == "one large norm":
+        x[7] *= 5
+    elif kind == "a third copies":
+        x[r.permutation(len(x))[: len(x) // 3]] = x[3]
+    return x
+
+
+@pytest.mark.parametrize("kind", ["unequal norms", "one large norm", "a third copies"])
+def test_recall_on_uneven_vectors(spark, kind):
+    x = _uneven(kind)
+    table = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": x.tolist()}))
+    got = nb.nearest(table, F.col("vec_id") % 20 == 0, 20).toPandas().groupby("query_id")["vec_id"].agg(set)
+    ids = np.arange(len(x))
+    recall = []
+    for q in ids[::20]:
+        scores = (x * x[q]).sum(axis=1)
+        best = [i for i in np.lexsort((ids, -scores)) if i != q][:20]
+        recall.append(len(got[q] & set(best)) / 20)
+    # a third of copies: those queries count whose neighbours lie behind the copies
+    near = np.argsort(-(x[::20] @ x[3]))[:100] if kind == "a third copies" else slice(None)
+    assert np.mean(recall) >= 0.9 and np.mean(np.array(recall)[near]) >= 0.9
+
+
+def test_copies_are_ranked_by_id(spark):
+    rows = [(i, [1.0, 0.0]) for i in range(50)] + [(100 + i, [2.0, float(i)]) for i in range(3)]
+    got = nb.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 4, 20)
+    assert [r.vec_id for r in got.orderBy("rank").collect()] == [100, 101, 102, *(i for i in range(18) if i != 4)]
