@@ -22,7 +22,7 @@ from tidewater.llm.bpe import decode, encode
 from tidewater.llm.common import materialise, table
 from tidewater.llm.langid import UNKNOWN, fit, identify
 from tidewater.llm.mixing import mix_sources
-from tidewater.llm.near_dedup import near_duplicates
+from tidewater.llm.near_dedup import near_duplicates, text_key
 from tidewater.llm.q_bpe import PRODUCTION_BPE, digests
 
 ALPHA = 0.5  # of the tempered target weights
@@ -36,11 +36,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group. Rows with a null id belong to no group."""
-    decided = near_duplicates(docs)
-    dropped = materialise(decided.filter(~F.col("kept")).select("doc_id").distinct(), "dropped")
+    """One document of each group. Rows with a null id belong to no group; rows that
+    repeat an id with other texts are other documents."""
+    decided = near_duplicates(docs, by_text=True)
+    dropped = materialise(decided.filter(~F.col("kept")).select("doc_id", "text_key").distinct(), "dropped")
     # the ids grow with the data, so this join is always a shuffle
-    stay = docs.filter(F.col("doc_id").isNotNull()).join(dropped.hint("merge"), "doc_id", "left_anti")
+    keyed = docs.filter(F.col("doc_id").isNotNull()).withColumn("text_key", text_key())
+    stay = keyed.join(dropped.hint("merge"), ["doc_id", "text_key"], "left_anti")
     stay = stay.dropDuplicates(["doc_id", "text"]).select(*docs.columns)
     return stay.unionByName(docs.filter(F.col("doc_id").isNull()))
 

@@ -51,6 +51,15 @@ def test_near_dedup_stage_keeps_one_of_each_group(spark, docs):
     assert Counter(r.doc_id for r in out) == want
 
 
+def test_near_dedup_stage_tells_texts_of_one_id_apart(spark, docs):
+    a, b = "a first text of more than five words", "another text that shares no words at all with it"
+    rows = [(2, a), (5, a), (5, b), (7, b), (8, None), (8, a)]
+    given = spark.createDataFrame([(i, t, "en", "src1", 0) for i, t in rows], docs.schema)
+    out = corpus_pipeline.drop_near_duplicates(spark, given, SF)
+    assert out.schema.names == docs.schema.names
+    assert sorted((r.doc_id, r.text) for r in out.collect()) == [(2, a), (5, b), (8, None)]
+
+
 def test_all_stages(spark, docs, tmp_path):
     path = str(tmp_path)
     docs.write.parquet(f"{path}/documents.parquet")

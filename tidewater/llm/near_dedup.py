@@ -44,7 +44,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import materialise, slices
@@ -147,10 +147,21 @@ def _signature(doc_id: int | None, text: str | None) -> tuple:
     return doc_id, len(shingles), *_set_key(shingles), band_keys(samples), odd_sketch(samples)
 
 
-def signatures(docs: DataFrame) -> DataFrame:
-    """One row per document: size and 128-bit key of its set, band keys, odd sketch."""
+def _signature_and_text(doc_id: int | None, text: str | None) -> tuple:
+    return *_signature(doc_id, text), hashlib.md5((text or "").encode(), usedforsecurity=False).hexdigest()
+
+
+def text_key() -> Column:
+    """Hash of a row's text, as ``near_duplicates`` returns it; null counts as empty."""
+    return F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+
+
+def signatures(docs: DataFrame, by_text: bool = False) -> DataFrame:
+    """One row per document: size and 128-bit key of its set, band keys, odd sketch; on request ``text_key``."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return texts.mapInArrow(lambda batches: _rows(batches, _SIGNATURE_ARROW, _signature), SIGNATURE)
+    schema = _SIGNATURE_ARROW.append(pa.field("text_key", pa.string())) if by_text else _SIGNATURE_ARROW
+    of = _signature_and_text if by_text else _signature
+    return texts.mapInArrow(lambda batches: _rows(batches, schema, of), f"{SIGNATURE}, text_key string" if by_text else SIGNATURE)
 
 
 # estimate >= SKETCH_FLOOR, as a bound on the bits in which two sketches differ
@@ -332,9 +343,10 @@ def _confirmed(docs: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFr
     return None if links.isEmpty() else connected(links)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` for every row of ``docs``."""
-    signed = materialise(signatures(docs), "signatures")
+def near_duplicates(docs: DataFrame, by_text: bool = False) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` for every row of ``docs``;
+    with ``by_text`` also ``text_key``, which tells rows of a repeated id apart."""
+    signed = materialise(signatures(docs, by_text), "signatures")
     sets = signed.filter(F.col("k1").isNotNull() & F.col("doc_id").isNotNull())
     first = F.min(F.struct("doc_id", "n_shingles", "bands", "sketch")).alias("m")
     classes = materialise(
@@ -350,8 +362,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if labels is not None:
         of_class = of_class.join(labels.withColumnRenamed("node", "component"), "component", "left").select("k1", "k2", F.coalesce("label", "component").alias("component"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    more = ["text_key"] if by_text else []
     return (
-        signed.select("doc_id", "n_shingles", "k1", "k2")
+        signed.select("doc_id", "n_shingles", "k1", "k2", *more)
         .join(of_class, ["k1", "k2"], "left")
-        .select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id").isNull() | (F.col("doc_id") == component)).alias("kept"))
+        .select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id").isNull() | (F.col("doc_id") == component)).alias("kept"), *more)
     )
