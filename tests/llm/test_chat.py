@@ -67,3 +67,10 @@ def test_windows_read_back_to_all_turns(spark):
 
 def test_empty_table(spark):
     assert chat.read_back(chat.format_conversations(spark.createDataFrame([], SCHEMA), PRODUCTION_BPE)).collect() == []
+
+
+def test_tokens_are_counted_before_the_shuffle(spark):
+    turns = spark.createDataFrame([(1, 0, "user", "hello")], "conv_id long, turn int, role string, text string")
+    plan = chat.format_conversations(turns, PRODUCTION_BPE)._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    # from the result down to the scan: windows, then the shuffle, then the counts
+    assert plan.index("MapInArrow") < plan.index("Exchange hashpartitioning(conv_id") < plan.index("ArrowEvalPython")

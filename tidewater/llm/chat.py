@@ -14,10 +14,11 @@ conversation starts with one, and with the last turns before it, up to
 window does not repeat are targets, so each is a target once. A turn that is
 longer than the budget has a window of its own, without history.
 
-One shuffle by conversation and a sort that spills bring the turns in order; a
-task then goes through its rows once and holds one window, so a conversation of
-any length needs little memory. (The windows of one conversation depend on each
-other in order, so they are made by one task.)
+Turns are escaped and their tokens counted where they are read. One shuffle by
+conversation and a sort that spills then bring the turns in order; a task goes
+through its rows once and holds one window, so a conversation of any length
+needs little memory. (The windows of one conversation depend on each other in
+order, so they are made by one task, from the counts.)
 
 Defined cases: null text or role is empty; null conversation ids are one
 conversation; turns with equal numbers are ordered by role and text, repeated
@@ -36,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.bpe import ByteBpe, codec
+from tidewater.llm.common import array_slices
 
 BUDGET = 1024
 HISTORY = 256
@@ -148,25 +150,37 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 def format_conversations(turns: DataFrame, bpe: ByteBpe, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
     """Windows of all conversations (``conv_id``, ``turn``, ``role``, ``text``).
     Rows of one conversation are neighbours in one partition, in order."""
+
+    @F.arrow_udf("safe string, tokens int")
+    def counted(role: pa.Array, text: pa.Array) -> pa.Array:
+        """The escaped text, or null if that is the text itself, and the tokens of the formatted turn."""
+        count = codec(bpe).whole
+        out = []
+        for r, t in zip(array_slices(role), array_slices(text), strict=True):
+            for said_by, said in zip(r, t, strict=True):
+                safe = escape(said)
+                out.append({"safe": None if safe == said else safe, "tokens": len(count(f"{START}{said_by}\n{safe}{END}"))})
+        return pa.array(out, pa.struct([("safe", pa.string()), ("tokens", pa.int32())]))
+
     ordered = (
         turns.select(F.col("conv_id").cast("long"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+        .withColumn("c", counted("role", "text"))
+        .select("conv_id", "turn", "role", "text", "c.safe", "c.tokens")
         .repartition("conv_id")
         .sortWithinPartitions("conv_id", "turn", "role", "text")
-        .select("conv_id", "role", "text")
+        .select("conv_id", "role", F.coalesce("safe", "text").alias("text"), "tokens")
     )
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = codec(bpe).whole
         current: Conversation | None = None
         done: list[tuple] = []
         for batch in batches:
-            for conv_id, role, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for conv_id, role, safe, tokens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if current is None or conv_id != current.conv_id:
                     if current:
                         done.append(current.close())
                     current = Conversation(conv_id, budget, history)
-                safe = escape(text)
-                window = current.add(role, safe, len(count(f"{START}{role}\n{safe}{END}")))
+                window = current.add(role, safe, tokens)
                 if window:
                     done.append(window)
                 if len(done) >= WINDOWS_AT_ONCE:
