@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import contextlib
 import io
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,3 +102,14 @@ def test_join_counts_never_materialise_pairs(spark, skewed):
     hot = (N // 3) ** 2
     assert counts.first().rows > hot  # 400M pairs for the hot key alone, counted not built
     assert "CartesianProduct" not in _plan(counts)
+
+
+def test_json_nested_splits_a_hot_conversation_and_counts_repeats(spark, tmp_path):
+    from tidewater.plans import formats
+
+    rows = [(1, i, ("user", "assistant")[i % 2]) for i in range(1000)] + [(1, 5, "assistant")] * 300 + [(1, 5, "user"), (2, None, None), (3, 0, "system"), (None, 0, "user")]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = formats.json_nested(spark, str(tmp_path))
+    assert {(r.conv_id, r.turns, r.answers, r.has_system) for r in got.collect()} == {(1, 1301, 800, False), (2, 1, 0, None), (3, 1, 0, True), (None, 1, 0, False)}
+    nested = [json.loads(r.value) for r in spark.read.text(list(got.inputFiles())).collect()]
+    assert len(nested) > 20 and max(len(x["roles"]) for x in nested) <= formats.TURNS_NESTED

@@ -136,6 +136,9 @@ def stream_json_lines(spark: SparkSession, d: str) -> DataFrame:
     return run_append(parsed, "json_lines")
 
 
+TURNS_NESTED = 100
+
+
 @register(
     "json_nested",
     """
@@ -146,21 +149,30 @@ def stream_json_lines(spark: SparkSession, d: str) -> DataFrame:
     ("S7",),
 )
 def json_nested(spark: SparkSession, d: str) -> DataFrame:
-    """JSON with an array, a map, a boolean and a time in epoch seconds, written and
-    read with a declared schema. (Turns per conversation are few.)"""
-    conv = read_table(spark, d, "conversations", "conv_id", "turn", "role").groupBy("conv_id").agg(
-        F.collect_list("role").alias("roles"),
-        F.map_from_entries(F.collect_list(F.struct(F.col("turn").cast("string"), "role"))).alias("by_turn"),
-        F.bool_or(F.col("role") == "system").alias("has_system"),
+    """JSON with arrays, a map, a boolean and a time in epoch seconds, written and
+    read with a declared schema. A nested row holds the turns of one role among
+    ``TURNS_NESTED`` turn numbers, each with its number of rows, so a conversation of
+    any length, or with repeated turns, is many small rows."""
+    part = F.expr(f"turn div {TURNS_NESTED}").alias("part")
+    counted = read_table(spark, d, "conversations", "conv_id", "turn", "role").groupBy("conv_id", "turn", "role").agg(F.count(F.lit(1)).alias("n"))
+    entry = F.struct(F.coalesce(F.col("turn").cast("string"), F.lit("")).alias("turn"), "role", "n")
+    conv = counted.groupBy("conv_id", part, "role").agg(F.collect_list(entry).alias("e")).select(
+        "conv_id",
+        F.transform("e", lambda e: e["role"]).alias("roles"),
+        F.transform("e", lambda e: e["n"]).alias("times"),
+        F.map_from_entries(F.transform("e", lambda e: F.struct(e["turn"], e["role"]))).alias("by_turn"),
+        (F.col("role") == "system").alias("has_system"),
     )
     path = _written(spark, conv.withColumn("at", F.col("conv_id") * 60), "json", "conversations_nested")
-    back = files.read_json_lines(spark, path, "conv_id BIGINT, roles ARRAY<STRING>, by_turn MAP<STRING, STRING>, has_system BOOLEAN, at TIMESTAMP")
-    return back.select(
-        "conv_id",
-        F.size("by_turn").cast("long").alias("turns"),
-        F.size(F.filter("roles", lambda r: r == "assistant")).cast("long").alias("answers"),
-        "has_system",
-        instant_to_ntz("at").alias("at"),
+    schema = "conv_id BIGINT, roles ARRAY<STRING>, times ARRAY<BIGINT>, by_turn MAP<STRING, STRING>, has_system BOOLEAN, at TIMESTAMP"
+    back = files.read_json_lines(spark, path, schema)
+    total = lambda counts: F.aggregate(counts, F.lit(0).cast("long"), lambda s, n: s + n)
+    answers = F.zip_with("roles", "times", lambda r, n: F.when(r == "assistant", n).otherwise(F.lit(0)))
+    return back.groupBy("conv_id").agg(
+        F.sum(total(F.col("times"))).alias("turns"),
+        F.sum(total(answers)).alias("answers"),
+        F.bool_or("has_system").alias("has_system"),
+        F.min(instant_to_ntz("at")).alias("at"),
     )
 
 
