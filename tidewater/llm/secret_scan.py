@@ -72,7 +72,7 @@ PROVIDER_RULES = (
 
 PRODUCTION_RULES = BASE_RULES + PROVIDER_RULES
 
-SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
+MATCHES = "array<struct<gap:int,size:int,part:int>>"
 
 
 def text_key() -> Column:
@@ -86,14 +86,9 @@ def vocabulary(rules: Sequence[Rule]) -> list[str]:
 
 def trigram_index(docs: DataFrame, trigrams: Sequence[str]) -> DataFrame:
     """Postings (``trigram``, ``text_key``) of all texts, each once, as a written table."""
-    by_first: dict[str, list[str]] = {}
-    for t in trigrams:
-        by_first.setdefault(t[0], []).append(t[1:])
-    escaped = {c: "".join(f"\\x{{{ord(x):X}}}" for x in c) for ts in trigrams for c in {ts[0], ts[1:]}}
-    branches = "|".join(f"{escaped[c]}(?:{'|'.join(escaped[r] for r in rest)})" for c, rest in sorted(by_first.items()))
-    # a lookahead, so that trigrams that overlap are all found in one pass
-    held = F.regexp_extract_all(ascii_lower(text_or_empty()), F.lit(f"(?=({branches}))" if branches else "(?!)()"), F.lit(1))
-    postings = docs.select(text_key().alias("text_key"), F.explode(F.array_distinct(held)).alias("trigram"))
+    rows = docs.select(text_key().alias("text_key"), ascii_lower(text_or_empty()).alias("text"))
+    held = F.array_compact(F.array(*[F.when(F.col("text").contains(t), F.lit(t)) for t in trigrams]).cast("array<string>"))
+    postings = rows.select("text_key", F.explode(held).alias("trigram"))
     return materialise(postings.select("trigram", "text_key").distinct(), "trigram-index")
 
 
@@ -135,33 +130,41 @@ def running_sums(values: Column) -> Column:
     return _bind(values, lambda v: F.when(F.size(v) > 0, of(v)).otherwise(F.array().cast("array<int>")))
 
 
-def spans(text: Column, rule: Rule, rank: int) -> Column:
-    """Places of the rule's matches in ``text``."""
+def matches(text: Column, rule: Rule) -> Column:
+    """The lengths of each match, of its measured part and of the text before it."""
     rx = F.lit(rule.pattern)
-    # matches and the texts between them alternate, so the lengths give the places
     pairs = F.arrays_zip(
         F.regexp_extract_all(text, rx, F.lit(0)).alias("match"),
         F.regexp_extract_all(text, rx, F.lit(rule.group)).alias("part"),
         F.split(text, rule.pattern, -1).alias("before"),
     )
-    lengths = F.transform(
+    found = F.transform(
         F.filter(pairs, lambda p: p["match"].isNotNull()),
         lambda p: F.struct(F.length(p["before"]).alias("gap"), F.length(p["match"]).alias("size"), F.length(p["part"]).alias("part")),
     )
+    return F.when(text.rlike(rule.pattern), found).otherwise(F.array().cast(MATCHES))
 
-    def placed(found: Column) -> Column:
-        sums = running_sums(F.transform(found, lambda f: f["gap"] + f["size"]))
+
+def spans(by_rule: Column) -> Column:
+    """Places from lengths: matches and the texts between them alternate."""
+
+    def placed(r: Column) -> Column:
+        sums = running_sums(F.transform(r["found"], lambda f: f["gap"] + f["size"]))
         return F.transform(
-            F.filter(F.arrays_zip(found.alias("f"), sums.alias("at")), lambda z: z["f"]["part"] >= rule.least),
+            F.filter(F.arrays_zip(r["found"].alias("f"), sums.alias("at")), lambda z: z["f"]["part"] >= r["least"]),
             lambda z: F.struct(
                 (z["at"] + z["f"]["gap"]).alias("start"),
-                F.lit(rank).alias("rank"),
+                r["rank"].alias("rank"),
                 (z["at"] + z["f"]["gap"] + z["f"]["size"]).alias("end"),
-                F.lit(rule.kind).alias("kind"),
+                r["kind"].alias("kind"),
             ),
         )
 
-    return F.when(text.rlike(rule.pattern), _bind(lengths, placed)).otherwise(F.array().cast(SPAN))
+    met = F.filter(by_rule, lambda r: F.size(r["found"]) > 0)
+    return F.transform(
+        F.array_sort(F.flatten(F.transform(met, placed))),
+        lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")),
+    )
 
 
 def scan_secrets(docs: DataFrame, rules: Sequence[Rule] = PRODUCTION_RULES) -> DataFrame:
@@ -171,13 +174,14 @@ def scan_secrets(docs: DataFrame, rules: Sequence[Rule] = PRODUCTION_RULES) -> D
     found = materialise(candidates(trigram_index(docs, vocabulary(indexed)), indexed), "secret-candidates")
     found = found.select(F.col("text_key").alias("__tw_key"), F.col("rules").alias("__tw_rules"))
     rows = docs.withColumn("__tw_key", text_key()).join(found, "__tw_key", "left")
-    text = text_or_empty()
-    none = F.array().cast(SPAN)
+    text, none = text_or_empty(), F.array().cast(MATCHES)
     by_rule = [
-        F.when(F.array_contains("__tw_rules", r.kind), spans(text, r, k)).otherwise(none) if r in indexed else spans(text, r, k)
+        F.struct(
+            F.lit(k).alias("rank"),
+            F.lit(r.kind).alias("kind"),
+            F.lit(r.least).alias("least"),
+            (F.when(F.array_contains("__tw_rules", r.kind), matches(text, r)).otherwise(none) if r in indexed else matches(text, r)).alias("found"),
+        )
         for k, r in enumerate(rules)
     ]
-    placed = F.transform(
-        F.array_sort(F.flatten(F.array(*by_rule))), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
-    )
-    return rows.withColumn("secrets", placed).drop("__tw_key", "__tw_rules")
+    return rows.withColumn("secrets", spans(F.array(*by_rule))).drop("__tw_key", "__tw_rules")
