@@ -48,7 +48,7 @@ def documents(spark):
 
 def test_every_operator_has_one_query():
     names = list(registry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11)) and "pipeline" in names
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14)) and "pipeline" in names
 
 
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
@@ -152,3 +152,22 @@ def test_op10(rows, documents):
     assert sorted(shards) == list(range(24))
     assert all(sorted(slots) == list(range(len(slots))) for slots in shards.values())
     assert max(map(len, shards.values())) - min(map(len, shards.values())) <= 1
+
+
+def test_op12(rows, spark):
+    from test_repair import COLUMNS, by_conversation, damaged, expect
+
+    given = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    after = by_conversation(damaged(given))
+    got = {r["conv_id"]: tuple(r[c] for c in COLUMNS) for r in rows("op12_conversation_repair")}
+    assert set(got) == {r[0] for r in given}
+    assert all(found == expect(after.get(conv, [])) for conv, found in got.items())
+
+
+def test_op13(rows, documents):
+    from test_alignment import COLUMNS, expected
+
+    got = {r["doc_id"]: tuple(r[c] for c in COLUMNS) for r in rows("op13_tokenizer_alignment")}
+    assert len(got) == len(documents)
+    want = expected([documents[d].text for d in documents])
+    assert all(got[d] == w for d, w in zip(documents, want, strict=True))

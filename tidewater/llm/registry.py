@@ -24,7 +24,7 @@ def register(name: str, sql: str | None = None):
 
 def _load() -> None:
     # importing the modules registers their queries
-    for module in ("q_licenses", "q_langid", "q_mixing", "q_viterbi", "q_bpe", "q_neighbours", "q_chat", "q_near_dedup", "q_fingerprints", "q_sharding", "q_secrets", "q_repair", "q_pipeline"):
+    for module in ("q_licenses", "q_langid", "q_mixing", "q_viterbi", "q_bpe", "q_neighbours", "q_chat", "q_near_dedup", "q_fingerprints", "q_sharding", "q_secrets", "q_repair", "q_alignment", "q_pipeline"):
         importlib.import_module(f"tidewater.llm.{module}")
 
 
