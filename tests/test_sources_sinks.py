@@ -122,24 +122,6 @@ def test_database_ddl_schema_profile_and_table(spark):
     assert not spark.catalog.tableExists(name)
 
 
-def test_upsert_rewrites_touched_parts_only(spark):
-    import os
-
-    rows = spark.range(500).selectExpr("id AS k", "0 AS version", "'old' AS v")
-    path = sinks.create_keyed_table(spark, rows, ["k"], ["version"], parts=16)
-
-    def files():
-        local = path.removeprefix("file:")
-        return {f"{d}/{f}" for d, _, names in os.walk(local) for f in names if f.endswith(".parquet")}
-
-    before = files()
-    updates = spark.createDataFrame([(7, 1, "new"), (7, 2, "newer"), (9, -1, "late"), (900, 0, "more")], "k long, version int, v string")
-    sinks.upsert_keyed_table(spark, path, updates, ["k"], ["version"], parts=16)
-    got = {r.k: r.v for r in sinks.read_keyed_table(spark, path, rows).collect()}
-    assert len(got) == 501 and got[7] == "newer" and got[9] == "old" and got[900] == "more" and got[8] == "old"
-    assert len(before & files()) >= len(before) - 3 and before - files()
-
-
 def test_evolve_partition_prunes_new_part(spark):
     orders = read_table(spark, SF_SMALL, "orders", "o_orderkey", "o_orderdate", "o_orderpriority")
     cut = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")

@@ -24,7 +24,7 @@ from tidewater.operators import joins
 from tidewater.operators.aggregates import keep_latest
 from tidewater.operators.projections import select_sorted
 from tidewater.plans.registry import register
-from tidewater.sinks.tables import create_keyed_table, keyed_upsert, read_keyed_table
+from tidewater.sinks.keyed import KeyedTable, keyed_upsert
 from tidewater.sources.tables import read_table
 
 
@@ -171,8 +171,7 @@ def central_catalog(spark: SparkSession, d: str) -> DataFrame:
     # the stand-in's key repeats: the last shipped row is the item
     items = keep_latest(items, keys, ["ship_date", "product_id", "seller_id", "price"])
     catalog = build_catalog(products, categories, stats, items, sellers, promotions, tuple(keys))
-    path = create_keyed_table(spark, catalog, keys, ["product_id"], "catalog")
-    stored = read_keyed_table(spark, path, catalog)
+    stored = KeyedTable.create(catalog, keys, ["product_id"], "catalog", unique=True).read()
     return stored.withColumns({c: map_text(c) for c in ("categories", "promotions")})
 
 
@@ -189,4 +188,4 @@ def keyed_upsert_q(spark: SparkSession, d: str) -> DataFrame:
     cutoff = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
     target = li.filter(F.col("l_shipdate") < cutoff)
     updates = li.filter(F.coalesce(F.col("l_shipdate") >= cutoff, F.lit(True)))  # a row without a date, too
-    return keyed_upsert(spark, target, updates, ["l_partkey"], ["l_shipdate", "l_orderkey", "l_linenumber"], "latest_shipment")
+    return keyed_upsert(target, updates, ["l_partkey"], ["l_shipdate", "l_orderkey", "l_linenumber"], "latest_shipment")

@@ -1,23 +1,20 @@
+from tidewater.sinks.keyed import KeyedTable, keyed_upsert
+from tidewater.sinks.manifest import CommitConflict
 from tidewater.sinks.tables import (
     create_database,
-    create_keyed_table,
     create_table_as,
     describe_extended,
     drop_table,
     evolve_partition,
-    keyed_upsert,
     parquet_roundtrip,
-    read_keyed_table,
     save_bucketed,
     save_partitioned,
     save_table,
     schema_profile,
-    upsert_keyed_table,
     write_parquet,
 )
 
 __all__ = [
-    "create_database", "create_keyed_table", "create_table_as", "describe_extended", "drop_table", "evolve_partition",
-    "keyed_upsert", "parquet_roundtrip", "read_keyed_table", "save_bucketed", "save_partitioned", "save_table",
-    "schema_profile", "upsert_keyed_table", "write_parquet",
+    "CommitConflict", "KeyedTable", "create_database", "create_table_as", "describe_extended", "drop_table", "evolve_partition",
+    "keyed_upsert", "parquet_roundtrip", "save_bucketed", "save_partitioned", "save_table", "schema_profile", "write_parquet",
 ]

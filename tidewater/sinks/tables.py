@@ -1,4 +1,4 @@
-"""Writers and table layout.
+"""Writers and table layout (K1-K8, K10-K13; the keyed table K9 is in ``keyed``).
 
 Every path is under the shared folder (``spark.checkpoint.dir``), so any
 executor can read what another wrote, and a re-run of a stage after an
@@ -15,10 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
-from tidewater.operators.aggregates import keep_latest
 from tidewater.session import shared_path, unique_name
 
 
@@ -155,64 +152,11 @@ def schema_profile(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "column string, type string, nullable boolean")
 
 
-KEY_PART = "key_part"
-KEY_PARTS = 64  # of a keyed table, a property of the table: the same for its creation and all upserts
-
-
-def create_keyed_table(spark: SparkSession, rows: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "keyed", parts: int = KEY_PARTS) -> str:
-    """K9: a table with one row per key (the one with the greatest ``order``),
-    stored in ``parts`` folders by a hash of the key; returns its path."""
-    path = shared_path(spark, "tables", name)
-    part = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
-    _write_parts(keep_latest(rows, keys, order).withColumn(KEY_PART, part), path, "errorifexists")
-    return path
-
-
-def upsert_keyed_table(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str], order: Sequence[str], parts: int = KEY_PARTS) -> None:
-    """K9: ``updates`` into the keyed table at ``path``; the row with the greatest
-    ``order`` wins. Only the parts that hold an updated key are read and
-    rewritten (dynamic partition overwrite), the others stay as they are."""
-    part = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
-    changed = updates.withColumn(KEY_PART, part)
-    stored = spark.read.schema(changed.schema).parquet(path)
-    touched = stored.join(changed.select(KEY_PART).distinct(), KEY_PART, "left_semi")
-    merged = keep_latest(touched.select(*changed.columns).unionByName(changed), [*keys, KEY_PART], order)
-    _write_parts(merged, path, "overwrite")
-
-
-def read_keyed_table(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    schema = StructType([*like.schema.fields, StructField(KEY_PART, IntegerType())])
-    return spark.read.schema(schema).parquet(path).select(*like.columns)
-
-
-def _write_parts(rows: DataFrame, path: str, mode: str) -> None:
-    writer = rows.hint("rebalance", KEY_PART).write.mode(mode).option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(KEY_PART).parquet(path)
-
-
 def describe_extended(spark: SparkSession, name: str) -> DataFrame:
     """Columns and details (location, provider, partitions, buckets) of a catalog table."""
     return spark.sql(f"DESCRIBE EXTENDED {name}")
 
 
-def keyed_upsert(
-    spark: SparkSession,
-    target: DataFrame,
-    updates: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    name: str = "upsert",
-) -> DataFrame:
-    """K9: ``target`` as a keyed table, ``updates`` into it, the table read back.
-
-    Stands in for an append into a keyed store (where a later write for the
-    same primary key replaces the row).
-    """
-    path = create_keyed_table(spark, target, keys, order, name)
-    upsert_keyed_table(spark, path, updates, keys, order)
-    return read_keyed_table(spark, path, target)
-
-
 def evolve_partition(
     spark: SparkSession,
     old: DataFrame,
