@@ -120,12 +120,3 @@ def test_database_ddl_schema_profile_and_table(spark):
     assert described["r_name"] == "string" and described["Provider"] == "parquet" and "Location" in described
     sinks.drop_table(spark, name)
     assert not spark.catalog.tableExists(name)
-
-
-def test_evolve_partition_prunes_new_part(spark):
-    orders = read_table(spark, SF_SMALL, "orders", "o_orderkey", "o_orderdate", "o_orderpriority")
-    cut = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
-    view = sinks.evolve_partition(spark, orders.filter(F.col("o_orderdate") < cut), orders.filter(F.col("o_orderdate") >= cut), "o_orderpriority")
-    assert view.count() == orders.count()
-    urgent = view.filter(F.col("o_orderpriority") == "1-URGENT")
-    assert urgent.count() == orders.filter(F.col("o_orderpriority") == "1-URGENT").count()

@@ -16,7 +16,9 @@ from tidewater.operators import filters as flt
 from tidewater.operators import partitioning as part_ops
 from tidewater.plans.registry import register
 from tidewater.session import parallelism, unique_name
-from tidewater.sinks.tables import create_table_as, evolve_partition, save_bucketed, save_partitioned
+from tidewater.sinks.compaction import compact, file_report, write_by_task
+from tidewater.sinks.evolving import EvolvingTable, file_path
+from tidewater.sinks.tables import create_table_as, save_bucketed, save_partitioned
 from tidewater.sources.tables import read_table
 
 # The order priorities in their natural order (the custom
@@ -164,14 +166,42 @@ def hash_partition(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+# the tasks of the write and the rows of a packed file
+LAYOUT_TASKS, PACKED_ROWS = 6, 700
+
+
 @register(
     "layout_file_counts",
-    "SELECT o_orderpriority, count(*) AS rows, true AS has_files FROM orders GROUP BY o_orderpriority",
+    """
+    WITH files AS (
+      SELECT o_orderpriority, o_orderkey % 6 AS task, count(*) AS n FROM orders GROUP BY ALL),
+    packed AS (
+      SELECT o_orderpriority, n,
+             coalesce(sum(n) OVER (PARTITION BY o_orderpriority ORDER BY task ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 700 AS bin
+      FROM files)
+    SELECT o_orderpriority, CAST(sum(n) AS BIGINT) AS rows, count(*) AS files, count(DISTINCT bin) AS packed_files,
+           CAST(sum(n) AS BIGINT) AS packed_rows
+    FROM packed GROUP BY o_orderpriority
+    """,
     ("K5",),
 )
 def layout_file_counts(spark: SparkSession, d: str) -> DataFrame:
-    """K5 report: rows per partition value of a partitioned write, and whether
-    files hold them (their number depends on the cluster)."""
+    """K5 report: the files of a partitioned write by a fixed number of tasks (one
+    per task and value), and those left after small ones are packed."""
+    orders = read_table(spark, d, "orders", "o_orderkey", "o_orderpriority")
+    path = write_by_task(orders, F.col("o_orderkey") % LAYOUT_TASKS, LAYOUT_TASKS, ["o_orderpriority"])
+    packed = compact(spark, path, ["o_orderpriority"], PACKED_ROWS, "file_rows")
+    after = file_report(spark, packed, ["o_orderpriority"]).withColumnsRenamed({"files": "packed_files", "rows": "packed_rows"})
+    return file_report(spark, path, ["o_orderpriority"]).join(after, "o_orderpriority")
+
+
+@register(
+    "layout_partitioned",
+    "SELECT o_orderpriority, count(*) AS rows, true AS has_files FROM orders GROUP BY o_orderpriority",
+    ("K5",),
+)
+def layout_partitioned(spark: SparkSession, d: str) -> DataFrame:
+    """K5: a partitioned table whose files follow the size (rebalanced by value)."""
     orders = read_table(spark, d, "orders", "o_orderkey", "o_orderpriority")
     report = part_ops.file_profile(save_partitioned(spark, orders, ["o_orderpriority"]), "o_orderpriority")
     return report.select("o_orderpriority", "rows", (F.col("files") >= 1).alias("has_files"))
@@ -213,15 +243,53 @@ def co_partitioned_join(spark: SparkSession, d: str) -> DataFrame:
     return part_ops.co_partitioned_join(orders, lines, "o_orderkey").select("o_orderkey", "o_custkey", "lines")
 
 
+CUTOVER = "1998-01-01 00:00:00"
+
+
+def evolved_orders(spark: SparkSession, d: str) -> EvolvingTable:
+    """Orders before the cutover in files clustered by priority and date, those
+    after it (and those without a date) in a folder per priority."""
+    orders = read_table(spark, d, "orders", "o_orderkey", "o_orderdate", "o_orderpriority")
+    cutoff = F.lit(CUTOVER).cast("timestamp_ntz")
+    cluster = ["o_orderpriority", "o_orderdate"]
+    table = EvolvingTable.create(orders.filter(F.col("o_orderdate") < cutoff), cluster, cluster_by=cluster, name="orders-evolving")
+    table.evolve(["o_orderpriority"])
+    table.append(orders.filter(F.coalesce(F.col("o_orderdate") >= cutoff, F.lit(True))))
+    return table
+
+
 @register(
     "evolve_partition",
     "SELECT o_orderkey, o_orderdate, o_orderpriority FROM orders WHERE o_orderpriority = '1-URGENT'",
     ("K13", "K10"),
 )
 def evolve_partition_q(spark: SparkSession, d: str) -> DataFrame:
-    orders = read_table(spark, d, "orders", "o_orderkey", "o_orderdate", "o_orderpriority")
-    cutoff = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
-    view = evolve_partition(
-        spark, orders.filter(F.col("o_orderdate") < cutoff), orders.filter(F.coalesce(F.col("o_orderdate") >= cutoff, F.lit(True))), "o_orderpriority"
+    """A filter on the new partition column reads only matching files of both layouts."""
+    return evolved_orders(spark, d).scan(o_orderpriority=("1-URGENT", "1-URGENT"))
+
+
+@register(
+    "evolve_partition_files",
+    """
+    SELECT CAST(CASE WHEN o_orderdate < TIMESTAMP '1998-01-01 00:00:00' THEN 0 ELSE 1 END AS BIGINT) AS spec,
+           count(*) AS rows, CAST(count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS BIGINT) AS matching_rows,
+           CAST(0 AS BIGINT) AS files_read_in_vain, true AS files_skipped
+    FROM orders GROUP BY 1
+    """,
+    ("K13",),
+)
+def evolve_partition_files(spark: SparkSession, d: str) -> DataFrame:
+    """Per layout: rows in all files, matching rows, files that are read without
+    holding a match (none, as the values of a file are neighbours) and whether
+    files without a match are skipped."""
+    table = evolved_orders(spark, d)
+    urgent = {"o_orderpriority": ("1-URGENT", "1-URGENT")}
+    read = table.matching_files(**urgent).select("file", F.lit(1).alias("read"))
+    held = table.scan(**urgent).groupBy(file_path().alias("file")).agg(F.count(F.lit(1)).alias("matches"))
+    files = table.index().join(read, "file", "left").join(held, "file", "left")
+    return files.groupBy("spec").agg(
+        F.sum("rows").cast("long").alias("rows"),
+        F.coalesce(F.sum("matches"), F.lit(0)).cast("long").alias("matching_rows"),
+        F.count_if(F.col("read").isNotNull() & F.col("matches").isNull()).alias("files_read_in_vain"),
+        (F.count_if(F.col("read").isNull()) > 0).alias("files_skipped"),
     )
-    return view.filter(F.col("o_orderpriority") == "1-URGENT")

@@ -1,3 +1,5 @@
+from tidewater.sinks.compaction import compact, file_report, write_by_task
+from tidewater.sinks.evolving import EvolvingTable
 from tidewater.sinks.keyed import KeyedTable, keyed_upsert
 from tidewater.sinks.manifest import CommitConflict
 from tidewater.sinks.tables import (
@@ -5,7 +7,6 @@ from tidewater.sinks.tables import (
     create_table_as,
     describe_extended,
     drop_table,
-    evolve_partition,
     parquet_roundtrip,
     save_bucketed,
     save_partitioned,
@@ -15,6 +16,7 @@ from tidewater.sinks.tables import (
 )
 
 __all__ = [
-    "CommitConflict", "KeyedTable", "create_database", "create_table_as", "describe_extended", "drop_table", "evolve_partition",
-    "keyed_upsert", "parquet_roundtrip", "save_bucketed", "save_partitioned", "save_table", "schema_profile", "write_parquet",
+    "CommitConflict", "EvolvingTable", "KeyedTable", "compact", "create_database", "create_table_as", "describe_extended", "drop_table",
+    "file_report", "keyed_upsert", "parquet_roundtrip", "save_bucketed", "save_partitioned", "save_table", "schema_profile",
+    "write_by_task", "write_parquet",
 ]

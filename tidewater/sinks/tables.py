@@ -1,4 +1,4 @@
-"""Writers and table layout (K1-K8, K10-K13; the keyed table K9 is in ``keyed``).
+"""Writers and table layout (K1-K4, K6-K8, K10-K12; ``keyed`` has K9, ``evolving`` K13, ``compaction`` the file counts of K5).
 
 Every path is under the shared folder (``spark.checkpoint.dir``), so any
 executor can read what another wrote, and a re-run of a stage after an
@@ -155,24 +155,3 @@ def schema_profile(spark: SparkSession, df: DataFrame) -> DataFrame:
 def describe_extended(spark: SparkSession, name: str) -> DataFrame:
     """Columns and details (location, provider, partitions, buckets) of a catalog table."""
     return spark.sql(f"DESCRIBE EXTENDED {name}")
-
-
-def evolve_partition(
-    spark: SparkSession,
-    old: DataFrame,
-    new_rows: DataFrame,
-    new_partition_col: str,
-    old_partition_cols: Sequence[str] = (),
-    name: str | None = None,
-) -> DataFrame:
-    """Partition evolution without a table format: old rows keep their old
-    layout, new rows are written partitioned by ``new_partition_col``, and one
-    view reads both. A filter on the new column prunes folders of the new part.
-    """
-    name = name or unique_name("evolved")
-    old_t = save_partitioned(spark, old, old_partition_cols, f"{name}_v1") if old_partition_cols else save_table(spark, old, f"{name}_v1")
-    new_t = save_partitioned(spark, new_rows, [*old_partition_cols, new_partition_col], f"{name}_v2")
-    cols = old.columns
-    view = old_t.select(*cols).unionByName(new_t.select(*cols))
-    view.createOrReplaceTempView(name)
-    return spark.table(name)
