@@ -14,9 +14,12 @@ from pyspark.sql import functions as F
 from tidewater.operators import aggregates as agg
 from tidewater.operators import filters as flt
 from tidewater.operators import partitioning as part_ops
+from tidewater.operators.balance import balanced_partition
+from tidewater.operators.bloom import bloom_join
 from tidewater.plans.registry import register
 from tidewater.session import parallelism, unique_name
 from tidewater.sinks.compaction import compact, file_report, write_by_task
+from tidewater.sinks.hot_buckets import BucketedPair, save_bucketed_pair
 from tidewater.sinks.evolving import EvolvingTable, file_path
 from tidewater.sinks.tables import create_table_as, save_bucketed, save_partitioned
 from tidewater.sources.tables import read_table
@@ -92,6 +95,67 @@ def join_bucketed(spark: SparkSession, d: str) -> DataFrame:
     return orders.join(cust, orders["o_custkey"] == cust["c_custkey"]).select("o_orderkey", "o_custkey", "c_name", "o_totalprice")
 
 
+@register(
+    "join_bucketed_hot",
+    """
+    SELECT l_orderkey, l_linenumber, l_suppkey, s_name, l_quantity FROM
+      (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <= 2 THEN 1 ELSE l_suppkey END AS l_suppkey, l_quantity FROM lineitem)
+    LEFT JOIN supplier ON l_suppkey = s_suppkey
+    """,
+    ("J11", "K6", "K8"),
+)
+def join_bucketed_hot(spark: SparkSession, d: str) -> DataFrame:
+    """A bucketed join without an Exchange in which one supplier has more than a
+    third of all lines (the first two of each order): it fills several buckets."""
+    return hot_pair(spark, d).join("left").select("l_orderkey", "l_linenumber", "l_suppkey", "s_name", "l_quantity")
+
+
+def hot_pair(spark: SparkSession, d: str, buckets: int | None = None) -> BucketedPair:
+    li = read_table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
+    li = li.withColumn("l_suppkey", F.when(F.col("l_linenumber") <= 2, F.lit(1)).otherwise(F.col("l_suppkey")).cast(li.schema["l_suppkey"].dataType))
+    suppliers = read_table(spark, d, "supplier", "s_suppkey", "s_name").withColumnRenamed("s_suppkey", "l_suppkey")
+    return save_bucketed_pair(li, suppliers, "l_suppkey", buckets, spread=["l_orderkey", "l_linenumber"])
+
+
+@register(
+    "join_bloom",
+    """
+    SELECT l_orderkey, l_linenumber, l_extendedprice, o_totalprice FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+    WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 200000
+    """,
+    ("J12",),
+)
+def join_bloom(spark: SparkSession, d: str) -> DataFrame:
+    """J12 with a dimension too large to broadcast: a Bloom filter of its filtered
+    keys drops most line items in the scan, before the shuffle."""
+    li = read_table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_extendedprice")
+    orders = read_table(spark, d, "orders", "o_orderkey", "o_orderpriority", "o_totalprice")
+    wanted = orders.filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > 200000)).drop("o_orderpriority")
+    return bloom_join(li, wanted, "l_orderkey", "o_orderkey").select("l_orderkey", "l_linenumber", "l_extendedprice", "o_totalprice")
+
+
+@register(
+    "balanced_partition",
+    """
+    SELECT CAST(8 AS BIGINT) AS partitions, CAST(sum(n) AS BIGINT) AS rows, count(*) AS keys, true AS balanced
+    FROM (SELECT CASE WHEN l_linenumber <= 2 THEN 0 ELSE l_suppkey END AS k, count(*) AS n FROM lineitem GROUP BY 1)
+    """,
+    ("R3", "U4"),
+)
+def balanced_partition_q(spark: SparkSession, d: str) -> DataFrame:
+    """R3 by weight: one key holds more than a third of the rows; the largest of
+    eight partitions has at most 1.2 times the mean."""
+    li = read_table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey")
+    keyed = li.select(F.when(F.col("l_linenumber") <= 2, F.lit(0)).otherwise(F.col("l_suppkey")).alias("k"), "l_orderkey", "l_linenumber")
+    placed = balanced_partition(keyed, "k", 8, ["l_orderkey", "l_linenumber"])
+    cells = placed.groupBy(F.spark_partition_id().alias("partition"), "k").agg(F.count(F.lit(1)).alias("n"))
+    keys = cells.agg(F.count_distinct("k").alias("keys")).scalar()
+    sizes = cells.groupBy("partition").agg(F.sum("n").alias("n"))
+    return sizes.agg(
+        F.count(F.lit(1)).alias("partitions"), F.sum("n").cast("long").alias("rows"), (F.max("n") <= 1.2 * F.avg("n")).alias("balanced")
+    ).withColumn("keys", keys)
+
+
 @register(
     "custom_partition",
     """
