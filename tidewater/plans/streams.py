@@ -162,6 +162,30 @@ def stream_processing_time(spark: SparkSession, d: str) -> DataFrame:
     return out.agg(F.sum("chars").cast("long").alias("total_chars"))
 
 
+@register(
+    "stream_arrival_windows",
+    """
+    WITH log AS (SELECT event_id, value, ts + to_seconds(CAST(event_id * 7919 % 900 AS BIGINT)) AS arrival FROM events)
+    SELECT date_trunc('hour', arrival) + to_minutes(CAST(minute(arrival) // 10 * 10 AS BIGINT)) AS start,
+           date_trunc('hour', arrival) + to_minutes(CAST(minute(arrival) // 10 * 10 + 10 AS BIGINT)) AS "end",
+           count(*) AS rows, round(sum(value), 2) AS total
+    FROM log GROUP BY ALL
+    """,
+    ("ST14", "ST16"),
+)
+def stream_arrival_windows(spark: SparkSession, d: str) -> DataFrame:
+    """ST14, each window: rows are logged with the time they came in, and a second
+    stream over the log counts by that time. The clock of this query lets an event
+    arrive up to 15 minutes after its own time; the log then is what counts."""
+    events = _events(spark, d).select("event_id", "ts", "value")
+    clock = F.col("ts") + F.make_dt_interval(secs=(F.col("event_id") * 7919 % 900).cast("decimal(18,6)"))
+    location = shared_path(spark, "streams", "arrivals")
+    log = sinks.record_arrivals(events, "arrivals", clock, location)
+    logged = spark.readStream.schema(log.schema).parquet(f"{location}/out")
+    counted = windows.windowed_totals(logged, "arrival", units("value"), "10 minutes")
+    return _in_full(sinks.run_keyed(counted, "arrival_windows", ["start"], mode="complete"))
+
+
 @register(
     "stream_json_parse",
     "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
@@ -255,8 +279,10 @@ def _signup_clicks(spark: SparkSession, d: str, how: str) -> DataFrame:
         signups, clicks, F.col("user_id") == F.col("click_user"), how,
         "signup_time", "click_time", "10 minutes", "10 minutes", "6 hours",
     )
+    if how == "full":
+        joined = joined.withColumn("user_id", F.coalesce("user_id", "click_user"))
     out = sinks.run_append(joined.drop("click_user"), f"signup_clicks_{how}")
-    return out.withColumns({c: instant_to_ntz(c) for c in ("signup_time", "click_time")})
+    return out.withColumns({c: instant_to_ntz(c) for c in ("signup_time", "click_time") if c in out.columns})
 
 
 @register("stream_stream_join", _SIGNUP_CLICKS_SQL.format(how="INNER", where=""), ("ST21",))
@@ -281,6 +307,43 @@ def stream_stream_left_join_q(spark: SparkSession, d: str) -> DataFrame:
     return _signup_clicks(spark, d, "left")
 
 
+@register(
+    "stream_stream_full_join",
+    _SIGNUP_CLICKS_SQL.format(
+        how="FULL",
+        where="""WHERE (signup_id IS NOT NULL AND click_id IS NOT NULL)
+          OR (click_id IS NULL AND signup_time + INTERVAL 6 HOUR < (SELECT mark FROM passed))
+          OR (signup_id IS NULL AND click_time < (SELECT mark FROM passed))""",
+    ).replace(
+        "SELECT signup_id, user_id",
+        """, passed AS (SELECT least(max(ts) FILTER (WHERE event_type = 'signup'), max(ts) FILTER (WHERE event_type = 'click')) - INTERVAL 10 MINUTE AS mark FROM events)
+SELECT signup_id, coalesce(user_id, click_user) AS user_id""",
+        1,
+    ),
+    ("ST21",),
+)
+def stream_stream_full_join_q(spark: SparkSession, d: str) -> DataFrame:
+    """Both sides' rows without a partner come out with nulls once the watermark
+    has passed the range in which one could still arrive; state is bounded by it."""
+    return _signup_clicks(spark, d, "full")
+
+
+@register(
+    "stream_stream_semi_join",
+    """
+    WITH signups AS (SELECT event_id AS signup_id, user_id, ts AS signup_time FROM events WHERE event_type = 'signup')
+    SELECT signup_id, user_id, signup_time FROM signups
+    WHERE EXISTS (SELECT 1 FROM events WHERE event_type = 'click' AND events.user_id = signups.user_id
+                  AND ts >= signup_time AND ts <= signup_time + INTERVAL 6 HOUR)
+    """,
+    ("ST21",),
+)
+def stream_stream_semi_join_q(spark: SparkSession, d: str) -> DataFrame:
+    """Sign-ups followed by a click within 6 hours, each once, as soon as the first
+    such click is there."""
+    return _signup_clicks(spark, d, "left_semi")
+
+
 @register(
     "stream_stream_join_unbounded",
     """
@@ -309,7 +372,7 @@ def stream_stream_join_unbounded(spark: SparkSession, d: str) -> DataFrame:
     SELECT date_trunc('hour', ts) AS start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS "end", count(*) AS rows
     FROM kept GROUP BY 1
     """,
-    ("ST15", "ST16", "ST18"),
+    ("ST15", "ST16"),
 )
 def stream_late_rows(spark: SparkSession, d: str) -> DataFrame:
     """Late rows under a watermark: two thirds of the events arrive first, the

@@ -18,14 +18,17 @@ empty result, and a failing read is an error.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidewater.operators.aggregates import keep_latest
 from tidewater.session import parallelism, shared_path
+from tidewater.sinks.manifest import commit_text, names_in, read_text
 from tidewater.sinks.tables import make_folder, write_text_table
 
 
@@ -147,22 +150,51 @@ def run_per_batch(stream: DataFrame, name: str, per_batch: Callable[[DataFrame],
     return spark.read.schema(schema).parquet(out).select(*schema.names)
 
 
-def write_json_per_batch(stream: DataFrame, name: str) -> str:
-    """K2/ST10: each non-empty micro-batch to its own JSON folder ``batch-<id>``.
+def write_json_per_batch(stream: DataFrame, name: str, location: str | None = None) -> str:
+    """K2/ST10: each non-empty micro-batch to its own JSON folder, committed in a log.
 
-    The folder is named by batch id (not by counting files, as the reference
-    did), so a replayed batch overwrites its own output instead of adding a copy.
-    """
+    A batch writes ``data/<id>-<unique>`` and then the log entry ``log/<id>``, one
+    rename that names the folder. Readers follow the log, so they see whole batches
+    only: what a run left behind that died while writing is named by no entry, and
+    the replay of its batch is visible once. A replay of a batch that did commit
+    (the run died after the log entry, before the stream's own) changes nothing.
+    The batch is evaluated once; a batch without rows gets an entry without folder."""
     spark = stream.sparkSession
-    out = make_folder(spark, shared_path(spark, "streams", f"{name}-json"))
+    if location:
+        out, ckpt = f"{location.rstrip('/')}/out", f"{location.rstrip('/')}/checkpoint"
+    else:
+        out, ckpt = shared_path(spark, "streams", f"{name}-json"), shared_path(spark, "streams", f"{name}-ckpt")
+    make_folder(spark, f"{out}/log")
 
     def write_epoch(batch: DataFrame, epoch_id: int) -> None:
-        if not batch.isEmpty():
-            write_text_table(batch, f"{out}/batch-{epoch_id}", "json")
-
-    _run_batches(stream, write_epoch, shared_path(spark, "streams", f"{name}-ckpt"))
+        entry = f"{epoch_id:012d}"
+        if entry in names_in(spark, f"{out}/log"):
+            return
+        folder, seen = f"{entry}-{uuid.uuid4().hex[:12]}", Observation()
+        write_text_table(batch.observe(seen, F.count(F.lit(1)).alias("rows")), f"{out}/data/{folder}", "json")
+        rows = seen.get["rows"]
+        commit_text(spark, f"{out}/log/{entry}", json.dumps({"batch": epoch_id, "rows": rows, "folder": folder if rows else None}))
+
+    _run_batches(stream, write_epoch, ckpt)
     return out
 
 
+def batch_log(spark: SparkSession, out: str) -> list[dict]:
+    """The committed batches, in order: number, rows, folder."""
+    return [json.loads(read_text(spark, f"{out}/log/{n}")) for n in names_in(spark, f"{out}/log") if n.isdigit()]
+
+
 def read_json_batches(spark: SparkSession, out: str, schema) -> DataFrame:
-    return spark.read.schema(schema).option("recursiveFileLookup", "true").json(out)
+    """The rows of all committed batches."""
+    folders = [f"{out}/data/{e['folder']}" for e in batch_log(spark, out) if e["folder"]]
+    return spark.read.schema(schema).json(folders) if folders else spark.createDataFrame([], schema)
+
+
+def record_arrivals(stream: DataFrame, name: str, clock: Column | None = None, location: str | None = None) -> DataFrame:
+    """ST14: an append-only log of the stream's rows with their ``arrival`` time.
+
+    The time is taken once, when a row first comes in (``clock``, by default the
+    micro-batch's time), and written with the row. Whatever counts by arrival reads
+    the log, so running it again, or again after a failure, gives the same windows."""
+    stamped = stream.withColumn("arrival", F.current_timestamp() if clock is None else clock)
+    return run_append(stamped, name, location)

@@ -57,6 +57,12 @@ def windowed_sum(
     return agg.select(start.alias("start"), end.alias("end"), *keys, out)
 
 
+def windowed_totals(stream: DataFrame, time_col: str, value: Column, duration: str, rows: str = "rows", out: str = "total") -> DataFrame:
+    """ST14 over recorded arrival times: rows and sum per window."""
+    agg = stream.groupBy(F.window(time_col, duration).alias("w")).agg(F.count(F.lit(1)).alias(rows), F.sum(value).alias(out))
+    return agg.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), rows, out)
+
+
 def processing_time_sum(stream: DataFrame, value: Column, duration: str, out: str = "total") -> DataFrame:
     """ST14: window over the arrival time (``current_timestamp()``, fixed per micro-batch)."""
     stamped = stream.select(value.alias("__v"), F.current_timestamp().alias("processing_time"))
