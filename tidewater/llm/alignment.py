@@ -36,6 +36,7 @@ import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -142,6 +143,7 @@ class Codec:
         hexed = [_BYTE.fullmatch(p) for p in pieces]
         self.b_bytes = [bytes([int(m[1], 16)]) if m else p.replace(BLANK, " ").encode() for p, m in zip(pieces, hexed, strict=True)]
         self.a_len, self.b_len = (np.array(list(map(len, t))) for t in (self.a_bytes, self.b_bytes))
+        self.n_ids = max(len(self.a_bytes), len(self.b_bytes))
         self.cuts = not any(BLANK in p.lstrip(BLANK) for p in pieces)
 
     def parts(self, text: str) -> list[str]:
@@ -199,7 +201,7 @@ NO_TOKENS = Aligned(_NONE, _NONE, np.zeros(1, np.int64), _NONE, _NONE, _NONE, _N
 def _align_parts(found: list[tuple[list[int], list[int]]], c: Codec) -> list[Aligned]:
     """Parts side by side are one long text: no token and no link goes over their borders."""
     n_a, n_b = ([len(f[k]) for f in found] for k in (0, 1))
-    a, b = (np.fromiter((i for f in found for i in f[k]), np.int64, sum(n)) for k, n in ((0, n_a), (1, n_b)))
+    a, b = (np.fromiter(chain.from_iterable(f[k] for f in found), np.int64, sum(n)) for k, n in ((0, n_a), (1, n_b)))
     ends_a, ends_b = np.cumsum(c.a_len[a]), np.cumsum(c.b_len[b])
     links, shared = overlap_links(ends_a, ends_b)
     common = np.intersect1d(ends_a, ends_b, assume_unique=True)
@@ -292,16 +294,26 @@ def align(docs: DataFrame, files: Tokenizers) -> DataFrame:
     return kept.mapInArrow(run, schema)
 
 
-def group_hash(d: Aligned) -> str:
-    """SHA-256 of the ids of both in each group, ``a1,a2|b1;a3|b2,b3``."""
+@lru_cache(1)
+def _written(n_ids: int) -> list[str]:
+    """Each id with a comma, a bar and a semicolon behind it."""
+    return [f"{i}{mark}" for mark in ",|;" for i in range(n_ids)]
+
+
+def group_hash(d: Aligned, n_ids: int) -> str:
+    """SHA-256 of the ids of both in each group, ``a1,a2|b1;a3|b2,b3``; ids are below ``n_ids``."""
     if not len(d.a):
         return ""
-    a, b = list(map(str, d.a.tolist())), list(map(str, d.b.tolist()))
-    groups, i, j = [], 0, 0
-    for p, q in zip(d.group_a.tolist(), d.group_b.tolist(), strict=True):
-        groups.append(f"{','.join(a[i:p])}|{','.join(b[j:q])}")
-        i, j = p, q
-    return hashlib.sha256(";".join(groups).encode()).hexdigest()
+    order = np.empty(len(d.a) + len(d.b), np.int64)
+    number = np.arange(len(d.group_a))
+    # a token stands behind those of both in earlier groups, and the second's behind the first's
+    at_a = np.arange(len(d.a)) + np.repeat(np.concatenate([[0], d.group_b[:-1]]), np.diff(d.group_a, prepend=0))
+    at_b = np.arange(len(d.b)) + d.group_a[np.repeat(number, np.diff(d.group_b, prepend=0))]
+    order[at_a], order[at_b] = d.a, d.b
+    order[at_a[d.group_a - 1]] += n_ids
+    order[at_b[d.group_b - 1]] += 2 * n_ids
+    text = "".join(map(_written(n_ids).__getitem__, order.tolist()))
+    return hashlib.sha256(text[:-1].encode()).hexdigest()
 
 
 _INTS, _LONGS = pa.list_(pa.int32()), pa.list_(pa.int64())
@@ -344,7 +356,7 @@ def link_chunks(docs: DataFrame, files: Tokenizers, keep: Sequence[str]) -> Data
             for name, d in zip(names, align_texts(part.column("text").to_pylist(), c), strict=True):
                 shared = int(np.sum(np.diff(d.group_a, prepend=0) * np.diff(d.group_b, prepend=0)))
                 counts = (len(d.a), len(d.b), len(d.group_a), len(d.link_b), shared)
-                rows.append(name | dict(zip(_COUNTS, counts, strict=True)) | {"groups_sha256": group_hash(d)})
+                rows.append(name | dict(zip(_COUNTS, counts, strict=True)) | {"groups_sha256": group_hash(d, c.n_ids)})
                 pairs.append(np.repeat(d.a, np.diff(d.link_ptr)) << 32 | d.b[d.link_b])
                 links += len(d.link_b)
                 if links >= CHUNK_LINKS:
