@@ -109,6 +109,17 @@ def test_parts_of_long_texts(monkeypatch):
             assert getattr(x, name).tolist() == getattr(y, name).tolist(), (t, name)
 
 
+def test_ranks_encode_as_the_library_does():
+    c = al.Codec(FILES)
+    assert c.fast is not None
+    parts = [t for t in _texts() if t] + ["x" * 5000, "ab" * 3000, " \n\t " * 300, "it's 'll 've 1²3", "\ud7ff\ue000"]
+    by_ranks, c.fast = c.encode(parts), None
+    assert by_ranks == c.encode(parts)
+    described = json.load(open(FILES.bytes_path))
+    described["model"]["merges"].reverse()
+    assert al.ranked_encoding(described, c.a_bytes) is None
+
+
 def test_products_against_dense_matrices():
     rng = np.random.default_rng(3)
     for _ in range(50):
