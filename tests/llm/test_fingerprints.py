@@ -38,6 +38,87 @@ def test_equal_substrings_share_phrases_at_any_offset():
         assert len(names[0] & other) >= 0.9 * len(names[0])
 
 
+MASK = (1 << 64) - 1
+
+
+def plain_mix(x):
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = ((x ^ (x >> shift)) * factor) & MASK
+    return x ^ (x >> 31)
+
+
+def plain_level(symbols):
+    """The phrases of one level, symbol by symbol."""
+    runs = []
+    for s in symbols:
+        if runs and runs[-1][0] == s:
+            runs[-1][1] += 1
+        else:
+            runs.append([s, 1])
+    names = [s if n == 1 else plain_mix((s + n * 0xD6E8FEB86659FD93) & MASK) for s, n in runs]
+
+    def toss(own, left):
+        low = ((own ^ left) & -(own ^ left)).bit_length() - 1 if own != left else 0
+        return 2 * low + ((own >> low) & 1)
+
+    labels = list(names)
+    for _ in range(4):
+        labels = [0] + [toss(labels[i], labels[i - 1]) for i in range(1, len(labels))]
+    starts = [0]
+    for i in range(1, len(names)):
+        if labels[i] > labels[i - 1] and (i == len(names) - 1 or labels[i] > labels[i + 1]):
+            starts.append(i)
+    out = []
+    for a, b in zip(starts, [*starts[1:], len(names)], strict=True):
+        power, total = 1, 0
+        for k in range(a, b):
+            power = (power * 0x9E3779B97F4A7C15) & MASK
+            total += names[k] * power
+        out.append(plain_mix(total & MASK))
+    return out
+
+
+def plain_fingerprint(text):
+    if not text:
+        return ""
+    symbols, found = [ord(c) for c in text], set()
+    for level in range(1, 7):
+        symbols = plain_level(symbols)
+        if level >= 2:
+            found |= {s >> 24 for s in symbols}
+    own = plain_mix(sum(plain_mix((s + k * 0x9E3779B97F4A7C15) & MASK) for k, s in enumerate(symbols)) & MASK) >> 24
+    names = sorted(found)
+    few = [n for n in names if n < (1 << 40) // 12]
+    kept = few if len(few) > 40 else names[:40]
+    return "".join(f"{n:010x}" for n in [own, *kept])
+
+
+def test_fingerprints_match_a_plain_parse():
+    rnd = random.Random(6)
+    texts = ["", "a", "ab", "aaaa" * 50, "ab" * 90, "日本語🙂" * 30, *(_words(rnd, n) for n in (1, 2, 5, 30, 200, 1500))]
+    assert fp.fingerprints(texts) == [plain_fingerprint(t) for t in texts]
+
+
+def test_long_texts_that_differ_in_six_words():
+    rnd = random.Random(8)
+    for _ in range(20):
+        words = _words(rnd, 36_000).split(" ")
+        other = list(words)
+        other[18_000:18_006] = _words(rnd, 6).split(" ")
+        a, b, again = fp.fingerprints([" ".join(words), " ".join(other), " ".join(words)])
+        assert a == again and a != b and 0.9 < fp.likeness(a, b) < 1
+
+
+def test_a_passage_of_fifty_words_shows_in_long_texts():
+    rnd, seen = random.Random(9), 0
+    for _ in range(20):
+        passage, before, after = _words(rnd, 50), _words(rnd, 3000), _words(rnd, 33_000)
+        texts = [f"{_words(rnd, 20_000)} {passage} {_words(rnd, 16_000)}", f"{before} {passage} {after}", f"{before} {after}"]
+        x, y, without = (set(fp.names_of(f)[0]) for f in fp.fingerprints(texts))
+        seen += len(x & (y - without)) > 0
+    assert seen >= 18
+
+
 def test_likeness():
     rnd = random.Random(3)
     a, b = _words(rnd, 600), _words(rnd, 600)

@@ -9,10 +9,16 @@ symbols; a phrase's name, a hash of its symbols, is a symbol of the next level.
 A cut depends on a few symbols around it only, so a substring that two texts
 share is cut alike in its interior wherever it stands.
 
-The fingerprint holds the ``KEPT`` smallest phrase names of the levels from
-``FIRST_LEVEL`` on (phrases of about 9 characters and more), 40 bits each, in
-hexadecimal. The likeness of two fingerprints estimates from them the share of
-phrases both texts have in common (Dice: twice the common ones over the sum).
+The fingerprint begins with the text's own name, a hash of its phrases on the top
+level in order, so texts that differ have different fingerprints. Then come phrase
+names of the levels from ``FIRST_LEVEL`` on (phrases of about 9 characters and
+more): all below ``LIMIT``, one in ``RATE``, so their number grows with the text,
+but the ``KEPT`` smallest if these are more. Names have 40 bits, in hexadecimal, in
+ascending order. The same rule picks the same names in every text, so a passage of
+some fifty words that two texts share, of whatever length, shows in both, and an
+edit shows however long the rest is. The likeness of two fingerprints estimates,
+below the bound up to which both are complete, the share of phrases the texts have
+in common (Dice: twice the common ones over the sum); it is 1 for equal texts only.
 
 ``edited_neighbours`` needs each text and the next one in the order of the ids.
 Rows are range-partitioned and sorted by id, once; each task goes through its
@@ -42,8 +48,10 @@ from tidewater.llm.common import materialise, text_or_empty
 
 LEVELS = 6
 FIRST_LEVEL = 2
-KEPT = 40
+KEPT = 40  # names that a short text has at least, if it has so many phrases
+RATE = 12  # of a long text's names one in so many is kept
 DIGITS = 10  # hexadecimal digits of a name
+LIMIT = f"{(1 << 4 * DIGITS) // RATE:0{DIGITS}x}"
 CHARS_AT_ONCE = 400_000
 WINDOW, MARGIN = 1 << 20, 64
 
@@ -129,6 +137,11 @@ def fingerprints(texts: list[str]) -> list[str]:
         if level >= FIRST_LEVEL:
             found_names.append(names)
             found_text.append(text)
+    # the text's own name: its top phrases in order
+    firsts = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
+    place = (np.arange(len(names)) - np.repeat(firsts, np.diff(firsts, append=len(names)))).astype(np.uint64)
+    own = _mix(np.add.reduceat(_mix(names + place * np.uint64(0x9E3779B97F4A7C15)), firsts)) >> np.uint64(64 - 4 * DIGITS)
+    whole = dict(zip(text[firsts].tolist(), own.tolist(), strict=True))
     names, text = np.concatenate(found_names) >> np.uint64(64 - 4 * DIGITS), np.concatenate(found_text)
     order = np.lexsort((names, text))
     names, text = names[order], text[order]
@@ -137,20 +150,33 @@ def fingerprints(texts: list[str]) -> list[str]:
     names, text = names[new], text[new]
     digits = names.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - DIGITS // 2 :]
     cuts = np.searchsorted(text, np.arange(len(texts) + 1))
+    below = np.concatenate([[0], np.cumsum(names < np.uint64(int(LIMIT, 16)))])
     for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-        out[i] = digits[a : min(b, a + KEPT)].tobytes().hex()
+        if i in whole:
+            kept = max(KEPT, int(below[b] - below[a]))
+            out[i] = f"{whole[i]:0{DIGITS}x}" + digits[a : min(b, a + kept)].tobytes().hex()
     return out
 
 
+def names_of(fingerprint: str) -> tuple[list[str], str]:
+    """The phrase names of a fingerprint and the bound below which none is left out."""
+    names = [fingerprint[i : i + DIGITS] for i in range(DIGITS, len(fingerprint), DIGITS)]
+    if len(names) < KEPT:
+        return names, "g"  # above all names
+    return names, max(names[KEPT - 1], LIMIT) if len(names) == KEPT else LIMIT
+
+
 def likeness(a: str, b: str) -> float:
     """Estimated share of common phrases of two fingerprints' texts, 0 to 1."""
     if a == b:
         return 1.0
-    x, y = ({f[i : i + DIGITS] for i in range(0, len(f), DIGITS)} for f in (a, b))
-    smallest = sorted(x | y)[:KEPT]
-    both = sum(n in x and n in y for n in smallest)
-    share = both / len(smallest)
-    return 2 * share / (1 + share)
+    if not a or not b:
+        return 0.0
+    (x, end_x), (y, end_y) = names_of(a), names_of(b)
+    end = min(end_x, end_y)
+    p, q = {n for n in x if n <= end}, {n for n in y if n <= end}
+    total = len(p) + len(q)
+    return min(2 * len(p & q) / total, 1 - 1 / (total + 1)) if total else 0.0
 
 
 def edit(text: str, after: str) -> str:
