@@ -7,6 +7,7 @@ import io
 import math
 import random
 import re
+import time
 
 from tidewater.llm.licenses import BASE_TEMPLATES, PRODUCTION_TEMPLATES, Template, scan_licenses
 
@@ -78,3 +79,16 @@ def test_empty_table_and_null_ids(spark):
     docs = spark.createDataFrame([(None, "mit license", None)] * 2, SCHEMA)
     assert [r.base_labels for r in scan_licenses(docs).collect()] == ["mit", "mit"]
     assert scan_licenses(docs.limit(0)).collect() == []
+
+
+def test_long_texts_of_hits_take_linear_work(spark):
+    def seconds(words):
+        docs = spark.createDataFrame([(1, "mit license " * (words // 2))], "doc_id long, text string")
+        start = time.perf_counter()
+        row = scan_licenses(docs).drop("license_blocks", "text").collect()[0]
+        assert (row.n_words, row.n_base, row.first_word, row.last_word) == (words, words // 2, 0, words - 2)
+        return time.perf_counter() - start
+
+    seconds(4000)
+    few, many = seconds(4000), seconds(180_000)  # a text of 1 MB
+    assert many < few + 45, (few, many)
