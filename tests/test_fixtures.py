@@ -15,7 +15,7 @@ from tidewater.operators import partitioning as part_ops
 from tidewater.plans.access_log import filter_status_endpoint_log
 from tidewater.plans.catalog import build_catalog, review_stats
 from tidewater.plans.course_scores import course_scores
-from tidewater.sinks.tables import keyed_upsert
+from tidewater.sinks import keyed_upsert
 
 # The three lines of the word-count input.
 WORDS = [
@@ -181,7 +181,7 @@ def test_review_stats(spark):
 
 def test_category_map_and_catalog(spark):
     products, categories, reviews, items, sellers = _catalog_inputs(spark)
-    mapped = joins.ids_to_map(products, ["product_id"], "category_ids", categories, "category_id", "category_name", "categories")
+    mapped = joins.ids_to_map(products, "category_ids", categories, "category_id", "category_name", "categories")
     got = {r.product_id: r.categories for r in mapped.collect()}
     assert got == {1: {2: "스마트폰", 3: "랩탑/노트북"}, 2: {1: "IT 전자기기", 3: "랩탑/노트북"}}
     catalog = build_catalog(products, categories, review_stats(reviews, review_id="review_id"), items, sellers)
@@ -192,7 +192,7 @@ def test_category_map_and_catalog(spark):
 def test_ids_to_map_null_empty_unknown(spark):
     df = spark.createDataFrame([(1, [1, 9]), (2, []), (3, None)], "k int, ids array<int>")
     dim = spark.createDataFrame([(1, "one")], "id int, name string")
-    got = {r.k: r.m for r in joins.ids_to_map(df, ["k"], "ids", dim, "id", "name", "m").collect()}
+    got = {r.k: r.m for r in joins.ids_to_map(df, "ids", dim, "id", "name", "m").collect()}
     assert got == {1: {1: "one"}, 2: {}, 3: {}}
 
 
@@ -212,7 +212,7 @@ def test_custom_partitioner(spark):
 def test_keyed_upsert_keeps_latest(spark):
     target = spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], "k int, v int, payload string")
     updates = spark.createDataFrame([(1, 2, "a2"), (3, 1, "c")], "k int, v int, payload string")
-    out = keyed_upsert(spark, target, updates, ["k"], ["v"])
+    out = keyed_upsert(target, updates, ["k"], ["v"])
     assert sorted(tuple(r) for r in out.collect()) == [(1, 2, "a2"), (2, 1, "b"), (3, 1, "c")]
 
 
@@ -258,7 +258,7 @@ def test_id_arrays_with_several_unknown_null_and_no_ids(spark):
     rows = [(1, "a", [3, 1, 9, None, 3]), (2, "b", None), (3, None, []), (4, "d", [9, None])]
     df = spark.createDataFrame(rows, "id int, name string, ids array<int>")
     dim = spark.createDataFrame([(1, "one"), (3, "three"), (3, "trois"), (5, "five")], "k int, v string")
-    got = {r.id: (r.name, r.m) for r in joins.ids_to_map(df, ["id"], "ids", dim, "k", "v", "m").collect()}
+    got = {r.id: (r.name, r.m) for r in joins.ids_to_map(df, "ids", dim, "k", "v", "m").collect()}
     assert got == {1: ("a", {1: "one", 3: "three"}), 2: ("b", {}), 3: (None, {}), 4: ("d", {})}
 
 

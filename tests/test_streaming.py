@@ -261,3 +261,109 @@ def test_many_files_in_any_order_make_one_batch(spark, tmp_dir):
         entry = registry.entries()[name]
         got = sorted(tuple(sorted(map(str, r))) for r in entry.fn(spark, tmp_dir).collect())
         assert got == sorted(tuple(sorted(map(str, r))) for r in con.execute(entry.sql).fetchall())
+
+
+def test_json_batches_are_seen_whole_or_not_at_all(spark, tmp_dir, monkeypatch):
+    from tidewater.streaming import batch_log, sinks
+
+    src, where = f"{tmp_dir}/src", f"{tmp_dir}/json"
+    rows = spark.range(40).selectExpr("id AS k", "concat('v', id) AS v")
+    rows.coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema(rows.schema).parquet(src)
+    real = sinks.commit_text
+
+    def dies(*_):
+        raise RuntimeError("killed before the log entry")
+
+    monkeypatch.setattr(sinks, "commit_text", dies)
+    with pytest.raises(StreamingQueryException):
+        write_json_per_batch(stream, "killed", where)
+    assert os.listdir(f"{where}/out/data") and read_json_batches(spark, f"{where}/out", rows.schema).count() == 0
+
+    # the replay of the batch is visible once, although the first attempt's files are still there
+    monkeypatch.setattr(sinks, "commit_text", real)
+    out = write_json_per_batch(stream, "replayed", where)
+    assert sorted(read_json_batches(spark, out, rows.schema).collect()) == sorted(rows.collect())
+    assert [(e["batch"], e["rows"]) for e in batch_log(spark, out)] == [(0, 40)] and len(os.listdir(f"{out}/data")) == 2
+
+    # more input is a batch of its own; a batch that committed is not written again
+    rows.limit(3).coalesce(1).write.mode("append").parquet(src)
+    write_json_per_batch(stream, "more", where)
+    assert [(e["batch"], e["rows"]) for e in batch_log(spark, out)] == [(0, 40), (1, 3)]
+    assert read_json_batches(spark, out, rows.schema).count() == 43
+
+
+def test_json_batch_without_rows_and_single_evaluation(spark, tmp_dir):
+    from tidewater.streaming import batch_log
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def mark(k):
+        seen.add(1)
+        return k
+
+    src = f"{tmp_dir}/one"
+    spark.range(10).coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema("id long").parquet(src)
+    out = write_json_per_batch(stream.select(F.udf(mark, "long")("id").alias("id")), "once")
+    assert seen.value == 10 and read_json_batches(spark, out, "id long").count() == 10
+    none = write_json_per_batch(stream.filter("id < 0"), "none")
+    assert read_json_batches(spark, none, stream.schema).count() == 0
+    assert [e["folder"] for e in batch_log(spark, none)] == [None]
+
+
+def test_recorded_arrivals_give_the_same_windows_again(spark, tmp_dir):
+    from tidewater.streaming import record_arrivals, windows
+    from tidewater.streaming.sinks import run_keyed
+
+    src, where = f"{tmp_dir}/in", f"{tmp_dir}/log"
+    for k in range(3):  # three runs at three times, one log
+        spark.createDataFrame([(k, 10 * k)], "k long, v long").coalesce(1).write.mode("append").parquet(src)
+        log = record_arrivals(spark.readStream.schema("k long, v long").parquet(src), "log", location=where)
+    assert log.count() == 3 and log.select("arrival").distinct().count() == 3
+
+    def count():
+        logged = spark.readStream.schema(log.schema).parquet(f"{where}/out")
+        counted = windows.windowed_totals(logged, "arrival", F.col("v"), "1 second")
+        return sorted(run_keyed(counted, "again", ["start"], mode="complete").collect())
+
+    first = count()
+    assert first == count() and sum(r.rows for r in first) == 3 and sum(r.total for r in first) == 30
+    want = log.groupBy(F.window("arrival", "1 second").alias("w")).agg(F.sum("v").alias("t")).select("w.start", "t").collect()
+    assert sorted((r.start, r.total) for r in first) == sorted(map(tuple, want))
+
+
+def test_full_outer_and_semi_joins_drop_their_state(spark, tmp_dir):
+    import datetime as dt
+
+    def t(minute):
+        return dt.datetime(2024, 1, 1) + dt.timedelta(minutes=minute)
+
+    left = [(1, t(0)), (2, t(5)), (3, t(300))]
+    right = [(1, t(10)), (4, t(20)), (1, t(100)), (3, t(305))]
+    for name, rows in (("left", left), ("right", right)):
+        spark.createDataFrame(rows, f"{name[0]}k long, {name[0]}t timestamp").coalesce(1).write.parquet(f"{tmp_dir}/{name}")
+
+    def joined(how):
+        a = spark.readStream.schema("lk long, lt timestamp").parquet(f"{tmp_dir}/left")
+        b = spark.readStream.schema("rk long, rt timestamp").parquet(f"{tmp_dir}/right")
+        return stream_stream_join(a, b, F.col("lk") == F.col("rk"), how, "lt", "rt", "10 minutes", "10 minutes", "30 minutes")
+
+    full = run_append(joined("full"), "full").select("lk", "rk").collect()
+    # (3, 3) match; 2 has no partner; 4 and the late 1 have none; nothing later is open
+    assert sorted(((r.lk or 0, r.rk or 0) for r in full)) == [(0, 1), (0, 4), (1, 1), (2, 0), (3, 3)]
+    assert sorted(r.lk for r in run_append(joined("left_semi"), "semi").collect()) == [1, 3]
+
+
+def test_a_value_with_more_decimals_does_not_fail_a_stream(spark, tmp_dir):
+    from tidewater.functions.numeric import is_finer, units_or_null
+
+    rows = spark.createDataFrame([(1.25,), (0.1 + 0.2,), (float("nan"),), (float("inf"),), (None,), (3.0,)], "v double")
+    got = rows.select(units_or_null("v").alias("u"), is_finer("v").alias("f")).collect()
+    assert [r.u for r in got] == [125, None, None, None, None, 300] and [r.f for r in got] == [False, True, True, True, False, False]
+    rows.coalesce(1).write.parquet(f"{tmp_dir}/v")
+    stream = spark.readStream.schema("v double").parquet(f"{tmp_dir}/v").observe("rejected", F.count_if(is_finer("v")).alias("values"))
+    from tidewater.streaming.sinks import run_complete
+
+    total = run_complete(stream.groupBy().agg(F.sum(units_or_null("v")).alias("t")), "sum")
+    assert total.first().t == 425

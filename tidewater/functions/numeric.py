@@ -23,6 +23,20 @@ def units(col: Column | str, scale: int = 2) -> Column:
     return F.when(F.round(c, scale) == c, F.round(c * (10**scale)).cast("long")).when(c.isNotNull(), finer)
 
 
+def is_finer(col: Column | str, scale: int = 2) -> Column:
+    """Whether a value has more decimals than ``scale`` or is no finite number."""
+    c = F.col(col) if isinstance(col, str) else col
+    whole = F.round(c, scale) == c
+    return F.coalesce(~whole | F.isnan(c) | (F.abs(c) == float("inf")), F.lit(False))
+
+
+def units_or_null(col: Column | str, scale: int = 2) -> Column:
+    """``units`` for endless input: a value that ``is_finer`` gives null instead of an
+    error, which would fail a stream again at each restart. Count them beside it."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.when(~is_finer(c, scale), F.round(c * (10**scale)).cast("long"))
+
+
 def unit_sum(col: Column | str, scale: int = 2) -> Column:
     """Exact sum of a fixed-point column, in units of 10**-scale (a long)."""
     return F.sum(units(col, scale))

@@ -101,30 +101,24 @@ def _canonical_how(how: str) -> str:
             "full": "full", "outer": "full", "fullouter": "full"}[h]
 
 
-def ids_to_map(
-    df: DataFrame,
-    row_key: Sequence[str],
-    ids_col: str,
-    dim: DataFrame,
-    dim_key: str,
-    dim_value: str,
-    out: str,
-) -> DataFrame:
-    """array<id> + dimension(id, name) -> map<id, name> per row.
-
-    ``explode_outer`` keeps rows whose array is null or empty; null and unknown
-    ids are dropped (the reference raised KeyError). The regroup is per input
-    row, so a group is never larger than that row's own array, and the other
-    columns go with it. Rows of ``df`` must be unique on ``row_key``.
-    """
-    keys = list(row_key)
-    others = [c for c in df.columns if c not in (*keys, ids_col)]
-    exploded = df.select(*keys, F.struct(*others).alias("__rest") if others else F.lit(None).alias("__rest"), F.explode_outer(F.array_distinct(ids_col)).alias("__id"))
+def ids_to_map(df: DataFrame, ids_col: str, dim: DataFrame, dim_key: str, dim_value: str, out: str) -> DataFrame:
+    """array<id> + dimension(id, name) -> map<id, name> per row, in place of the array.
+
+    Null and unknown ids are dropped (the reference raised KeyError); a null or empty
+    list gives an empty map. Only the *distinct* lists are looked up: they are told
+    apart first (combined in the map tasks, so a list that a third of the rows carry
+    is one row per task), exploded, joined with the dimension and put together again,
+    a group being one list. The rows then fetch their list's map, whole rows are
+    neither exploded nor regrouped, and may repeat."""
+    lists = df.filter(F.size(ids_col) > 0).select(F.col(ids_col).alias("__ids")).distinct()
     d = one_value_per_key(dim.select(F.col(dim_key).alias("__id"), F.col(dim_value).alias("__name")), "__id", "__name")
-    named = broadcast_join(exploded, d, "__id", "left")
+    named = broadcast_join(lists.select("__ids", F.explode(F.array_distinct("__ids")).alias("__id")), d, "__id", "left")
     entry = F.when(F.col("__name").isNotNull(), F.struct(F.col("__id").alias("key"), F.col("__name").alias("value")))
-    maps = named.groupBy(*keys).agg(F.first("__rest").alias("__rest"), F.map_from_entries(F.array_sort(F.collect_list(entry))).alias(out))
-    return maps.select(*keys, *[F.col("__rest")[c].alias(c) for c in others], out)
+    maps = named.groupBy("__ids").agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("__map"))
+    kinds = dict(d.dtypes)
+    empty = F.map_from_arrays(F.array(), F.array()).cast(f"map<{kinds['__id']},{kinds['__name']}>")
+    joined = df.join(maps, F.col(ids_col) == F.col("__ids"), "left")
+    return joined.withColumn(out, F.coalesce("__map", empty)).drop("__ids", "__map", ids_col)
 
 
 SALT = "__salt"

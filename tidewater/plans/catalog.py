@@ -43,10 +43,9 @@ def build_catalog(
     items: DataFrame,
     sellers: DataFrame,
     promotions: DataFrame | None = None,
-    item_keys: tuple[str, ...] = ("item_id",),
 ) -> DataFrame:
     """products(product_id, product_name, category_ids), categories(category_id, category_name),
-    reviews_stats(product_id, ...), items(item keys..., product_id, seller_id, [promotion_ids], ...),
+    reviews_stats(product_id, ...), items(product_id, seller_id, [promotion_ids], ...),
     sellers(seller_id, seller_name), optional promotions(promotion_id, name)
     -> one row per item, columns sorted by name.
 
@@ -54,12 +53,10 @@ def build_catalog(
     promotions are given, ``promotion_ids`` becomes ``promotions`` map<id, name>
     per item (unknown ids dropped; null or empty lists give an empty map).
     """
-    with_categories = joins.ids_to_map(
-        products, ["product_id"], "category_ids", categories, "category_id", "category_name", "categories"
-    )
+    with_categories = joins.ids_to_map(products, "category_ids", categories, "category_id", "category_name", "categories")
     product_level = with_categories.join(reviews_stats, "product_id", "left")
     if promotions is not None:
-        items = joins.ids_to_map(items, list(item_keys), "promotion_ids", promotions, "promotion_id", "name", "promotions")
+        items = joins.ids_to_map(items, "promotion_ids", promotions, "promotion_id", "name", "promotions")
     item_level = items.join(sellers, "seller_id", "left")
     return select_sorted(product_level.join(item_level, "product_id", "inner"))
 
@@ -133,7 +130,7 @@ def _rounded(stats: DataFrame) -> DataFrame:
 )
 def array_lookup_map(spark: SparkSession, d: str) -> DataFrame:
     products, categories, *_ = _inputs(spark, d)
-    mapped = joins.ids_to_map(products, ["product_id"], "category_ids", categories, "category_id", "category_name", "categories")
+    mapped = joins.ids_to_map(products, "category_ids", categories, "category_id", "category_name", "categories")
     return mapped.select("product_id", map_text("categories").alias("categories"))
 
 
@@ -170,7 +167,7 @@ def central_catalog(spark: SparkSession, d: str) -> DataFrame:
     keys = ["item_order", "item_line"]
     # the stand-in's key repeats: the last shipped row is the item
     items = keep_latest(items, keys, ["ship_date", "product_id", "seller_id", "price"])
-    catalog = build_catalog(products, categories, stats, items, sellers, promotions, tuple(keys))
+    catalog = build_catalog(products, categories, stats, items, sellers, promotions)
     stored = KeyedTable.create(catalog, keys, ["product_id"], "catalog", unique=True).read()
     return stored.withColumns({c: map_text(c) for c in ("categories", "promotions")})
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.functions.numeric import exact_sum, units
+from tidewater.functions.numeric import exact_sum, is_finer, units_or_null
 from tidewater.functions.temporal import instant_to_ntz
 from tidewater.operators import ranking
 from tidewater.plans.access_log import LOG_CTE_SQL, filter_status_endpoint_log, log_frame
@@ -23,11 +23,13 @@ from tidewater.streaming.joins import stream_static_join, stream_stream_join
 
 
 def _events(spark: SparkSession, d: str) -> DataFrame:
-    return sources.table_stream(spark, d, "events")
+    """The events as a stream; values that are not fixed-point with 2 decimals are
+    counted in the query's progress (``rejected``) and left out of sums."""
+    return sources.table_stream(spark, d, "events").observe("rejected", F.count_if(is_finer("value")).alias("values"))
 
 
 def _in_full(sums: DataFrame) -> DataFrame:
-    """Sums of ``units`` as values. Values are declared fixed-point with 2 decimals,
+    """Sums of units as values. Values are declared fixed-point with 2 decimals,
     so totals don't depend on the order in which rows arrive."""
     return sums.withColumn("total", F.col("total") / 100)
 
@@ -45,7 +47,7 @@ _FIVE_MIN_SQL = "date_trunc('hour', ts) + to_minutes(CAST(minute(ts) // 5 * 5 AS
     ("ST12", "ST16"),
 )
 def stream_tumbling(spark: SparkSession, d: str) -> DataFrame:
-    agg = windows.windowed_sum(_events(spark, d), "ts", units("value"), "1 hour")
+    agg = windows.windowed_sum(_events(spark, d), "ts", units_or_null("value"), "1 hour")
     out = sinks.run_keyed(agg, "tumbling", ["start"], mode="complete")
     return _in_full(out)
 
@@ -61,7 +63,7 @@ def stream_tumbling(spark: SparkSession, d: str) -> DataFrame:
     ("ST11",),
 )
 def stream_sliding(spark: SparkSession, d: str) -> DataFrame:
-    agg = windows.windowed_sum(_events(spark, d), "ts", units("value"), "2 hours", "1 hour")
+    agg = windows.windowed_sum(_events(spark, d), "ts", units_or_null("value"), "2 hours", "1 hour")
     out = sinks.run_keyed(agg, "sliding", ["start"], mode="complete")
     return _in_full(out)
 
@@ -76,7 +78,7 @@ _DOMAIN_HOUR_SQL = f"""
 @register("stream_domain_hour", _DOMAIN_HOUR_SQL, ("ST13", "T4"))
 def stream_domain_hour(spark: SparkSession, d: str) -> DataFrame:
     ev = _events(spark, d).withColumnRenamed("event_type", "domain")
-    agg = windows.windowed_sum(ev, "ts", units("value"), "1 hour", keys=["domain"])
+    agg = windows.windowed_sum(ev, "ts", units_or_null("value"), "1 hour", keys=["domain"])
     out = sinks.run_keyed(agg, "domain_hour", ["start", "domain"], mode="complete")
     return _in_full(out).orderBy("start", F.col("total").desc())
 
@@ -112,7 +114,7 @@ def stream_top_domain(spark: SparkSession, d: str) -> DataFrame:
     chained aggregation in append mode; the hours still open at the end of the
     input (within the 10-minute watermark) are not emitted yet."""
     ev = _events(spark, d).withColumnRenamed("event_type", "domain")
-    top = windows.top_item_per_window(ev, "ts", "domain", units("value"), "1 hour", "10 minutes")
+    top = windows.top_item_per_window(ev, "ts", "domain", units_or_null("value"), "1 hour", "10 minutes")
     return _in_full(sinks.run_append(top, "top_domain"))
 
 
@@ -127,7 +129,7 @@ def stream_top_domain(spark: SparkSession, d: str) -> DataFrame:
 def stream_watermark(spark: SparkSession, d: str) -> DataFrame:
     """Update mode, 10-minute watermark, 5-minute windows: rows later than the
     watermark are dropped; each micro-batch emits the windows it changed."""
-    agg = windows.windowed_sum(_events(spark, d), "ts", units("value"), "5 minutes", watermark="10 minutes")
+    agg = windows.windowed_sum(_events(spark, d), "ts", units_or_null("value"), "5 minutes", watermark="10 minutes")
     out = sinks.run_keyed(agg, "watermark", ["start"], mode="update")
     return _in_full(out)
 
@@ -144,7 +146,7 @@ def stream_watermark(spark: SparkSession, d: str) -> DataFrame:
 def stream_append_watermark(spark: SparkSession, d: str) -> DataFrame:
     """Append mode: a window is written once, when the watermark (max event
     time - 10 minutes) has passed its end; the still-open tail is not emitted."""
-    agg = windows.windowed_sum(_events(spark, d), "ts", units("value"), "5 minutes", watermark="10 minutes")
+    agg = windows.windowed_sum(_events(spark, d), "ts", units_or_null("value"), "5 minutes", watermark="10 minutes")
     return _in_full(sinks.run_append(agg, "append_watermark"))
 
 
@@ -182,7 +184,7 @@ def stream_arrival_windows(spark: SparkSession, d: str) -> DataFrame:
     location = shared_path(spark, "streams", "arrivals")
     log = sinks.record_arrivals(events, "arrivals", clock, location)
     logged = spark.readStream.schema(log.schema).parquet(f"{location}/out")
-    counted = windows.windowed_totals(logged, "arrival", units("value"), "10 minutes")
+    counted = windows.windowed_totals(logged, "arrival", units_or_null("value"), "10 minutes")
     return _in_full(sinks.run_keyed(counted, "arrival_windows", ["start"], mode="complete"))
 
 
