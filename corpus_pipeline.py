@@ -9,7 +9,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 as Parquet and read again as the next stage's ``docs``. All but the last return
-the columns of ``documents``. Empty tables and null ids, texts, languages and
+the columns of their ``docs``, further ones than those of ``documents`` as well,
+whatever their names. Empty tables and null ids, texts, languages and
 sources go through every stage as its operator defines them.
 """
 
@@ -29,10 +30,22 @@ ALPHA = 0.5  # of the tempered target weights
 SEED = 0
 
 
+def packed(docs: DataFrame, *used: str) -> DataFrame:
+    """``docs`` with the columns an operator uses and all others as one, so that none
+    of these meets a column of the operator's."""
+    rest = [c for c in docs.columns if c not in used]
+    return docs.select(*used, F.struct(*rest, F.lit(0).alias("__tw_end")).alias("__tw_rest"))
+
+
+def unpacked(rows: DataFrame, docs: DataFrame, *used: str) -> DataFrame:
+    """The columns of ``docs`` again, in their order."""
+    return rows.select(*[F.col(c) if c in used else F.col("__tw_rest")[c].alias(c) for c in docs.columns])
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language. Learns from all labelled documents, up to the sample's bound."""
-    identified = identify(docs.withColumn("__tw_in", F.struct(*docs.columns)), fit(docs))
-    return identified.filter(F.col("lang_pred") != UNKNOWN).select("__tw_in.*")
+    identified = identify(packed(docs, "text"), fit(docs))
+    return unpacked(identified.filter(F.col("lang_pred") != UNKNOWN), docs, "text")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,16 +53,18 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     repeat an id with other texts are other documents."""
     decided = near_duplicates(docs, by_text=True)
     dropped = materialise(decided.filter(~F.col("kept")).select("doc_id", "text_key").distinct(), "dropped")
+    dropped = dropped.select(F.col("doc_id").alias("__tw_id"), F.col("text_key").alias("__tw_key"))
     # the ids grow with the data, so this join is always a shuffle
-    keyed = docs.filter(F.col("doc_id").isNotNull()).withColumn("text_key", text_key())
-    stay = keyed.join(dropped.hint("merge"), ["doc_id", "text_key"], "left_anti")
-    stay = stay.dropDuplicates(["doc_id", "text"]).select(*docs.columns)
-    return stay.unionByName(docs.filter(F.col("doc_id").isNull()))
+    keyed = packed(docs.filter(F.col("doc_id").isNotNull()), "doc_id", "text").withColumn("__tw_key", text_key())
+    same = (F.col("doc_id") == F.col("__tw_id")) & (keyed["__tw_key"] == dropped["__tw_key"])
+    stay = keyed.join(dropped.hint("merge"), same, "left_anti").dropDuplicates(["doc_id", "text"])
+    return unpacked(stay, docs, "doc_id", "text").unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture, one row per copy."""
-    return mix_sources(docs, alpha=ALPHA, seed=SEED).select(*docs.columns)
+    used = ("doc_id", "source", "text")
+    return unpacked(mix_sources(packed(docs, *used), alpha=ALPHA, seed=SEED), docs, *used)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
