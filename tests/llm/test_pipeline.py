@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import base64
+import hashlib
+import math
 from collections import Counter
 
 import corpus_pipeline
+import public_tokenizers
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
@@ -60,6 +65,64 @@ def test_near_dedup_stage_tells_texts_of_one_id_apart(spark, docs):
     assert sorted((r.doc_id, r.text) for r in out.collect()) == [(2, a), (5, b), (8, None)]
 
 
+def test_columns_with_the_operators_names_pass_through(spark, docs):
+    """Extra columns named like a column of some operator keep their values in each stage."""
+    names = ["text_key", "rate", "copy", "n_copies", "shuffle_key", "kept", "lang_pred", "score", "held_out", "component_id"]
+    more = docs.select(*[F.concat(F.lit(f"{n}-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(n) for n in names[:5]], "*", *[F.lit(n).alias(n) for n in names[5:]])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        more = stage(spark, more, SF)
+        assert more.schema.names == [*names[:5], *docs.schema.names, *names[5:]]
+        rows = more.collect()
+        assert len(rows) > 100
+        for r in rows:
+            assert all(r[n] == f"{n}-{'none' if r.doc_id is None else r.doc_id}" for n in names[:5]) and all(r[n] == n for n in names[5:])
+
+
+def plain_copies(rows, alpha, seed):
+    """Copies of each document: sizes, tempered rates and the inverse Poisson distribution, one by one."""
+    size: dict = {}
+    for r in rows:
+        size[r.source] = size.get(r.source, 0) + len((r.text or "").encode()) + 1
+    tempered = {s: n**alpha for s, n in size.items()}
+    total, weights = sum(size.values()), sum(tempered.values())
+    out = []
+    for r in rows:
+        rate = tempered[r.source] / weights * total / size[r.source]
+        own = hashlib.md5("|".join(["" if r.doc_id is None else str(r.doc_id), r.source or "", hashlib.md5((r.text or "").encode()).hexdigest()]).encode()).hexdigest()
+        parts, n = max(1, math.ceil(rate / 16)), 0
+        for j in range(parts):
+            u = int(hashlib.md5(f"{seed}|{j}|{own}".encode()).hexdigest()[:13], 16) / 2**52
+            p = acc = math.exp(-rate / parts)
+            k = 0
+            while acc <= u and k < 96:
+                k += 1
+                p *= rate / parts / k
+                acc += p
+                n += 1
+        out.append(n)
+    return out
+
+
+def test_mix_stage_against_plain_counts(spark, docs):
+    rows = docs.collect()
+    want = Counter()
+    for r, n in zip(rows, plain_copies(rows, corpus_pipeline.ALPHA, corpus_pipeline.SEED), strict=True):
+        want[tuple(r)] += n
+    assert Counter(map(tuple, corpus_pipeline.mix(spark, docs, SF).collect())) == +want
+
+
+def test_byte_bpe_stage_against_the_library(spark, docs):
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    library = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = Counter()
+    for r in docs.collect():
+        ids = library.encode_ordinary(r.text or "")
+        want[r.doc_id, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((r.text or "").encode()).hexdigest()] += 1
+    out = corpus_pipeline.tokenise(spark, docs, SF).collect()
+    assert Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in out) == want
+
+
 def test_all_stages(spark, docs, tmp_path):
     path = str(tmp_path)
     docs.write.parquet(f"{path}/documents.parquet")
