@@ -85,12 +85,12 @@ def plain_fingerprint(text):
     for level in range(1, 7):
         symbols = plain_level(symbols)
         if level >= 2:
-            found |= {s >> 24 for s in symbols}
-    own = plain_mix(sum(plain_mix((s + k * 0x9E3779B97F4A7C15) & MASK) for k, s in enumerate(symbols)) & MASK) >> 24
+            found |= {s >> 32 for s in symbols}
+    own = plain_mix(sum(plain_mix((s + k * 0x9E3779B97F4A7C15) & MASK) for k, s in enumerate(symbols)) & MASK)
     names = sorted(found)
-    few = [n for n in names if n < (1 << 40) // 12]
+    few = [n for n in names if n < (1 << 32) // 16]
     kept = few if len(few) > 40 else names[:40]
-    return "".join(f"{n:010x}" for n in [own, *kept])
+    return f"{own:016x}" + "".join(f"{n:08x}" for n in kept)
 
 
 def test_fingerprints_match_a_plain_parse():

@@ -13,8 +13,8 @@ The fingerprint begins with the text's own name, a hash of its phrases on the to
 level in order, so texts that differ have different fingerprints. Then come phrase
 names of the levels from ``FIRST_LEVEL`` on (phrases of about 9 characters and
 more): all below ``LIMIT``, one in ``RATE``, so their number grows with the text,
-but the ``KEPT`` smallest if these are more. Names have 40 bits, in hexadecimal, in
-ascending order. The same rule picks the same names in every text, so a passage of
+but the ``KEPT`` smallest if these are more. Names are in hexadecimal, 32 bits each,
+in ascending order; the text's own has 64. The same rule picks the same names in every text, so a passage of
 some fifty words that two texts share, of whatever length, shows in both, and an
 edit shows however long the rest is. The likeness of two fingerprints estimates,
 below the bound up to which both are complete, the share of phrases the texts have
@@ -49,8 +49,8 @@ from tidewater.llm.common import materialise, text_or_empty
 LEVELS = 6
 FIRST_LEVEL = 2
 KEPT = 40  # names that a short text has at least, if it has so many phrases
-RATE = 12  # of a long text's names one in so many is kept
-DIGITS = 10  # hexadecimal digits of a name
+RATE = 16  # of a long text's names one in so many is kept
+DIGITS, OWN_DIGITS = 8, 16  # hexadecimal digits of a phrase's and of a text's name
 LIMIT = f"{(1 << 4 * DIGITS) // RATE:0{DIGITS}x}"
 CHARS_AT_ONCE = 400_000
 WINDOW, MARGIN = 1 << 20, 64
@@ -140,7 +140,7 @@ def fingerprints(texts: list[str]) -> list[str]:
     # the text's own name: its top phrases in order
     firsts = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
     place = (np.arange(len(names)) - np.repeat(firsts, np.diff(firsts, append=len(names)))).astype(np.uint64)
-    own = _mix(np.add.reduceat(_mix(names + place * np.uint64(0x9E3779B97F4A7C15)), firsts)) >> np.uint64(64 - 4 * DIGITS)
+    own = _mix(np.add.reduceat(_mix(names + place * np.uint64(0x9E3779B97F4A7C15)), firsts))
     whole = dict(zip(text[firsts].tolist(), own.tolist(), strict=True))
     names, text = np.concatenate(found_names) >> np.uint64(64 - 4 * DIGITS), np.concatenate(found_text)
     order = np.lexsort((names, text))
@@ -154,13 +154,13 @@ def fingerprints(texts: list[str]) -> list[str]:
     for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
         if i in whole:
             kept = max(KEPT, int(below[b] - below[a]))
-            out[i] = f"{whole[i]:0{DIGITS}x}" + digits[a : min(b, a + kept)].tobytes().hex()
+            out[i] = f"{whole[i]:0{OWN_DIGITS}x}" + digits[a : min(b, a + kept)].tobytes().hex()
     return out
 
 
 def names_of(fingerprint: str) -> tuple[list[str], str]:
     """The phrase names of a fingerprint and the bound below which none is left out."""
-    names = [fingerprint[i : i + DIGITS] for i in range(DIGITS, len(fingerprint), DIGITS)]
+    names = [fingerprint[i : i + DIGITS] for i in range(OWN_DIGITS, len(fingerprint), DIGITS)]
     if len(names) < KEPT:
         return names, "g"  # above all names
     return names, max(names[KEPT - 1], LIMIT) if len(names) == KEPT else LIMIT
