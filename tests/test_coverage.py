@@ -22,7 +22,6 @@ TESTED_ELSEWHERE = {
     "ST18": "test_stable_location_resumes_from_checkpoint",
     "ST19": "test_static_and_stream_joins",
     "S13": "test_range_source_and_views",
-    "P4": "test_projection_helpers",
 }
 EXCLUDED = {
     "J5": "cartesian join: emits every pair (project rule)",

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType
 
@@ -66,11 +66,6 @@ def mean_of_numeric(df: DataFrame, keys: Sequence[str], prefix: str = "avg_", ex
     return df.groupBy(*keys).agg(*[mean(f).alias(f"{prefix}{f.name}") for f in fields])
 
 
-def sum_and_count(df: DataFrame, keys: Sequence[str | Column], value: str, total: str = "total", rows: str = "rows") -> DataFrame:
-    """Sum of a value and row count per key."""
-    return df.groupBy(*keys).agg(F.sum(value).alias(total), F.count(F.lit(1)).alias(rows))
-
-
 def member_multiset(df: DataFrame, keys: Sequence[str], member: str, name: str = "occurrences") -> DataFrame:
     """A4: the grouped list ((k1, k2) -> [m, m, ...]) with duplicates kept, as
     (k1, k2, m, occurrences) rows."""
@@ -112,12 +107,12 @@ def global_count(df: DataFrame, name: str = "rows") -> DataFrame:
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Newest row per key by ``order`` (make it a total order per key).
-
-    ``max_by`` is an ordinary aggregate, so it is combined map-side: a key with
-    a third of all rows shrinks to one row per map task before the shuffle,
-    unlike ``row_number()`` over a window, which sorts the whole key in one task.
-    """
-    others = [c for c in df.columns if c not in keys]
-    best = F.max_by(F.struct(*[F.col(c) for c in others]), F.struct(*[F.col(c) for c in order]))
-    return df.groupBy(*keys).agg(best.alias("__row")).select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others])
+    """Newest row per key by ``order`` (make it a total order per key; nulls are
+    older than anything).
+
+    A rank of which only the first is asked for: Spark limits each key to its newest
+    row in the map tasks too (``WindowGroupLimit``), so a key with a third of all
+    rows is one row per map task in the shuffle, and whole rows need not be packed
+    into aggregation buffers."""
+    newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    return df.withColumn("__rank", F.row_number().over(newest)).filter("__rank = 1").drop("__rank")

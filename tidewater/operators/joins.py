@@ -101,7 +101,7 @@ def _canonical_how(how: str) -> str:
             "full": "full", "outer": "full", "fullouter": "full"}[h]
 
 
-def ids_to_map(df: DataFrame, ids_col: str, dim: DataFrame, dim_key: str, dim_value: str, out: str) -> DataFrame:
+def ids_to_map(df: DataFrame, ids_col: str, dim: DataFrame, dim_key: str, dim_value: str, out: str, lists_of: DataFrame | None = None) -> DataFrame:
     """array<id> + dimension(id, name) -> map<id, name> per row, in place of the array.
 
     Null and unknown ids are dropped (the reference raised KeyError); a null or empty
@@ -109,8 +109,9 @@ def ids_to_map(df: DataFrame, ids_col: str, dim: DataFrame, dim_key: str, dim_va
     apart first (combined in the map tasks, so a list that a third of the rows carry
     is one row per task), exploded, joined with the dimension and put together again,
     a group being one list. The rows then fetch their list's map, whole rows are
-    neither exploded nor regrouped, and may repeat."""
-    lists = df.filter(F.size(ids_col) > 0).select(F.col(ids_col).alias("__ids")).distinct()
+    neither exploded nor regrouped, and may repeat. ``lists_of``: rows that hold all
+    lists of ``df`` and are cheaper to read, such as the input of a costly ``df``."""
+    lists = (df if lists_of is None else lists_of).filter(F.size(ids_col) > 0).select(F.col(ids_col).alias("__ids")).distinct()
     d = one_value_per_key(dim.select(F.col(dim_key).alias("__id"), F.col(dim_value).alias("__name")), "__id", "__name")
     named = broadcast_join(lists.select("__ids", F.explode(F.array_distinct("__ids")).alias("__id")), d, "__id", "left")
     entry = F.when(F.col("__name").isNotNull(), F.struct(F.col("__id").alias("key"), F.col("__name").alias("value")))

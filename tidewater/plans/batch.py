@@ -71,6 +71,11 @@ def unit_convert(spark: SparkSession, d: str) -> DataFrame:
     return projections.with_quotient(ev, "value", 1000, "latency_seconds")
 
 
+@register("constant_column", "SELECT c_custkey, c_mktsegment, 1 AS count FROM customer", ("P4",))
+def constant_column(spark: SparkSession, d: str) -> DataFrame:
+    return projections.with_constant(read_table(spark, d, "customer", "c_custkey", "c_mktsegment"), "count", 1)
+
+
 @register(
     "rename_drop",
     "SELECT p_partkey AS product_id, p_name AS product_name, p_brand, p_type, p_size FROM part",

@@ -43,6 +43,7 @@ def build_catalog(
     items: DataFrame,
     sellers: DataFrame,
     promotions: DataFrame | None = None,
+    promotion_lists: DataFrame | None = None,
 ) -> DataFrame:
     """products(product_id, product_name, category_ids), categories(category_id, category_name),
     reviews_stats(product_id, ...), items(product_id, seller_id, [promotion_ids], ...),
@@ -52,11 +53,12 @@ def build_catalog(
     ``category_ids`` becomes ``categories`` map<id, name> per product and, when
     promotions are given, ``promotion_ids`` becomes ``promotions`` map<id, name>
     per item (unknown ids dropped; null or empty lists give an empty map).
+    ``promotion_lists``: as ``lists_of`` of ``ids_to_map``.
     """
     with_categories = joins.ids_to_map(products, "category_ids", categories, "category_id", "category_name", "categories")
     product_level = with_categories.join(reviews_stats, "product_id", "left")
     if promotions is not None:
-        items = joins.ids_to_map(items, "promotion_ids", promotions, "promotion_id", "name", "promotions")
+        items = joins.ids_to_map(items, "promotion_ids", promotions, "promotion_id", "name", "promotions", promotion_lists)
     item_level = items.join(sellers, "seller_id", "left")
     return select_sorted(product_level.join(item_level, "product_id", "inner"))
 
@@ -166,8 +168,8 @@ def central_catalog(spark: SparkSession, d: str) -> DataFrame:
     stats = _rounded(review_stats(reviews, exact_scale=2))
     keys = ["item_order", "item_line"]
     # the stand-in's key repeats: the last shipped row is the item
-    items = keep_latest(items, keys, ["ship_date", "product_id", "seller_id", "price"])
-    catalog = build_catalog(products, categories, stats, items, sellers, promotions)
+    latest = keep_latest(items, keys, ["ship_date", "product_id", "seller_id", "price"])
+    catalog = build_catalog(products, categories, stats, latest, sellers, promotions, items)
     stored = KeyedTable.create(catalog, keys, ["product_id"], "catalog", unique=True).read()
     return stored.withColumns({c: map_text(c) for c in ("categories", "promotions")})
 
