@@ -88,7 +88,7 @@ def plain_fingerprint(text):
             found |= {s >> 32 for s in symbols}
     own = plain_mix(sum(plain_mix((s + k * 0x9E3779B97F4A7C15) & MASK) for k, s in enumerate(symbols)) & MASK)
     names = sorted(found)
-    few = [n for n in names if n < (1 << 32) // 16]
+    few = [n for n in names if n < (1 << 32) // 20]
     kept = few if len(few) > 40 else names[:40]
     return f"{own:016x}" + "".join(f"{n:08x}" for n in kept)
 

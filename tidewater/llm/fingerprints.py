@@ -14,11 +14,12 @@ level in order, so texts that differ have different fingerprints. Then come phra
 names of the levels from ``FIRST_LEVEL`` on (phrases of about 9 characters and
 more): all below ``LIMIT``, one in ``RATE``, so their number grows with the text,
 but the ``KEPT`` smallest if these are more. Names are in hexadecimal, 32 bits each,
-in ascending order; the text's own has 64. The same rule picks the same names in every text, so a passage of
-some fifty words that two texts share, of whatever length, shows in both, and an
-edit shows however long the rest is. The likeness of two fingerprints estimates,
-below the bound up to which both are complete, the share of phrases the texts have
-in common (Dice: twice the common ones over the sum); it is 1 for equal texts only.
+in ascending order; the text's own has 64. The same rule picks the same names in
+every text, so a passage of some fifty words that two texts share, of whatever
+length, shows in both, and an edit shows however long the rest is. The likeness of
+two fingerprints estimates, below the bound up to which both are complete, the share
+of phrases the texts have in common (Dice: twice the common ones over the sum); it
+is 1 for equal texts only.
 
 ``edited_neighbours`` needs each text and the next one in the order of the ids.
 Rows are range-partitioned and sorted by id, once; each task goes through its
@@ -49,7 +50,7 @@ from tidewater.llm.common import materialise, text_or_empty
 LEVELS = 6
 FIRST_LEVEL = 2
 KEPT = 40  # names that a short text has at least, if it has so many phrases
-RATE = 16  # of a long text's names one in so many is kept
+RATE = 20  # of a long text's names one in so many is kept
 DIGITS, OWN_DIGITS = 8, 16  # hexadecimal digits of a phrase's and of a text's name
 LIMIT = f"{(1 << 4 * DIGITS) // RATE:0{DIGITS}x}"
 CHARS_AT_ONCE = 400_000
