@@ -14,13 +14,12 @@ SHARDS = 24
 
 @register("op10_shards")
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    assigned = assign_shards(table(spark, sf_dir, "documents"), SHARDS)
-    return assigned.select(
-        "doc_id",
+    # sizes and checksums are taken before the shuffles, so that no text goes through them
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", "text",
         (F.octet_length(text_or_empty()).cast("long") + 8).alias("size"),
         F.crc32(text_or_empty().cast("binary")).alias("text_crc32"),
-        F.lit("rows").alias("law"),
-        "shard",
-        "slot",
-        F.lit(None).cast("int").alias("grown_shard"),
+    )
+    return assign_shards(docs, SHARDS).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )

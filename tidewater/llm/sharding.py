@@ -11,7 +11,8 @@ number of its rows in lower hash ranges (from a table of counts per source and
 range) plus the rank within the row's own range; so a source with a third of
 all rows is spread over all ranges. The place in the total order is made
 likewise from ranges of the fractional rank, whose counts follow from the
-sources' row counts alone. Texts move twice, once for each of the two ranks.
+sources' row counts alone. Rows move twice, once for each of the two ranks, with
+the columns the caller goes on to use: a text that isn't used later stays behind.
 
 Defined cases: null is a source of its own; rows may repeat; null text has 0
 bytes; with fewer rows than shards some shards stay empty; an empty table gives
