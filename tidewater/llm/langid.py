@@ -6,11 +6,14 @@ or of languages of a family. Features of a text are its hashed character uni-,
 bi- and trigrams over lower-cased letters (any run of other characters is one
 blank), scaled to unit length; whole texts are used.
 
-The machines are fitted by Spark ML on a bounded sample: ``SAMPLE_PER_LANGUAGE``
-documents of each language, chosen by a hash of the document among the rows
-with text and language (the caller passes only rows it may learn from). The set
-of languages is taken to be small, as labels are. The fitted weights go to the
-tasks as one small array; prediction reads the text alone and needs no shuffle.
+The machines are fitted on a bounded sample: ``SAMPLE_PER_LANGUAGE`` documents of
+each language, chosen by a hash of the document among the rows with text and
+language (the caller passes only rows it may learn from). All machines are fitted
+in one job, each pair in a task of its own from its own languages' part of the
+sample (dual coordinate descent on the hinge loss, in a fixed order, so a re-run
+gives the same weights). The set of languages is taken to be small, as labels are:
+``MOST_LANGUAGES``, more is an error. The fitted weights go to the tasks as one
+small array; prediction reads the text alone and needs no shuffle.
 
 Defined cases: null text, or text without a letter, is ``und`` with score 0;
 without any row to learn from every text is ``und``; a family of one language
@@ -22,15 +25,14 @@ a result column.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.ml.classification import LinearSVC
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +41,7 @@ from tidewater.llm.common import array_slices, materialise, slices
 UNKNOWN = "und"
 SAMPLE_PER_LANGUAGE = 400
 BUCKETS = 4096
+MOST_LANGUAGES = 200
 ITERATIONS = 30
 REGULARISATION = 0.001
 
@@ -134,13 +137,13 @@ def _vote(names, pairs: tuple[Pair, ...], x: np.ndarray) -> tuple[str, float]:
 
 
 def training_sample(labelled: DataFrame, per_language: int) -> DataFrame:
-    """``lang`` and ``text`` of at most ``per_language`` rows of each language, by hash."""
+    """``lang``, ``text`` and hash ``h`` of at most ``per_language`` rows of each language, by hash."""
     rows = labelled.select(F.col("lang").cast("string").alias("lang"), "text", F.col("doc_id").cast("string").alias("id")).filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
-        return rows.select("lang", "text").limit(0)
+        return rows.select("lang", "text", F.lit(0).cast("long").alias("h")).limit(0)
     # rows above the share can't be needed: twice as many as asked for are below it on average
     share = F.lit(0.0)
     for lang, n in sorted(counts.items()):
@@ -148,7 +151,33 @@ def training_sample(labelled: DataFrame, per_language: int) -> DataFrame:
     order = F.xxhash64("id", "text")
     near = rows.withColumn("h", order).filter(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30))
     first = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 30)), "h", "text"))
-    return near.withColumn("n", first).filter(F.col("n") <= per_language).select("lang", "text")
+    return near.withColumn("n", first).filter(F.col("n") <= per_language).select("lang", "text", "h")
+
+
+def svm(rows: Sequence[tuple[np.ndarray, np.ndarray]], signs: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights and intercept of a linear support vector machine with hinge loss, by
+    dual coordinate descent. Rows are positions and values of unit vectors."""
+    most = 1 / (REGULARISATION * max(1, len(rows)))
+    alpha, w, intercept = np.zeros(len(rows)), np.zeros(BUCKETS), 0.0
+    shuffled = np.random.default_rng(0)
+    for _ in range(ITERATIONS):
+        for k in shuffled.permutation(len(rows)):
+            (at, x), y, old = rows[k], signs[k], alpha[k]
+            slope = y * (w[at] @ x + intercept) - 1
+            alpha[k] = min(max(old - slope / 2, 0.0), most)  # unit vectors and the intercept: length 2
+            if alpha[k] != old:
+                step = (alpha[k] - old) * y
+                w[at] += step * x
+                intercept += step
+    return w, intercept
+
+
+def _machine(rows: pd.DataFrame) -> pd.DataFrame:
+    """The machine of one pair, from its sample rows in a fixed order."""
+    rows = rows.sort_values(["lang", "h", "at"], key=lambda c: c.map(bytes) if c.name == "at" else c)
+    signs = np.where(rows["positive"], 1.0, -1.0)
+    w, intercept = svm([(np.asarray(a), np.asarray(v, dtype=float)) for a, v in zip(rows["at"], rows["x"], strict=True)], signs)
+    return pd.DataFrame({"pair": [rows["pair"].iloc[0]], "weights": [w], "intercept": [intercept]})
 
 
 def fit(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> LanguageModel:
@@ -156,27 +185,37 @@ def fit(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Languag
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 64):
-            rows = [(lang, x) for lang, text in zip(*(c.to_pylist() for c in part.columns), strict=True) if (x := features(text)) is not None]
-            langs, xs = [lang for lang, _ in rows], [x.astype(np.float32) for _, x in rows]
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(xs, pa.list_(pa.float32()))], names=["lang", "x"])
-
-    sample = materialise(training_sample(labelled, per_language).mapInArrow(vectors, "lang string, x array<float>"), "language-sample")
-    langs = sorted(r["lang"] for r in sample.select("lang").distinct().collect())
+            langs, hashes, places, values = [], [], [], []
+            for lang, text, h in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                x = features(text)
+                if x is not None:
+                    at = np.flatnonzero(x)
+                    langs.append(lang)
+                    hashes.append(h)
+                    places.append(at.astype(np.int16))
+                    values.append(x[at].astype(np.float32))
+            columns = [pa.array(langs, pa.string()), pa.array(hashes, pa.int64()), pa.array(places, pa.list_(pa.int16())), pa.array(values, pa.list_(pa.float32()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "h", "at", "x"])
+
+    drawn = training_sample(labelled, per_language).mapInArrow(vectors, "lang string, h long, at array<short>, x array<float>")
+    sample = materialise(drawn, "language-sample")
+    langs = sorted(r["lang"] for r in sample.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
+    if len(langs) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages: labels are not language codes")
     families: dict[str, tuple[str, ...]] = {}
     for lang in langs:
         families[family_of(lang)] = (*families.get(family_of(lang), ()), lang)
-    rows = sample.select("lang", array_to_vector("x").alias("features"))
-    svm = LinearSVC(maxIter=ITERATIONS, regParam=REGULARISATION, standardization=False, featuresCol="features", labelCol="label")
-
-    def machine(a: str, a_langs, b: str, b_langs) -> Pair:
-        own = rows.filter(F.col("lang").isin(*a_langs, *b_langs)).withColumn("label", F.col("lang").isin(*a_langs).cast("double"))
-        model = svm.fit(own)
-        return Pair(a, b, model.coefficients.toArray(), float(model.intercept))
-
+    asked = [(a, families[a], b, families[b]) for a, b in combinations(sorted(families), 2)]
+    asked += [(a, (a,), b, (b,)) for of in families.values() for a, b in combinations(of, 2)]
+    members = [(k, lang, side == 0) for k, (_, left, _, right) in enumerate(asked) for side, of in enumerate((left, right)) for lang in of]
+    pairs = labelled.sparkSession.createDataFrame(members, "pair int, lang string, positive boolean")
+    fitted = sample.join(pairs, "lang").groupBy("pair").applyInPandas(_machine, "pair int, weights array<double>, intercept double")
+    # one row per machine
+    found = {r["pair"]: (np.array(r["weights"]), r["intercept"]) for r in fitted.collect()}
+    machines = [Pair(a, b, *found[k]) for k, (a, _, b, _) in enumerate(asked)]
+    between = len(families) * (len(families) - 1) // 2
     return LanguageModel(
-        families,
-        tuple(machine(a, families[a], b, families[b]) for a, b in combinations(sorted(families), 2)),
-        {f: tuple(machine(a, (a,), b, (b,)) for a, b in combinations(of, 2)) for f, of in families.items()},
+        families, tuple(machines[:between]), {f: tuple(m for m in machines[between:] if m.a in of and m.b in of) for f, of in families.items()}
     )
 
 
