@@ -89,17 +89,23 @@ def test_of_two_writers_one_fails(spark, monkeypatch):
 
 
 def test_parts_split_one_at_a_time_as_the_table_grows(spark):
-    table = table_of(spark, 100, parts=1, rows_per_part=50)
+    table = table_of(spark, 100, parts=2, rows_per_part=50)
     rnd, want = random.Random(1), {k: "old" for k in range(100)}
     for version in range(1, 6):
         keys = [rnd.randrange(2000) for _ in range(90)]
-        shot = table.snapshot()
+        shot, before = table.snapshot(), files(table)
         table.upsert(updates_of(spark, *[(k, version, f"v{version}") for k in keys]))
         want |= {k: f"v{version}" for k in keys}
         now = table.snapshot()
-        assert now.parts == max(shot.parts, -(-shot.row_count // 50))
+        wanted = -(-shot.row_count // 50)
+        assert now.parts == max(shot.parts, min(wanted, 2 * shot.parts))  # 90 keys touch every part
+        assert len(files(table) - before) <= 2 * shot.parts
         assert values(table.read()) == want and now.row_count == len(want)
     assert table.snapshot().parts > 6 and max(table.snapshot().rows.values()) <= 4 * 50
+    # one key: one part is rewritten, and at most one is split
+    shot, before = table.snapshot(), files(table)
+    table.upsert(updates_of(spark, (5000, 9, "last")))
+    assert table.snapshot().parts <= shot.parts + 1 and len(files(table) - before) <= 3
 
 
 def test_linear_hashing_moves_only_split_parts(spark):

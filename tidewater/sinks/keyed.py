@@ -14,9 +14,10 @@ last whole version. Two writers of one version: the second fails and may try aga
 Parts follow the size by linear hashing. With ``n`` parts, ``m`` the greatest power of
 two not above ``n``, a key's part is ``hash mod 2m``, less ``m`` where that is not below
 ``n``. Part ``n`` comes into being by splitting part ``n - m``, so growing by one part
-rewrites one part. The rows of the last snapshot decide how many parts an upsert
-goes on with (``rows_per_part`` each), so an upsert splits as many parts as the rows
-added before it need, and a part stays a bounded piece of work.
+rewrites one part. The rows of the last snapshot decide how many parts there should
+be (``rows_per_part`` each); an upsert comes as near to that as it can by splitting at
+most as many parts as it touches, so its work stays in proportion to the update, and
+a table made with too few parts grows into its size step by step.
 
 The manifest is metadata: a few numbers per part, handled by the driver, like a
 listing of folders. Rows never are.
@@ -140,15 +141,19 @@ class KeyedTable:
         """``updates`` into the table; returns the new snapshot. They are evaluated
         once, and compared among themselves before they meet the table."""
         before = self.snapshot()
-        parts = max(before.parts, -(-before.row_count // self.rows_per_part))
         staged = f"{self.path}/staged/{uuid.uuid4().hex}"
         latest = keep_latest(updates.select(*self.schema.names), self.keys, self.order)
         latest.withColumn(PART, part_of(self.keys, before.parts)).write.parquet(staged)
         changed = self.spark.read.parquet(staged)
         # one number per touched part
-        touched = {r[0] for r in changed.select(PART).distinct().collect()} | split_sources(before.parts, parts)
+        touched = {r[0] for r in changed.select(PART).distinct().collect()}
         if not touched:
+            remove(self.spark, staged)
             return before
+        # as many parts as the rows need, but no more new ones than this upsert rewrites anyway
+        wanted = -(-before.row_count // self.rows_per_part)
+        parts = max(before.parts, min(wanted, before.parts + len(touched)))
+        touched |= split_sources(before.parts, parts)
         merged = self._rows(before, touched).unionByName(changed.select(*self.schema.names))
         after = self._commit(before, parts, touched, merged, compare=True)
         remove(self.spark, staged)
