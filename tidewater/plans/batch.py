@@ -257,7 +257,7 @@ for _how, _sql_how, _op in (("inner", "INNER", "J1"), ("left", "LEFT", "J2"), ("
     SELECT l_orderkey, l_linenumber, p_name, l_quantity
     FROM lineitem JOIN part ON l_partkey = p_partkey
     """,
-    ("J6",),
+    ("J6", "ST19"),
 )
 def join_named_keys(spark: SparkSession, d: str) -> DataFrame:
     li = read_table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")

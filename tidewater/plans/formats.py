@@ -63,9 +63,10 @@ def stream_csv_source(spark: SparkSession, d: str) -> DataFrame:
     return run_append(csv_stream(spark, path, EVENTS_SCHEMA), "csv_source")
 
 
-@register("stream_text_parse", "SELECT * FROM customer", ("ST2", "ST5", "S1"))
+@register("stream_text_parse", "SELECT * FROM customer", ("ST1", "ST2", "ST5", "S1"))
 def stream_text_parse(spark: SparkSession, d: str) -> DataFrame:
-    """ST2 + ST5: new text files read as lines, each line parsed by ``from_csv``."""
+    """ST1 + ST2 + ST5: new text files (which stand in for a socket) read as lines, each
+    line parsed by ``from_csv``."""
     path = _written(spark, read_table(spark, d, "customer"), "csv", "customer_lines")
     lines = text_stream(spark, path)
     return run_append(parse_csv_lines(lines, CUSTOMER_SCHEMA), "text_parse")

@@ -21,7 +21,16 @@ from tidewater.session import parallelism, unique_name
 from tidewater.sinks.compaction import compact, file_report, write_by_task
 from tidewater.sinks.hot_buckets import BucketedPair, save_bucketed_pair
 from tidewater.sinks.evolving import EvolvingTable, file_path
-from tidewater.sinks.tables import create_table_as, save_bucketed, save_partitioned
+from tidewater.sinks.tables import (
+    create_database,
+    create_table_as,
+    describe_extended,
+    drop_table,
+    save_bucketed,
+    save_partitioned,
+    save_table,
+    schema_profile,
+)
 from tidewater.sources.tables import read_table
 
 # The order priorities in their natural order (the custom
@@ -279,6 +288,30 @@ def ctas_plain(spark: SparkSession, d: str) -> DataFrame:
     return create_table_as(spark, unique_name("orders_copy"), f"SELECT * FROM {view}")
 
 
+@register(
+    "table_metadata",
+    """
+    SELECT column_name AS col_name,
+           CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
+                          WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE data_type END AS data_type,
+           (SELECT count(*) FROM orders) AS rows
+    FROM information_schema.columns WHERE table_name = 'orders'
+    """,
+    ("K10", "K11", "K12"),
+)
+def table_metadata(spark: SparkSession, d: str) -> DataFrame:
+    """A database and a managed table in it, described from the catalog: columns,
+    types and the rows the table holds."""
+    create_database(spark, "tidewater_tables")
+    name = f"tidewater_tables.{unique_name('orders')}"
+    drop_table(spark, name)
+    rows = save_table(spark, read_table(spark, d, "orders"), name).agg(F.count(F.lit(1)).alias("n")).scalar()
+    described = describe_extended(spark, name)
+    # the columns come first, then a blank line and the details
+    columns = described.join(schema_profile(spark, spark.table(name)), F.col("col_name") == F.col("column"))
+    return columns.filter(F.col("data_type") == F.col("type")).select("col_name", "data_type").withColumn("rows", rows)
+
+
 @register(
     "partitioned_and_bucketed",
     "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders",

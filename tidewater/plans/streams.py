@@ -209,6 +209,17 @@ def stream_filter(spark: SparkSession, d: str) -> DataFrame:
     return sinks.run_append(filter_status_endpoint_log(logs), "log_filter")
 
 
+@register(
+    "stream_trigger_interval",
+    "SELECT event_id, user_id, event_type FROM events WHERE event_type = 'error'",
+    ("ST17", "ST18", "ST7"),
+)
+def stream_trigger_interval(spark: SparkSession, d: str) -> DataFrame:
+    """A query that looks for new files every second, stopped when it has caught up."""
+    errors = _events(spark, d).filter("event_type = 'error'").select("event_id", "user_id", "event_type")
+    return sinks.run_interval(errors, "trigger_interval", "1 second")
+
+
 @register(
     "stream_word_split",
     "SELECT conv_id, turn, unnest(string_split(text, ' ')) AS word FROM conversations",

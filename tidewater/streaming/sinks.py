@@ -92,6 +92,17 @@ def start_append(stream: DataFrame, name: str, processing_time: str = "2 seconds
     return q, out
 
 
+def run_interval(stream: DataFrame, name: str, processing_time: str = "1 second") -> DataFrame:
+    """ST17 / ST18: the input that is there so far through a query on a processing-time
+    trigger and a file sink (which stands in for the console), then stopped; its rows."""
+    query, out = start_append(stream, name, processing_time)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return stream.sparkSession.read.schema(stream.schema).parquet(out)
+
+
 def _run_batches(stream: DataFrame, write: Callable[[DataFrame, int], None], ckpt: str, mode: str = "append") -> None:
     q = (
         stream.writeStream.foreachBatch(write)
