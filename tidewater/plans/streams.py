@@ -284,9 +284,9 @@ FROM signups {how} JOIN clicks
 
 
 def _signup_clicks(spark: SparkSession, d: str, how: str) -> DataFrame:
-    ev = _events(spark, d)
+    ev = sources.table_stream(spark, d, "events")
     signups = ev.filter("event_type = 'signup'").select(F.col("event_id").alias("signup_id"), "user_id", F.col("ts").alias("signup_time"))
-    ev = _events(spark, d)
+    ev = sources.table_stream(spark, d, "events")
     clicks = ev.filter("event_type = 'click'").select(F.col("event_id").alias("click_id"), F.col("user_id").alias("click_user"), F.col("ts").alias("click_time"))
     joined = stream_stream_join(
         signups, clicks, F.col("user_id") == F.col("click_user"), how,
