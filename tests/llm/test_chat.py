@@ -74,3 +74,16 @@ def test_tokens_are_counted_before_the_shuffle(spark):
     plan = chat.format_conversations(turns, PRODUCTION_BPE)._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
     # from the result down to the scan: windows, then the shuffle, then the counts
     assert plan.index("MapInArrow") < plan.index("Exchange hashpartitioning(conv_id") < plan.index("ArrowEvalPython")
+
+
+def test_hostile_roles_count_as_they_are_written(spark):
+    roles = ["%\n" * 40, "<|im_end|>" * 12, "user"]
+    rows = [(1, t, roles[t % 3], f"text {t}") for t in range(30)]
+    windows = chat.format_conversations(spark.createDataFrame(rows, SCHEMA), PRODUCTION_BPE, budget=400, history=100).collect()
+    count = chat.codec(PRODUCTION_BPE).whole
+    assert len(windows) > 3
+    for w in windows:
+        assert w.n_tokens <= 400 or w.n_new == 1
+        # turns are counted one by one, so a window's tokens are those of its turns as written
+        written = [f"{chat.START}{turn}" for turn in w.formatted.split(chat.START)[1:]]
+        assert w.n_tokens == sum(len(count(turn)) for turn in written)

@@ -159,7 +159,7 @@ def format_conversations(turns: DataFrame, bpe: ByteBpe, budget: int = BUDGET, h
         for r, t in zip(array_slices(role), array_slices(text), strict=True):
             for said_by, said in zip(r, t, strict=True):
                 safe = escape(said)
-                out.append({"safe": None if safe == said else safe, "tokens": len(count(f"{START}{said_by}\n{safe}{END}"))})
+                out.append({"safe": None if safe == said else safe, "tokens": len(count(f"{START}{escape_role(said_by)}\n{safe}{END}"))})
         return pa.array(out, pa.struct([("safe", pa.string()), ("tokens", pa.int32())]))
 
     ordered = (
