@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidewater.functions.temporal import parse_time
+from tidewater.plans import streams
 from tidewater.streaming import (
     csv_stream,
     json_stream,
@@ -367,3 +368,12 @@ def test_a_value_with_more_decimals_does_not_fail_a_stream(spark, tmp_dir):
 
     total = run_complete(stream.groupBy().agg(F.sum(units_or_null("v")).alias("t")), "sum")
     assert total.first().t == 425
+
+
+def test_words_of_one_file_are_split_in_several_tasks(spark, tmp_path):
+    turns = [(i, t, "user", None if i % 50 == 7 else "" if i % 50 == 8 else f"a {i}  b c{t} ") for i in range(300) for t in (0, None)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    words = streams.stream_word_split(spark, str(tmp_path))
+    want = [(i, t, w) for i, t, _, text in turns if text is not None for w in text.split(" ")]
+    assert sorted(map(tuple, words.collect()), key=str) == sorted(want, key=str)
+    assert words.select(F.input_file_name()).distinct().count() == 4  # of shuffle_partitions

@@ -16,7 +16,7 @@ from tidewater.functions.temporal import instant_to_ntz
 from tidewater.operators import ranking
 from tidewater.plans.access_log import LOG_CTE_SQL, filter_status_endpoint_log, log_frame
 from tidewater.plans.registry import register
-from tidewater.session import shared_path
+from tidewater.session import parallelism, shared_path
 from tidewater.sources.tables import read_table
 from tidewater.streaming import sinks, sources, windows
 from tidewater.streaming.joins import stream_static_join, stream_stream_join
@@ -226,8 +226,10 @@ def stream_trigger_interval(spark: SparkSession, d: str) -> DataFrame:
     ("ST8", "P7"),
 )
 def stream_word_split(spark: SparkSession, d: str) -> DataFrame:
-    conv = sources.table_stream(spark, d, "conversations")
-    words = conv.select("conv_id", "turn", F.explode(F.split("text", " ", -1)).alias("word"))
+    """ST8. Texts compress well, so a split of the file source may hold very many words;
+    the turns, far smaller than their words, are dealt out evenly before the split."""
+    conv = sources.table_stream(spark, d, "conversations").select("conv_id", "turn", "text")
+    words = conv.repartition(parallelism(spark)).select("conv_id", "turn", F.explode(F.split("text", " ", -1)).alias("word"))
     return sinks.run_append(words, "word_split")
 
 
