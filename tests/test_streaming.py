@@ -377,3 +377,20 @@ def test_words_of_one_file_are_split_in_several_tasks(spark, tmp_path):
     want = [(i, t, w) for i, t, _, text in turns if text is not None for w in text.split(" ")]
     assert sorted(map(tuple, words.collect()), key=str) == sorted(want, key=str)
     assert words.select(F.input_file_name()).distinct().count() == 4  # of shuffle_partitions
+
+
+def test_unbounded_join_goes_on_from_its_checkpoint_with_one_store_a_partition(spark, tmp_path):
+    own = disk_state_session(spark)
+    for side in ("left", "right"):
+        os.makedirs(tmp_path / side)
+    a, b = [(1, "a1"), (2, "a2"), (2, "a3"), (None, "a4")], [(2, "b1"), (1, "b2"), (1, "b2"), (None, "b3"), (9, "b4")]
+    more = [(9, "a5"), (2, "a6")], [(2, "b5")]
+    for rows_a, rows_b in ((a, b), more):
+        own.createDataFrame(rows_a, "k long, v string").write.mode("append").parquet(f"{tmp_path}/left")
+        own.createDataFrame(rows_b, "j long, w string").write.mode("append").parquet(f"{tmp_path}/right")
+        left, right = own.readStream.schema("k long, v string").parquet(f"{tmp_path}/left"), own.readStream.schema("j long, w string").parquet(f"{tmp_path}/right")
+        joined = run_append(stream_stream_join(left, right, F.col("k") == F.col("j")).drop("j"), "unbounded", f"{tmp_path}/run")
+    want = [(k, v, w) for k, v in a + more[0] for j, w in b + more[1] if k is not None and k == j]
+    assert sorted(map(tuple, joined.collect())) == sorted(want)
+    stores = {d for part in os.scandir(f"{tmp_path}/run/checkpoint/state/0") if part.name.isdigit() for d in os.listdir(part.path) if d.startswith(("left-", "right-"))}
+    assert not stores

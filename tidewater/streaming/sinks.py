@@ -33,14 +33,22 @@ from tidewater.sinks.tables import make_folder, write_text_table
 
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+ROCKSDB_CONF = "spark.sql.streaming.stateStore.rocksdb"
 
 
 def disk_state_session(spark: SparkSession) -> SparkSession:
     """A session whose streams keep their state on disk (RocksDB), for queries
     whose state no watermark bounds. It is a session of its own, so queries
-    started from ``spark`` keep their setting."""
+    started from ``spark`` keep their setting.
+
+    A join keeps one store a partition, not four; a commit writes the changes, not
+    the files, which are uploaded in the background; and a write doesn't look up first
+    whether its key is there, which served only a metric, the number of rows in state."""
     own = spark.newSession()
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    own.conf.set("spark.sql.streaming.join.stateFormatVersion", "3")
+    own.conf.set(f"{ROCKSDB_CONF}.changelogCheckpointing.enabled", "true")
+    own.conf.set(f"{ROCKSDB_CONF}.trackTotalNumberOfRows", "false")
     own.conf.set("spark.sql.shuffle.partitions", str(parallelism(spark)))
     return own
 
