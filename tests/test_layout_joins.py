@@ -111,3 +111,12 @@ def test_balanced_partitions_with_a_third_on_one_key(spark, partitions):
 def test_balanced_partition_of_nothing_and_packing(spark):
     assert balanced_partition(spark.range(0).toDF("k"), "k", 3).count() == 0
     assert pack([("a", 5), ("b", 3), ("c", 3), ("d", 1)], 2) == {"a": 0, "b": 1, "c": 1, "d": 0}
+
+
+def test_balanced_partition_shuffles_rows_once(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 50).alias("k"), "id")
+    with no_broadcast(spark):  # whatever Spark thinks of the plan's size
+        placed = balanced_partition(rows, "k", 4)
+        plan = physical(placed).partition("(1)")[0]
+        assert "SortMergeJoin" not in plan and plan.count(" Exchange") == 1
+        assert {r.k: r["count"] for r in placed.groupBy("k").count().collect()} == {r.k: r["count"] for r in rows.groupBy("k").count().collect()}

@@ -6,7 +6,8 @@ tasks), then packs: keys with more than a tenth of a partition are *heavy*, at m
 ten for each partition, and are cut into pieces of that size; all other keys fall
 into ``GROUPS`` hash groups a partition. Pieces and groups, heaviest first, go to the
 partition with the fewest rows so far. This plan, some dozens of rows a partition, is
-all the driver sees; it is joined to the rows as a small table.
+all the driver sees; it is broadcast to the rows, whose one shuffle is that into the
+partitions.
 
 A key that is not heavy stays in one partition; the pieces of a heavy one are told
 apart by a hash of the columns ``spread`` (all columns, if not given), so a re-run
@@ -61,8 +62,8 @@ def balanced_partition(df: DataFrame, key: str, partitions: int, spread: Sequenc
     slot = F.pmod(F.xxhash64(F.lit("piece"), *(spread or df.columns)), F.size("__targets")).cast("int")
     return (
         df.withColumn("__group", F.pmod(F.xxhash64(key), F.lit(GROUPS * partitions)).cast("int"))
-        .join(heavy_plan, F.col(key).eqNullSafe(F.col("__key")), "left")
-        .join(light_plan, F.col("__group") == F.col("__g"), "left")
+        .join(F.broadcast(heavy_plan), F.col(key).eqNullSafe(F.col("__key")), "left")
+        .join(F.broadcast(light_plan), F.col("__group") == F.col("__g"), "left")
         .withColumn(id_col, F.coalesce(F.get("__targets", slot), F.col("__target"), F.lit(0)))
         .drop("__key", "__targets", "__group", "__g", "__target")
         .repartitionById(partitions, id_col)
