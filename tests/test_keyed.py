@@ -136,3 +136,14 @@ def test_empty_table(spark):
     assert table.read().columns == ["k", "version", "v"] and table.read().count() == 0
     table.upsert(updates_of(spark, (1, 1, "new")))
     assert values(table.read()) == {1: "new"}
+
+
+def test_every_written_part_is_a_task_of_its_own(spark):
+    table = table_of(spark, 2000, parts=32)
+    tasks = lambda names: [os.path.basename(f).split("-")[1] for f in names]
+    first = files(table)
+    assert len(first) == 32 and len({*tasks(first)}) == 32
+    table.upsert(updates_of(spark, *[(k, 1, "new") for k in range(0, 60, 5)]))
+    second = files(table) - first
+    assert 1 < len(second) < 32 and len({*tasks(second)}) == len(second)
+    assert values(table.read()) == {k: "new" if k < 60 and k % 5 == 0 else "old" for k in range(2000)}

@@ -114,3 +114,17 @@ def test_json_nested_splits_a_hot_conversation_and_counts_repeats(spark, tmp_pat
     assert {(r.conv_id, r.turns, r.answers, r.has_system) for r in got.collect()} == {(1, 1301, 800, False), (2, 1, 0, None), (3, 1, 0, True), (None, 1, 0, False)}
     nested = [json.loads(r.value) for r in spark.read.text(list(got.inputFiles())).collect()]
     assert len(nested) > 20 and max(len(x["roles"]) for x in nested) <= formats.TURNS_NESTED
+
+
+def test_rows_without_a_list_are_dealt_out(spark):
+    none, empty, some = F.lit(None).cast("array<int>"), F.array().cast("array<int>"), F.array((F.col("id") % 20).cast("int"), F.lit(99))
+    rows = spark.range(8000).select("id", F.when(F.col("id") % 5 == 0, some).when(F.col("id") % 2 == 0, none).otherwise(empty).alias("ids"), F.create_map(F.lit("a"), "id").alias("m"))
+    names = spark.range(15).select(F.col("id").cast("int").alias("id"), F.concat(F.lit("n"), F.col("id")).alias("name"))
+    off = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    with conf(spark, **off):
+        mapped = joins.ids_to_map(rows, "ids", names, "id", "name", "names").cache()
+        sizes = [r["count"] for r in mapped.groupBy(F.spark_partition_id()).count().collect()]
+    got = {r.id: r.names for r in mapped.collect()}
+    mapped.unpersist()
+    assert max(sizes) < 8000 / 6 and mapped.columns == ["id", "m", "names"]
+    assert got == {i: {i % 20: f"n{i % 20}"} if i % 5 == 0 and i % 20 < 15 else {} for i in range(8000)}

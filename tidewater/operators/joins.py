@@ -110,7 +110,10 @@ def ids_to_map(df: DataFrame, ids_col: str, dim: DataFrame, dim_key: str, dim_va
     is one row per task), exploded, joined with the dimension and put together again,
     a group being one list. The rows then fetch their list's map, whole rows are
     neither exploded nor regrouped, and may repeat. ``lists_of``: rows that hold all
-    lists of ``df`` and are cheaper to read, such as the input of a costly ``df``."""
+    lists of ``df`` and are cheaper to read, such as the input of a costly ``df``.
+
+    Rows without a list, which may be many, are dealt out by a hash of the row; a list
+    that very many rows carry is a partition that Spark can split (AQE skew join)."""
     lists = (df if lists_of is None else lists_of).filter(F.size(ids_col) > 0).select(F.col(ids_col).alias("__ids")).distinct()
     d = one_value_per_key(dim.select(F.col(dim_key).alias("__id"), F.col(dim_value).alias("__name")), "__id", "__name")
     named = broadcast_join(lists.select("__ids", F.explode(F.array_distinct("__ids")).alias("__id")), d, "__id", "left")
@@ -118,8 +121,11 @@ def ids_to_map(df: DataFrame, ids_col: str, dim: DataFrame, dim_key: str, dim_va
     maps = named.groupBy("__ids").agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("__map"))
     kinds = dict(d.dtypes)
     empty = F.map_from_arrays(F.array(), F.array()).cast(f"map<{kinds['__id']},{kinds['__name']}>")
-    joined = df.join(maps, F.col(ids_col) == F.col("__ids"), "left")
-    return joined.withColumn(out, F.coalesce("__map", empty)).drop("__ids", "__map", ids_col)
+    row = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]  # those have no hash
+    dealt = df.withColumn("__deal", F.when(F.size(ids_col) > 0, F.xxhash64(ids_col)).otherwise(F.xxhash64(*row)))
+    maps = maps.withColumn("__at", F.xxhash64("__ids"))
+    joined = dealt.join(maps, (F.col(ids_col) == F.col("__ids")) & (F.col("__deal") == F.col("__at")), "left")
+    return joined.withColumn(out, F.coalesce("__map", empty)).drop("__ids", "__map", "__deal", "__at", ids_col)
 
 
 SALT = "__salt"

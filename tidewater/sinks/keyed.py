@@ -40,6 +40,7 @@ from tidewater.sinks.manifest import commit_text, names_in, read_text, remove
 
 ROWS_PER_PART = 4_000_000  # about 1 GB of Parquet at 250 bytes a row
 PART = "__part"
+SLOT = "__slot"
 
 
 def part_of(keys: Sequence[str], parts: int) -> Column:
@@ -49,6 +50,16 @@ def part_of(keys: Sequence[str], parts: int) -> Column:
     return F.when(place < parts, place).otherwise(place - low).cast("int")
 
 
+def _slot(parts: int, touched: set[int]) -> Column:
+    """The place of a part among the ``touched`` ones; of all, if none is named."""
+    if not touched:
+        return F.col(PART)
+    place = {p: k for k, p in enumerate(sorted(touched))}
+    # a constant to Spark, made of one string as there may be thousands of parts
+    places = F.split(F.lit(",".join(str(place.get(p, 0)) for p in range(parts))), ",").cast("array<int>")
+    return F.get(places, F.col(PART))
+
+
 def split_sources(old: int, new: int) -> set[int]:
     """The parts among ``old`` whose keys may move when there are ``new``."""
     sources = set()
@@ -163,9 +174,11 @@ class KeyedTable:
         """Writes ``rows``, all rows of the touched parts, and commits the snapshot.
         One shuffle by part serves the comparison by key and the write."""
         folder = f"{before.version + 1:012d}-{uuid.uuid4().hex[:12]}"
-        placed = rows.withColumn(PART, part_of(self.keys, parts)).repartition(PART)
+        # a task for each part that is written
+        placed = rows.withColumn(PART, part_of(self.keys, parts)).withColumn(SLOT, _slot(parts, touched))
+        placed = placed.repartitionById(len(touched) or parts, SLOT)
         if compare:
-            placed = keep_latest(placed, [PART, *self.keys], self.order)
+            placed = keep_latest(placed, [SLOT, *self.keys], self.order)
         path = f"{self.path}/data/{folder}"
         placed.select(*self.schema.names, PART).write.partitionBy(PART).parquet(path)
         written = self.spark.read.schema(StructType([*self.schema.fields, StructField(PART, IntegerType())])).parquet(path)
